@@ -26,9 +26,10 @@ def whole_word_pattern(phrase: Column, compat: bool = False) -> Column:
     quirks some published counts rely on: a phrase at position 0 is not reported and
     a following underscore does not block.
     """
-    before = rf"(?<=[^\p{{L}}\p{{N}}_])(?=" if compat else rf"(?<!{WORD})(?="
+    # The phrase comes first: it fails at the first letter, a look-behind would run everywhere.
     after = r"(?![\p{L}\p{N}]))" if compat else rf"(?!{WORD}))"
-    return F.concat(F.lit(before), escape_regex(phrase), F.lit(after))
+    before = r"(?<=[^\p{L}\p{N}_])" if compat else rf"(?<!{WORD})"
+    return F.concat(F.lit("(?="), escape_regex(phrase), F.lit(after + before))
 
 
 def strip_non_ascii(text: Column) -> Column:

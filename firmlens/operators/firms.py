@@ -7,6 +7,8 @@ have no such bound, are split into parts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +59,33 @@ def firm_panel(firms: DataFrame, web: DataFrame, pat: DataFrame) -> DataFrame:
     return firms.join(web, "id").join(pat, "id", "left")
 
 
+def panel_from_counts(firms: DataFrame, counts: DataFrame) -> DataFrame:
+    """The same panel from one table of counts with a ``source`` column, read once."""
+    def entries(source: str) -> Column:
+        entry = F.when(F.col("source") == source, F.struct("category", "n_kw", "n_unique"))
+        return F.sort_array(F.collect_list(entry)).alias(source)
+
+    def columns(source: str) -> list[Column]:
+        # Firms without entries have null lists, not empty ones.
+        e = F.when(F.size(source) > 0, F.col(source))
+        names = {"category": "cat", "n_kw": "n_kw", "n_unique": "n_unique_kw"}
+        return [e.getField(f).alias(f"{n}_{source}") for f, n in names.items()]
+
+    lists = counts.groupBy("id").agg(entries("web"), entries("pat")).filter(F.size("web") > 0)
+    return firms.join(lists.select("id", *columns("web"), *columns("pat")), "id")
+
+
 def panel_long(
-    panel: DataFrame, source: str, canton: str | None = None, exclude_canton: str | None = None
+    panel: DataFrame,
+    source: str,
+    canton: str | None = None,
+    exclude_canton: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per firm and category of ``source``; a firm without any keeps one row of nulls."""
+    """One row per firm and category of ``source``; a firm without any keeps one row of nulls.
+
+    ``keep`` names firm columns to carry along.
+    """
     if source not in ("web", "pat"):
         raise ValueError("source is 'web' or 'pat'")
     if canton is not None:
@@ -72,7 +97,7 @@ def panel_long(
         F.col(f"n_kw_{source}").alias("n_kw"),
         F.col(f"n_unique_kw_{source}").alias("n_unique"),
     )
-    return panel.select("id", F.inline_outer(entries))
+    return panel.select("id", *keep, F.inline_outer(entries))
 
 
 def collect_parts(rows: DataFrame, key: str, value: str, max_items: int = 100_000) -> DataFrame:

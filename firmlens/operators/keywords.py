@@ -80,7 +80,8 @@ def match_keywords(
 
 def _counted(candidates: DataFrame, key: str, compat: bool) -> DataFrame:
     n: Column = F.regexp_count("__text", whole_word_pattern(F.col("keyword"), compat)).cast("long")
-    return candidates.select(key, "keyword", n.alias("n")).filter("n > 0")
+    # Generated columns are not copied into filters, so every count is taken once.
+    return candidates.select(key, "keyword", F.explode(F.array(n)).alias("n")).filter("n > 0")
 
 
 def match_lists(pages: DataFrame, hits: DataFrame, key: str = "url") -> DataFrame:

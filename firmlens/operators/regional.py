@@ -64,27 +64,59 @@ def category_shares(panel: DataFrame, thresh: int | None = None) -> DataFrame:
     return counted.withColumn("percent", share(F.col("n_firms"), n_rows))
 
 
-def rta_share_of_rows(rest: DataFrame, region: DataFrame, thresh: int) -> DataFrame:
-    """Shares of the rows of two long panels, rows without a category included."""
-    a = category_shares(rest, thresh).select("category", F.col("percent").alias("percent_rest"))
-    b = category_shares(region, thresh).select("category", F.col("percent").alias("percent_region"))
-    ratio = F.try_divide(F.col("percent_region"), F.col("percent_rest"))
-    return a.join(b, "category").withColumn("ratio", ratio).withColumn("log_rta", F.log10("ratio"))
+def _row_counts(panel: DataFrame, canton: str, thresh: int) -> tuple[DataFrame, dict[str, Column]]:
+    """Firms over the threshold per category, and all rows, for the region, the rest and everywhere.
+
+    The totals add up the same per-category counts, so the panel is read once.
+    """
+    enough = F.col("n_unique") >= thresh
+    inside, outside = _side(canton)
+    sides = {"region": inside, "rest": outside, "all": F.lit(True)}
+    counts = panel.groupBy("category").agg(
+        *[F.count_if(enough & c).alias(f"count_{n}") for n, c in sides.items()],
+        *[F.count_if(c).alias(f"rows_{n}") for n, c in sides.items()],
+    )
+    sums = counts.agg(F.struct(*[F.sum(f"rows_{n}").alias(n) for n in sides])).scalar()
+    return counts.filter(F.col("category").isNotNull()), {n: sums.getField(n) for n in sides}
+
 
+def rta_share_of_rows(panel: DataFrame, canton: str, thresh: int) -> DataFrame:
+    """Shares of the rows of a long panel with ``canton``, rows without a category included."""
+    counts, rows = _row_counts(panel, canton, thresh)
+    both = counts.filter("count_region > 0 AND count_rest > 0").select("category", "count_region", "count_rest")
+    return _with_ratio(both, rows["region"], rows["rest"])
 
-def region_report(everywhere: DataFrame, region: DataFrame, thresh: int) -> DataFrame:
+
+def region_report(panel: DataFrame, canton: str, thresh: int) -> DataFrame:
     """Firms, percent and ratio to the whole country per category of a region."""
-    own = category_shares(region, thresh).filter(F.col("category").isNotNull())
-    rta = rta_share_of_rows(everywhere, region, thresh).select("category", "ratio")
-    return own.join(rta, "category", "full").orderBy(F.desc_nulls_last("ratio"), "category")
+    counts, rows = _row_counts(panel, canton, thresh)
+    percent = share(F.col("count_region"), rows["region"])
+    ratio = F.try_divide(percent, share(F.col("count_all"), rows["all"]))
+    report = counts.filter("count_region > 0").select(
+        "category", F.col("count_region").alias("n_firms"), percent.alias("percent"), ratio.alias("ratio")
+    )
+    return report.orderBy(F.desc_nulls_last("ratio"), "category")
+
 
+def rta_by_source(counts: DataFrame, canton: str, thresh: int) -> DataFrame:
+    """The firm-share variant for patents and, with suffix ``_web``, websites, side by side.
 
-def rta_by_source(pat: DataFrame, web: DataFrame, canton: str, thresh: int) -> DataFrame:
-    """The firm-share variant for patents and websites side by side."""
-    a = rta_share_of_firms(pat, canton, thresh)
-    b = rta_share_of_firms(web, canton, thresh)
-    b = b.select("category", *[F.col(c).alias(f"{c}_web") for c in b.columns if c != "category"])
-    return a.join(b, "category")
+    ``counts`` has a ``source`` column; both sources are rated in one pass.
+    """
+    inside, outside = _side(canton)
+    enough = F.col("n_unique") >= thresh
+    cells = counts.groupBy("source", "category").agg(
+        F.count_if(enough & inside).alias("count_region"), F.count_if(enough & outside).alias("count_rest")
+    ).filter("count_region > 0 AND count_rest > 0")
+    firms = counts.groupBy("source", "id").agg(F.bool_or(inside).alias("region"), F.bool_or(outside).alias("rest"))
+    totals = firms.groupBy("source").agg(F.count_if("region").alias("n_region"), F.count_if("rest").alias("n_rest"))
+    rated = _with_ratio(cells.join(totals, "source"), F.col("n_region"), F.col("n_rest"))
+    values = ["count_region", "count_rest", "percent_region", "percent_rest", "ratio", "log_rta"]
+    side_by_side = rated.groupBy("category").agg(*[
+        F.max(F.when(F.col("source") == source, F.col(v))).alias(v + suffix)
+        for source, suffix in (("pat", ""), ("web", "_web")) for v in values
+    ])
+    return side_by_side.filter("count_region IS NOT NULL AND count_region_web IS NOT NULL")
 
 
 def rta_all_regions(counts: DataFrame, thresh: int) -> DataFrame:

@@ -20,9 +20,14 @@ def document_words(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame
     return docs.select(*keep, F.explode(F.array_distinct(long)).alias("word"))
 
 
-def idf_words(
-    docs: DataFrame,
-    text: str = "text",
+def document_frequencies(docs: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
+    """Number of documents per word and ``by``."""
+    return document_words(docs, text, *by).groupBy(*by, "word").agg(F.count("*").alias("df"))
+
+
+def idf_scores(
+    frequencies: DataFrame,
+    sizes: DataFrame,
     stop_words: Sequence[str] = (),
     min_df: int = 2,
     max_df: float = 0.95,
@@ -30,27 +35,31 @@ def idf_words(
 ) -> DataFrame:
     """Smoothed inverse document frequency, ln((1 + n) / (1 + df)) + 1, per word.
 
-    Words of fewer than ``min_df`` documents or more than ``max_df`` of them drop out.
-    ``by`` names columns that tell several corpora apart, all done in one pass.
+    ``sizes`` has the number of documents ``n_docs`` (per ``by``). Words of fewer than
+    ``min_df`` documents or more than the share ``max_df`` of them drop out.
     """
-    docs = docs.filter(F.col(text).isNotNull())
-    counted = document_words(docs, text, *by).groupBy(*by, "word").agg(F.count("*").alias("df"))
+    n = F.col("n_docs") if by else sizes.select("n_docs").scalar()
+    counted = frequencies.join(sizes, list(by)) if by else frequencies
+    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
     if stop_words:
-        counted = counted.filter(~F.col("word").isin(list(stop_words)))
-    if by:
-        sizes = docs.groupBy(*by).agg(F.count("*").alias("__n"))
-        counted = counted.join(sizes, list(by))
-    else:
-        counted = counted.withColumn("__n", docs.agg(F.count("*")).scalar())
-    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.col("__n") * max_df))
-    idf = F.ln((F.col("__n") + 1) / (F.col("df") + 1)) + 1
-    return kept.withColumn("idf", idf).drop("__n")
-
-
-def word_lists(docs: DataFrame, languages: Sequence[str], text: str = "text", min_df: int = 2) -> DataFrame:
-    """Words with one flag per language: found in ``min_df`` documents of that language."""
-    return document_words(docs, text, "lang").groupBy("word").agg(
-        *[(F.count_if(F.col("lang") == lang) >= min_df).alias(lang) for lang in languages]
+        kept = kept.filter(~F.col("word").isin(list(stop_words)))
+    return kept.select(*by, "word", "df", (F.ln((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+
+
+def corpus_sizes(docs: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
+    return docs.filter(F.col(text).isNotNull()).groupBy(*by).agg(F.count("*").alias("n_docs"))
+
+
+def idf_words(docs: DataFrame, text: str = "text", by: Sequence[str] = (), **limits: object) -> DataFrame:
+    """Scores of all words of one corpus, or of several told apart by ``by``."""
+    return idf_scores(document_frequencies(docs, text, by), corpus_sizes(docs, text, by), by=by, **limits)
+
+
+def word_lists(frequencies: DataFrame, languages: Sequence[str], min_df: int = 2) -> DataFrame:
+    """Words with one flag per language: found in ``min_df`` documents of that ``lang``."""
+    counts = [F.sum(F.when(F.col("lang") == lang, F.col("df"))) for lang in languages]
+    return frequencies.groupBy("word").agg(
+        *[(F.coalesce(n, F.lit(0)) >= min_df).alias(lang) for n, lang in zip(counts, languages, strict=True)]
     )
 
 

@@ -95,7 +95,7 @@ def table(spark: SparkSession, sf: str, name: str, spread_by: str | None = None)
 
 def hits(spark: SparkSession, sf: str) -> DataFrame:
     """One row per keyword occurrence: id, page, category, keyword, source."""
-    line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus")
+    line = table(spark, sf, "lineitem", spread_by="l_orderkey").select("l_orderkey", "l_partkey", "l_linestatus")
     order = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name")
     return (

@@ -180,8 +180,13 @@ def scores(spark, sf):
 
 
 def flagged(spark, sf):
-    flags = vo.word_lists(b.corpora(spark, sf).filter("corpus = 'web'"), LANGUAGES)
-    return vo.idf_language(scores(spark, sf), flags, LANGUAGES)
+    """Texts are read once: scores and flags add up the same counts per language."""
+    corpora = b.corpora(spark, sf)
+    counts = vo.document_frequencies(corpora, by=["corpus", "lang"])
+    per_corpus = counts.groupBy("corpus", "word").agg(F.sum("df").alias("df"))
+    sizes = vo.corpus_sizes(corpora, by=["corpus"])
+    scored = vo.idf_scores(per_corpus, sizes, b.STOP_WORDS, by=["corpus"])
+    return vo.idf_language(scored, vo.word_lists(counts, LANGUAGES), LANGUAGES)
 
 
 @query("idf_words", WORDS + " SELECT corpus, word, df, round(idf, 6) AS idf FROM idf", "corpora")

@@ -27,9 +27,12 @@ def located(spark, sf, counts):
     return fo.with_attributes(counts, b.firms(spark, sf).select("id", "canton"))
 
 
+def source_counts(spark, sf):
+    return fo.unique_keywords(b.hits(spark, sf), "source", "id", "category")
+
+
 def panel(spark, sf):
-    web = fo.firm_lists(web_counts(spark, sf), "web")
-    return fo.firm_panel(b.firms(spark, sf), web, fo.firm_lists(pat_counts(spark, sf), "pat"))
+    return fo.panel_from_counts(b.firms(spark, sf), source_counts(spark, sf))
 
 
 WEB = "SELECT * FROM unique_kw WHERE source = 'web'"
@@ -72,6 +75,15 @@ def firm_panel(spark, sf):
     return panel(spark, sf)
 
 
+@query("firm_panel_joined", f"""
+    SELECT f.*, w.* EXCLUDE (id), p.* EXCLUDE (id) FROM firms f JOIN ({LISTS.format("web")}) w ON f.id = w.id
+    LEFT JOIN ({LISTS.format("pat")}) p ON f.id = p.id""", "unique_kw firms")
+def firm_panel_joined(spark, sf):
+    """The panel from two separate tables of lists."""
+    web = fo.firm_lists(web_counts(spark, sf), "web")
+    return fo.firm_panel(b.firms(spark, sf), web, fo.firm_lists(pat_counts(spark, sf), "pat"))
+
+
 @query("firm_publications", """
     SELECT f.id, name, canton, n_employees, 0::BIGINT AS part, publication FROM firms f
     JOIN (SELECT id, list(DISTINCT page ORDER BY page) AS publication FROM hits WHERE source = 'pat' GROUP BY id) p
@@ -261,17 +273,17 @@ def rta_share_of_firms(spark, sf):
 
 
 @query("rta_share_of_rows", LONG_PAT + f""",
-    a AS (SELECT category, count(*) FILTER (n_unique >= 2) / (SELECT count(*) FROM panel_pat WHERE canton <> '{R}')
+    a AS (SELECT category, count(*) FILTER (n_unique >= 2) AS count_rest,
+            count(*) FILTER (n_unique >= 2) / (SELECT count(*) FROM panel_pat WHERE canton <> '{R}')
             AS percent_rest FROM panel_pat WHERE canton <> '{R}' GROUP BY 1 HAVING count(*) FILTER (n_unique >= 2) > 0),
-    r AS (SELECT category, count(*) FILTER (n_unique >= 2) / (SELECT count(*) FROM panel_pat WHERE canton = '{R}')
+    r AS (SELECT category, count(*) FILTER (n_unique >= 2) AS count_region,
+            count(*) FILTER (n_unique >= 2) / (SELECT count(*) FROM panel_pat WHERE canton = '{R}')
             AS percent_region FROM panel_pat WHERE canton = '{R}' GROUP BY 1 HAVING count(*) FILTER (n_unique >= 2) > 0)
-    SELECT a.category, round(percent_rest, 6) AS percent_rest, round(percent_region, 6) AS percent_region,
+    SELECT a.category, count_region, count_rest, round(percent_rest, 6) AS percent_rest, round(percent_region, 6) AS percent_region,
            round(percent_region / percent_rest, 6) AS ratio, round(log10(percent_region / percent_rest), 6) AS log_rta
     FROM a JOIN r ON a.category = r.category""", "unique_kw firms")
 def rta_share_of_rows(spark, sf):
-    whole = panel(spark, sf)
-    rest, region = fo.panel_long(whole, "pat", exclude_canton=R), fo.panel_long(whole, "pat", canton=R)
-    return rounded(re_.rta_share_of_rows(rest, region, 2))
+    return rounded(re_.rta_share_of_rows(fo.panel_long(panel(spark, sf), "pat", keep=["canton"]), R, 2))
 
 
 @query("region_report", f"""{LOCATED},
@@ -283,8 +295,7 @@ def rta_share_of_rows(spark, sf):
     SELECT r.category, r.n AS n_firms, round(r.n / r.t, 6) AS percent, round((r.n / r.t) / (a.n / a.t), 6) AS ratio
     FROM r JOIN a ON r.category = a.category WHERE r.n > 0""", "unique_kw firms")
 def region_report(spark, sf):
-    counts = located(spark, sf, web_counts(spark, sf))
-    return rounded(re_.region_report(counts, counts.filter(F.col("canton") == R), 2))
+    return rounded(re_.region_report(fo.panel_long(panel(spark, sf), "web", keep=["canton"]), R, 2))
 
 
 def rta_sources_sql() -> str:
@@ -298,8 +309,7 @@ def rta_sources_sql() -> str:
 
 @query("rta_sources", rta_sources_sql(), "unique_kw firms")
 def rta_sources(spark, sf):
-    pat, web = located(spark, sf, pat_counts(spark, sf)), located(spark, sf, web_counts(spark, sf))
-    return rounded(re_.rta_by_source(pat, web, R, 1))
+    return rounded(re_.rta_by_source(located(spark, sf, source_counts(spark, sf)), R, 1))
 
 
 @query("rta_all_regions", f"""{LOCATED}, u AS (SELECT * FROM located WHERE source = 'web' AND canton IS NOT NULL),
@@ -369,7 +379,7 @@ SHARES = """, t AS (SELECT count(DISTINCT id) FILTER (source = 'web') AS web,
 
 
 def shares(spark, sf):
-    return ag.source_shares(fo.unique_keywords(b.hits(spark, sf), "source", "id", "category"), 2)
+    return ag.source_shares(source_counts(spark, sf), 2)
 
 
 @query("source_share", SHARES + """

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Below this many input splits per core some cores would idle while others work.
+SPLITS_PER_CORE = 4
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -51,7 +53,7 @@ def read_parquet(
         reader = reader.schema(schema)
     table = reader.parquet(*([paths] if isinstance(paths, str) else paths))
     cores = spark.sparkContext.defaultParallelism
-    if spread_by and table.rdd.getNumPartitions() < cores:
+    if spread_by and table.rdd.getNumPartitions() < SPLITS_PER_CORE * cores:
         table = table.repartition(cores, spread_by)
     return table
 
