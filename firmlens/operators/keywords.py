@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmlens.functions.joins import broadcast_if_small
 from firmlens.functions.text import WORD, whole_word_pattern
 
 BROADCAST_PHRASES = 500_000
@@ -66,12 +67,12 @@ def match_keywords(
     # In compat mode an underscore may end a phrase, so it has to separate words too.
     word = r"[\p{L}\p{N}]" if compat else WORD
     phrases = _anchored(keywords, word)
-    small = keywords.limit(broadcast_phrases + 1).count() <= broadcast_phrases
+    phrases, small = broadcast_if_small(phrases, broadcast_phrases)
     # The trailing separator yields an empty word, the anchor of phrases without any.
     runs = F.array_distinct(F.split(F.concat("__text", F.lit(" ")), rf"[^{word[1:-1]}]+"))
     texts = pages.select(key, F.lower(text).alias("__text"))
     if small:
-        candidates = texts.withColumn("anchor", F.explode(runs)).join(F.broadcast(phrases), "anchor")
+        candidates = texts.withColumn("anchor", F.explode(runs)).join(phrases, "anchor")
     else:
         found = texts.select(key, F.explode(runs).alias("anchor")).join(phrases, "anchor")
         candidates = found.select(key, "keyword").join(texts, key)
@@ -100,8 +101,9 @@ def hits_from_lists(lists: DataFrame, key: str = "url") -> DataFrame:
 def label_unmatched(lists: DataFrame, dictionary: DataFrame, key: str = "url") -> DataFrame:
     """One row per match and category; pages without a match are kept under a label."""
     hits = lists.select(key, F.explode_outer("matches").alias("keyword"))
+    lookup, _ = broadcast_if_small(dictionary.select("category", "keyword"), BROADCAST_PHRASES)
     return (
-        hits.join(dictionary.select("category", "keyword"), "keyword", "left")
+        hits.join(lookup, "keyword", "left")
         .na.fill({"keyword": "No keyword", "category": "No category"})
         .select(key, "keyword", "category")
     )
@@ -109,7 +111,8 @@ def label_unmatched(lists: DataFrame, dictionary: DataFrame, key: str = "url") -
 
 def attach_category(hits: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The categories of every hit; a keyword in several categories gives several rows."""
-    return hits.join(dictionary.select("category", "keyword"), "keyword")
+    lookup, _ = broadcast_if_small(dictionary.select("category", "keyword"), BROADCAST_PHRASES)
+    return hits.join(lookup, "keyword")
 
 
 def attach_firm(hits: DataFrame, pages: DataFrame, key: str = "url", distinct_pages: bool = False) -> DataFrame:

@@ -7,10 +7,13 @@ firm and category with ``canton`` and ``n_unique``; a null canton is on neither
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.functions.sets import share
 
+RATED = ["count_region", "count_rest", "percent_region", "percent_rest", "ratio", "log_rta"]
+
 
 def _side(canton: str) -> tuple[Column, Column]:
     return F.col("canton") == canton, F.col("canton") != canton
@@ -40,8 +43,8 @@ def _category_counts(counts: DataFrame, canton: str, thresh: int) -> DataFrame:
 def rta_share_of_hits(counts: DataFrame, canton: str, thresh: int, min_count: int = 0) -> DataFrame:
     """Shares of all (firm, category) pairs over the threshold."""
     both = _category_counts(counts, canton, thresh)
-    totals = both.agg(F.struct(F.sum("count_region").alias("region"), F.sum("count_rest").alias("rest"))).scalar()
-    rated = _with_ratio(both, totals.getField("region"), totals.getField("rest"))
+    every = W.partitionBy()  # one row per category
+    rated = _with_ratio(both, F.sum("count_region").over(every), F.sum("count_rest").over(every))
     return rated.filter(F.col("count_region") > min_count)
 
 
@@ -64,7 +67,7 @@ def category_shares(panel: DataFrame, thresh: int | None = None) -> DataFrame:
     return counted.withColumn("percent", share(F.col("n_firms"), n_rows))
 
 
-def _row_counts(panel: DataFrame, canton: str, thresh: int) -> tuple[DataFrame, dict[str, Column]]:
+def _row_counts(panel: DataFrame, canton: str, thresh: int) -> DataFrame:
     """Firms over the threshold per category, and all rows, for the region, the rest and everywhere.
 
     The totals add up the same per-category counts, so the panel is read once.
@@ -76,22 +79,23 @@ def _row_counts(panel: DataFrame, canton: str, thresh: int) -> tuple[DataFrame,
         *[F.count_if(enough & c).alias(f"count_{n}") for n, c in sides.items()],
         *[F.count_if(c).alias(f"rows_{n}") for n, c in sides.items()],
     )
-    sums = counts.agg(F.struct(*[F.sum(f"rows_{n}").alias(n) for n in sides])).scalar()
-    return counts.filter(F.col("category").isNotNull()), {n: sums.getField(n) for n in sides}
+    # One row per category meets in this window.
+    counts = counts.select("*", *[F.sum(f"rows_{n}").over(W.partitionBy()).alias(f"total_{n}") for n in sides])
+    return counts.filter(F.col("category").isNotNull())
 
 
 def rta_share_of_rows(panel: DataFrame, canton: str, thresh: int) -> DataFrame:
     """Shares of the rows of a long panel with ``canton``, rows without a category included."""
-    counts, rows = _row_counts(panel, canton, thresh)
-    both = counts.filter("count_region > 0 AND count_rest > 0").select("category", "count_region", "count_rest")
-    return _with_ratio(both, rows["region"], rows["rest"])
+    both = _row_counts(panel, canton, thresh).filter("count_region > 0 AND count_rest > 0")
+    rated = _with_ratio(both, F.col("total_region"), F.col("total_rest"))
+    return rated.select("category", *RATED)
 
 
 def region_report(panel: DataFrame, canton: str, thresh: int) -> DataFrame:
     """Firms, percent and ratio to the whole country per category of a region."""
-    counts, rows = _row_counts(panel, canton, thresh)
-    percent = share(F.col("count_region"), rows["region"])
-    ratio = F.try_divide(percent, share(F.col("count_all"), rows["all"]))
+    counts = _row_counts(panel, canton, thresh)
+    percent = share(F.col("count_region"), F.col("total_region"))
+    ratio = F.try_divide(percent, share(F.col("count_all"), F.col("total_all")))
     report = counts.filter("count_region > 0").select(
         "category", F.col("count_region").alias("n_firms"), percent.alias("percent"), ratio.alias("ratio")
     )
@@ -111,10 +115,9 @@ def rta_by_source(counts: DataFrame, canton: str, thresh: int) -> DataFrame:
     firms = counts.groupBy("source", "id").agg(F.bool_or(inside).alias("region"), F.bool_or(outside).alias("rest"))
     totals = firms.groupBy("source").agg(F.count_if("region").alias("n_region"), F.count_if("rest").alias("n_rest"))
     rated = _with_ratio(cells.join(totals, "source"), F.col("n_region"), F.col("n_rest"))
-    values = ["count_region", "count_rest", "percent_region", "percent_rest", "ratio", "log_rta"]
     side_by_side = rated.groupBy("category").agg(*[
         F.max(F.when(F.col("source") == source, F.col(v))).alias(v + suffix)
-        for source, suffix in (("pat", ""), ("web", "_web")) for v in values
+        for source, suffix in (("pat", ""), ("web", "_web")) for v in RATED
     ])
     return side_by_side.filter("count_region IS NOT NULL AND count_region_web IS NOT NULL")
 

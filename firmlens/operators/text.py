@@ -18,6 +18,7 @@ JUNK_PARTS = [
 ]
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
+BROADCAST_WORDS = 1_000_000
 
 
 def clean_text(pages: DataFrame, key: str = "url", text: str = "text", max_chars: int | None = None) -> DataFrame:
@@ -77,12 +78,13 @@ def group_text(
 def vocabulary(pages: DataFrame, size: int, text: str = "text") -> DataFrame:
     """The ``size`` most frequent words with ids from 2 on, most frequent first.
 
-    ``size`` is the model's vocabulary size; it bounds the ranking below.
+    ``size`` is the model's vocabulary size; it bounds the ranking below and the broadcast.
     """
     counts = pages.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(size)
     rank = F.row_number().over(W.orderBy(F.desc("n"), "word"))
-    return top.select("word", (rank + (FIRST_ID - 1)).alias("token"))
+    ids = top.select("word", (rank + (FIRST_ID - 1)).alias("token"))
+    return F.broadcast(ids) if size <= BROADCAST_WORDS else ids
 
 
 def token_encode(

@@ -111,7 +111,8 @@ def top_quantile(
 
     The quantile is found without sorting a group: counts per fine value range locate
     the range that holds the wanted rank, and only that range is ordered. Ranges that
-    no group needs are not looked at again. Values lie in [-1, 1].
+    no group needs are not looked at again. Values lie in [-1, 1]. The limits found have
+    one row per group; groups are labels, at most ``MAX_LABELS``, so they are broadcast.
     """
     cell = F.least(F.floor((F.col(value) + 1) / 2 * bins), F.lit(bins - 1)).alias("__bin")
     binned = long.filter(F.col(value).isNotNull()).withColumn("__bin", cell)
@@ -126,14 +127,14 @@ def top_quantile(
     targets = placed.filter((F.col("up_to") >= rank) & (F.col("up_to") - F.col("n") < rank)).select(
         group, "__target", (rank - (F.col("up_to") - F.col("n"))).alias("__rank")
     )
-    upper = binned.join(targets, group).filter("__bin >= __target")
+    upper = binned.join(F.broadcast(targets), group).filter("__bin >= __target")
     within = upper.filter("__bin = __target").groupBy(group, "__rank", value).agg(F.count("*").alias("n"))
     so_far = W.partitionBy(group).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     limits = (
         within.withColumn("so_far", F.sum("n").over(so_far)).filter("so_far >= __rank")
         .groupBy(group).agg(F.min(value).alias("__limit"))
     )
-    return upper.join(limits, group).filter(F.col(value) >= F.col("__limit")).drop(
+    return upper.join(F.broadcast(limits), group).filter(F.col(value) >= F.col("__limit")).drop(
         "__bin", "__target", "__rank", "__limit"
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firmlens.functions.joins import lookup_map
 from firmlens.functions.text import words
 
 
@@ -31,28 +32,31 @@ def idf_scores(
     stop_words: Sequence[str] = (),
     min_df: int = 2,
     max_df: float = 0.95,
-    by: Sequence[str] = (),
+    corpus: str | None = None,
 ) -> DataFrame:
     """Smoothed inverse document frequency, ln((1 + n) / (1 + df)) + 1, per word.
 
-    ``sizes`` has the number of documents ``n_docs`` (per ``by``). Words of fewer than
-    ``min_df`` documents or more than the share ``max_df`` of them drop out.
+    ``sizes`` has the number of documents ``n_docs``, one row per ``corpus``. Words of fewer
+    than ``min_df`` documents or more than the share ``max_df`` of them drop out.
     """
-    n = F.col("n_docs") if by else sizes.select("n_docs").scalar()
-    counted = frequencies.join(sizes, list(by)) if by else frequencies
-    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
+    # A join by corpus would send every word to a handful of tasks; a map reaches them in place.
+    n = F.element_at(lookup_map(sizes, corpus, "n_docs"), F.col(corpus)) if corpus else sizes.scalar()
+    kept = frequencies.filter((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
     if stop_words:
         kept = kept.filter(~F.col("word").isin(list(stop_words)))
-    return kept.select(*by, "word", "df", (F.ln((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    keys = [corpus] if corpus else []
+    return kept.select(*keys, "word", "df", (F.ln((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def corpus_sizes(docs: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
-    return docs.filter(F.col(text).isNotNull()).groupBy(*by).agg(F.count("*").alias("n_docs"))
+def corpus_sizes(docs: DataFrame, text: str = "text", corpus: str | None = None) -> DataFrame:
+    keys = [corpus] if corpus else []
+    return docs.filter(F.col(text).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_docs"))
 
 
-def idf_words(docs: DataFrame, text: str = "text", by: Sequence[str] = (), **limits: object) -> DataFrame:
-    """Scores of all words of one corpus, or of several told apart by ``by``."""
-    return idf_scores(document_frequencies(docs, text, by), corpus_sizes(docs, text, by), by=by, **limits)
+def idf_words(docs: DataFrame, text: str = "text", corpus: str | None = None, **limits: object) -> DataFrame:
+    """Scores of all words of one corpus, or of several told apart by a ``corpus`` column."""
+    frequencies = document_frequencies(docs, text, [corpus] if corpus else [])
+    return idf_scores(frequencies, corpus_sizes(docs, text, corpus), corpus=corpus, **limits)
 
 
 def word_lists(frequencies: DataFrame, languages: Sequence[str], min_df: int = 2) -> DataFrame:

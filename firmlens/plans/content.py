@@ -176,7 +176,7 @@ FLAGGED = WORDS + f""", l AS (SELECT word, {FLAGS} FROM w WHERE corpus = 'web' G
 
 
 def scores(spark, sf):
-    return vo.idf_words(b.corpora(spark, sf), stop_words=b.STOP_WORDS, by=["corpus"])
+    return vo.idf_words(b.corpora(spark, sf), corpus="corpus", stop_words=b.STOP_WORDS)
 
 
 def flagged(spark, sf):
@@ -184,8 +184,8 @@ def flagged(spark, sf):
     corpora = b.corpora(spark, sf)
     counts = vo.document_frequencies(corpora, by=["corpus", "lang"])
     per_corpus = counts.groupBy("corpus", "word").agg(F.sum("df").alias("df"))
-    sizes = vo.corpus_sizes(corpora, by=["corpus"])
-    scored = vo.idf_scores(per_corpus, sizes, b.STOP_WORDS, by=["corpus"])
+    sizes = vo.corpus_sizes(corpora, corpus="corpus")
+    scored = vo.idf_scores(per_corpus, sizes, b.STOP_WORDS, corpus="corpus")
     return vo.idf_language(scored, vo.word_lists(counts, LANGUAGES), LANGUAGES)
 
 
