@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.functions.sets import jaccard, n_common, n_items, same_set, share
-from firmlens.operators.firms import unique_keywords
+from firmlens.operators.firms import firm_flags, unique_keywords
 
 
 def label_flags(a: DataFrame, b: DataFrame, key: str = "id") -> DataFrame:
@@ -84,7 +84,7 @@ def source_shares(counts: DataFrame, thresh: int) -> DataFrame:
     """
     web, pat = F.col("source") == "web", F.col("source") == "pat"
     enough = F.col("n_unique") >= thresh
-    firms = counts.groupBy("id").agg(F.bool_or(web).alias("web"), F.bool_or(pat).alias("pat"))
+    firms = firm_flags(counts, "id", web=web, pat=pat)
     totals = firms.agg(F.struct(F.count_if("web").alias("web"), F.count_if("pat").alias("pat"))).scalar()
     found = counts.groupBy("category").agg(
         F.count_if(enough & web).alias("n_web"), F.count_if(enough & pat).alias("n_pat")

@@ -84,9 +84,9 @@ def category_cooccurrence(pairs: DataFrame) -> DataFrame:
         .select("category", F.explode("set").alias("other"), "n")
         .groupBy("category", "other").agg(F.sum("n").alias("n"))
     )
-    # Every category meets itself, so the rows with equal sides list the axis of the grid.
-    axis = found.filter("category = other").agg(F.sort_array(F.collect_list("category")).alias("axis")).scalar()
-    grid = found.filter("category = other").select("category", F.explode(axis).alias("other"))
+    axis = found.agg(F.sort_array(F.collect_set("category")).alias("axis")).scalar()
+    one = pairs.sparkSession.range(1)
+    grid = one.select(F.explode(axis).alias("category")).select("category", F.explode(axis).alias("other"))
     n_firms = F.when(F.col("category") == F.col("other"), 0).otherwise(F.coalesce("n", F.lit(0)))
     return grid.join(found, ["category", "other"], "left").select("category", "other", n_firms.alias("n_firms"))
 
@@ -134,22 +134,23 @@ def describe(values: DataFrame, column: str) -> DataFrame:
     in one task: meant for columns with few of them, such as shares of small sets.
     """
     counted = values.groupBy(column).agg(F.count("*").alias("n"))
-    known = counted.filter(F.col(column).isNotNull())
-    v, n, up_to = F.col(column), F.col("n"), F.col("up_to")
-    total = F.sum("n")
-    mean = F.sum(v * n) / total
-    # The deviation is taken around the mean so that it stays accurate for close values.
-    centre = known.agg(mean).scalar()
-    n_null = counted.agg(F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0))).scalar()
-    n_all = known.agg(total).scalar()
-    placed = known.withColumn("up_to", F.sum("n").over(W.orderBy(column)))
+    v, up_to = F.col(column), F.col("up_to")
+    n = F.when(v.isNotNull(), F.col("n")).otherwise(0)
+    total = F.sum(n)
+    # Totals first: the deviation is taken around the mean to stay accurate for close values.
+    first = counted.agg(
+        F.struct(total.alias("n"), (F.sum("n") - total).alias("nulls"), F.try_divide(F.sum(v * n), total).alias("mean"))
+    ).scalar()
+    n_all, centre = first.getField("n"), first.getField("mean")
+    placed = counted.withColumn("up_to", F.sum(n).over(W.orderBy(column)))
 
     def quartile(q: float) -> Column:
         rank = F.round(F.lit(q) * (n_all - 1)).cast("long") + 1
         return F.min(F.when(up_to >= rank, v))
 
     return placed.agg(
-        F.coalesce(total, F.lit(0)).alias("count"), n_null.alias("null_count"), mean.alias("mean"),
+        F.coalesce(total, F.lit(0)).alias("count"),
+        F.coalesce(first.getField("nulls"), F.lit(0)).alias("null_count"), centre.alias("mean"),
         F.sqrt(F.try_divide(F.sum((v - centre) * (v - centre) * n), total - 1)).alias("std"),
         F.min(v).alias("min"), quartile(0.25).alias("p25"), quartile(0.5).alias("p50"),
         quartile(0.75).alias("p75"), F.max(v).alias("max"),

@@ -31,6 +31,18 @@ def with_attributes(counts: DataFrame, firms: DataFrame) -> DataFrame:
     return counts.join(firms, "id")
 
 
+def firm_flags(counts: DataFrame, *keys: str, **flags: Column) -> DataFrame:
+    """One row per key with flags that hold if any of its rows has them.
+
+    ``n_unique`` is read although every firm passes: the plan below then has the columns
+    that counting per category needs too, and Spark computes the counts once for both.
+    """
+    rows = counts.groupBy(*keys).agg(
+        *[F.bool_or(c).alias(n) for n, c in flags.items()], F.coalesce(F.max("n_unique"), F.lit(0)).alias("__n")
+    )
+    return rows.filter("__n >= 0").drop("__n")
+
+
 def firms_with_n_unique(hits: DataFrame, thresh: int) -> DataFrame:
     """Per firm the sorted categories with at least ``thresh`` unique keywords."""
     return (

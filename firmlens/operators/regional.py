@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.functions.sets import share
+from firmlens.operators.firms import firm_flags
 
 RATED = ["count_region", "count_rest", "percent_region", "percent_rest", "ratio", "log_rta"]
 
@@ -51,7 +52,7 @@ def rta_share_of_hits(counts: DataFrame, canton: str, thresh: int, min_count: in
 def rta_share_of_firms(counts: DataFrame, canton: str, thresh: int, min_count: int = 0) -> DataFrame:
     """Shares of the firms of each side, counted before the threshold."""
     inside, outside = _side(canton)
-    firms = counts.groupBy("id").agg(F.bool_or(inside).alias("region"), F.bool_or(outside).alias("rest"))
+    firms = firm_flags(counts, "id", region=inside, rest=outside)
     totals = firms.agg(F.struct(F.count_if("region").alias("region"), F.count_if("rest").alias("rest"))).scalar()
     rated = _with_ratio(
         _category_counts(counts, canton, thresh), totals.getField("region"), totals.getField("rest")
@@ -112,7 +113,7 @@ def rta_by_source(counts: DataFrame, canton: str, thresh: int) -> DataFrame:
     cells = counts.groupBy("source", "category").agg(
         F.count_if(enough & inside).alias("count_region"), F.count_if(enough & outside).alias("count_rest")
     ).filter("count_region > 0 AND count_rest > 0")
-    firms = counts.groupBy("source", "id").agg(F.bool_or(inside).alias("region"), F.bool_or(outside).alias("rest"))
+    firms = firm_flags(counts, "source", "id", region=inside, rest=outside)
     totals = firms.groupBy("source").agg(F.count_if("region").alias("n_region"), F.count_if("rest").alias("n_rest"))
     rated = _with_ratio(cells.join(totals, "source"), F.col("n_region"), F.col("n_rest"))
     side_by_side = rated.groupBy("category").agg(*[
@@ -127,7 +128,7 @@ def rta_all_regions(counts: DataFrame, thresh: int) -> DataFrame:
     enough = counts.filter((F.col("n_unique") >= thresh) & F.col("canton").isNotNull())
     cells = enough.groupBy("canton", "category").agg(F.count("*").alias("count_region"))
     per_category = cells.groupBy("category").agg(F.sum("count_region").alias("count_all"))
-    firms = counts.select("id", "canton").filter(F.col("canton").isNotNull()).distinct()
+    firms = firm_flags(counts.filter(F.col("canton").isNotNull()), "id", "canton")
     per_region = firms.groupBy("canton").agg(F.count("*").alias("n_region"))
     n_all = per_region.agg(F.sum("n_region")).scalar()
     joined = cells.join(per_category, "category").join(per_region, "canton").select(

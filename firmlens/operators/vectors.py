@@ -63,7 +63,8 @@ def similarity(vector: str | Column, labels: Labels) -> Column:
         starts = pa.array(offsets, mask=np.append(~present, False))
         return pa.ListArray.from_arrays(starts, pa.array(result.ravel()))
 
-    return cosines(vector)
+    # Declared non-deterministic so that a filter on the result does not compute it twice.
+    return cosines.asNondeterministic()(vector)
 
 
 def similarity_arrays(pages: DataFrame, labels: Labels, key: str, vector: str = "embedding") -> DataFrame:
@@ -74,7 +75,7 @@ def similarity_long(sims: DataFrame, labels: Labels, key: str) -> DataFrame:
     """(key, category, similarity), one row per page and label."""
     names = F.array(*[F.lit(n) for n in labels.names])
     pairs = F.arrays_zip(names.alias("category"), F.col("sims").alias("similarity"))
-    return sims.filter(F.col("sims").isNotNull()).select(key, F.inline(pairs))
+    return sims.select(key, F.inline(pairs))
 
 
 def similarity_wide(sims: DataFrame, labels: Labels, key: str, prefix: str = "sim_") -> DataFrame:

@@ -11,24 +11,27 @@ from firmlens.functions.joins import lookup_map
 from firmlens.functions.text import words
 
 
+DOCUMENT = ""
+
+
 def document_words(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
     """Different words of two or more characters per document, with the ``keep`` columns.
 
     Repeats are removed inside the document, so the later count per word needs no
-    distinct shuffle.
+    distinct shuffle. Each document also gives one empty word: counting that counts the
+    documents in the same pass over the texts.
     """
     long = F.filter(words(F.col(text)), lambda w: F.char_length(w) >= 2)
-    return docs.select(*keep, F.explode(F.array_distinct(long)).alias("word"))
+    return docs.select(*keep, F.explode(F.array_append(F.array_distinct(long), DOCUMENT)).alias("word"))
 
 
 def document_frequencies(docs: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
-    """Number of documents per word and ``by``."""
+    """Number of documents per word and ``by``; the empty word stands for all documents."""
     return document_words(docs, text, *by).groupBy(*by, "word").agg(F.count("*").alias("df"))
 
 
 def idf_scores(
     frequencies: DataFrame,
-    sizes: DataFrame,
     stop_words: Sequence[str] = (),
     min_df: int = 2,
     max_df: float = 0.95,
@@ -36,27 +39,24 @@ def idf_scores(
 ) -> DataFrame:
     """Smoothed inverse document frequency, ln((1 + n) / (1 + df)) + 1, per word.
 
-    ``sizes`` has the number of documents ``n_docs``, one row per ``corpus``. Words of fewer
-    than ``min_df`` documents or more than the share ``max_df`` of them drop out.
+    Words of fewer than ``min_df`` documents or more than the share ``max_df`` of them drop
+    out. ``corpus`` names a column that tells several corpora apart.
     """
+    keys = [corpus] if corpus else []
+    # Conditional, not filtered: a pushed-down filter would read the texts again.
+    all_documents = F.max(F.when(F.col("word") == DOCUMENT, F.col("df"))).alias("n_docs")
+    sizes = frequencies.groupBy(*keys).agg(all_documents)
     # A join by corpus would send every word to a handful of tasks; a map reaches them in place.
     n = F.element_at(lookup_map(sizes, corpus, "n_docs"), F.col(corpus)) if corpus else sizes.scalar()
     kept = frequencies.filter((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
-    if stop_words:
-        kept = kept.filter(~F.col("word").isin(list(stop_words)))
-    keys = [corpus] if corpus else []
+    kept = kept.filter(~F.col("word").isin([DOCUMENT, *stop_words]))
     return kept.select(*keys, "word", "df", (F.ln((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def corpus_sizes(docs: DataFrame, text: str = "text", corpus: str | None = None) -> DataFrame:
-    keys = [corpus] if corpus else []
-    return docs.filter(F.col(text).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_docs"))
-
-
 def idf_words(docs: DataFrame, text: str = "text", corpus: str | None = None, **limits: object) -> DataFrame:
     """Scores of all words of one corpus, or of several told apart by a ``corpus`` column."""
     frequencies = document_frequencies(docs, text, [corpus] if corpus else [])
-    return idf_scores(frequencies, corpus_sizes(docs, text, corpus), corpus=corpus, **limits)
+    return idf_scores(frequencies, corpus=corpus, **limits)
 
 
 def word_lists(frequencies: DataFrame, languages: Sequence[str], min_df: int = 2) -> DataFrame:

@@ -184,8 +184,7 @@ def flagged(spark, sf):
     corpora = b.corpora(spark, sf)
     counts = vo.document_frequencies(corpora, by=["corpus", "lang"])
     per_corpus = counts.groupBy("corpus", "word").agg(F.sum("df").alias("df"))
-    sizes = vo.corpus_sizes(corpora, corpus="corpus")
-    scored = vo.idf_scores(per_corpus, sizes, b.STOP_WORDS, corpus="corpus")
+    scored = vo.idf_scores(per_corpus, b.STOP_WORDS, corpus="corpus")
     return vo.idf_language(scored, vo.word_lists(counts, LANGUAGES), LANGUAGES)
 
 
