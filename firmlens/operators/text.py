@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ JUNK_PARTS = [
 ]
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
-BROADCAST_WORDS = 1_000_000
+MAX_WORDS = 1_000_000
 
 
 def clean_text(pages: DataFrame, key: str = "url", text: str = "text", max_chars: int | None = None) -> DataFrame:
@@ -78,13 +81,35 @@ def group_text(
 def vocabulary(pages: DataFrame, size: int, text: str = "text") -> DataFrame:
     """The ``size`` most frequent words with ids from 2 on, most frequent first.
 
-    ``size`` is the model's vocabulary size; it bounds the ranking below and the broadcast.
+    ``size`` is the model's vocabulary size; it bounds the ranking below.
     """
     counts = pages.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(size)
     rank = F.row_number().over(W.orderBy(F.desc("n"), "word"))
-    ids = top.select("word", (rank + (FIRST_ID - 1)).alias("token"))
-    return F.broadcast(ids) if size <= BROADCAST_WORDS else ids
+    return top.select("word", (rank + (FIRST_ID - 1)).alias("token"))
+
+
+def word_ids(found: Column, vocab: DataFrame) -> Column:
+    """The ids of an array of words; those outside the vocabulary share one id.
+
+    The vocabulary is read once, at most ``MAX_WORDS`` rows, and looked up in the tasks for
+    whole batches, so pages are neither exploded nor shuffled.
+    """
+    entries = vocab.select("word", "token").limit(MAX_WORDS + 1).toArrow()
+    if entries.num_rows > MAX_WORDS:
+        raise ValueError(f"more than {MAX_WORDS} words")
+    known = entries["word"].combine_chunks()
+    ids = np.append(entries["token"].to_numpy().astype("int32"), np.int32(UNKNOWN_ID))
+
+    @F.arrow_udf("array<int>")
+    def look_up(batch: pa.Array) -> pa.Array:
+        place = pc.fill_null(pc.index_in(batch.flatten(), value_set=known), len(known))
+        ends = np.cumsum(batch.value_lengths().to_numpy(zero_copy_only=False), dtype="int64")
+        offsets = pa.array(np.append(0, ends).astype("int32"))
+        return pa.ListArray.from_arrays(offsets, pa.array(ids[place.to_numpy(zero_copy_only=False)]))
+
+    # Declared non-deterministic so that using the result twice does not compute it twice.
+    return look_up.asNondeterministic()(found)
 
 
 def token_encode(
@@ -92,18 +117,10 @@ def token_encode(
 ) -> DataFrame:
     """Word ids and attention mask of exactly ``length`` entries per page.
 
-    Longer pages are truncated to the model's input length, shorter ones padded. Words
-    outside the vocabulary share one id.
+    Longer pages are truncated to the model's input length, shorter ones padded.
     """
     first = F.slice(words(F.coalesce(F.col(text), F.lit(""))), 1, length)
-    placed = pages.select(key, F.posexplode(first).alias("pos", "word"))
-    ids = placed.join(vocab, "word", "left").select(
-        key, F.struct("pos", F.coalesce("token", F.lit(UNKNOWN_ID)).alias("token")).alias("e")
-    )
-    tokens = ids.groupBy(key).agg(F.sort_array(F.collect_list("e")).getField("token").alias("t"))
-    tokens = pages.select(key).join(tokens, key, "left").withColumn(
-        "t", F.coalesce("t", F.array().cast("array<int>"))
-    )
+    tokens = pages.select(key, word_ids(first, vocab).alias("t"))
     missing = F.lit(length) - F.size("t")
     return tokens.select(
         key,

@@ -43,13 +43,14 @@ def idf_scores(
     out. ``corpus`` names a column that tells several corpora apart.
     """
     keys = [corpus] if corpus else []
-    # Conditional, not filtered: a pushed-down filter would read the texts again.
+    # Words are picked by condition here and below: a filter on them would be pushed into
+    # the counting, and the two uses of the counts would read the texts twice.
     all_documents = F.max(F.when(F.col("word") == DOCUMENT, F.col("df"))).alias("n_docs")
     sizes = frequencies.groupBy(*keys).agg(all_documents)
     # A join by corpus would send every word to a handful of tasks; a map reaches them in place.
     n = F.element_at(lookup_map(sizes, corpus, "n_docs"), F.col(corpus)) if corpus else sizes.scalar()
-    kept = frequencies.filter((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
-    kept = kept.filter(~F.col("word").isin([DOCUMENT, *stop_words]))
+    df = F.when(~F.col("word").isin([DOCUMENT, *stop_words]), F.col("df"))
+    kept = frequencies.filter((df >= min_df) & (df <= n * max_df))
     return kept.select(*keys, "word", "df", (F.ln((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 

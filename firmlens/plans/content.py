@@ -180,9 +180,8 @@ def scores(spark, sf):
 
 
 def flagged(spark, sf):
-    """Texts are read once: scores and flags add up the same counts per language."""
-    corpora = b.corpora(spark, sf)
-    counts = vo.document_frequencies(corpora, by=["corpus", "lang"])
+    """Texts are read once: scores and flags add up the same stored counts per language."""
+    counts = src.stored(vo.document_frequencies(b.corpora(spark, sf), by=["corpus", "lang"]), "words")
     per_corpus = counts.groupBy("corpus", "word").agg(F.sum("df").alias("df"))
     scored = vo.idf_scores(per_corpus, b.STOP_WORDS, corpus="corpus")
     return vo.idf_language(scored, vo.word_lists(counts, LANGUAGES), LANGUAGES)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from firmlens.functions import text as tx
-from firmlens.operators import crawl, firms as fo, links, sampling
+from firmlens.operators import crawl, links, sampling
+from firmlens.operators import firms as fo
 from firmlens.plans import bindings as b
 from firmlens.plans.registry import query, rounded
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from firmlens import sources as src
 from firmlens.functions import sets
 from firmlens.functions import text as tx
-from firmlens.operators import batches, distribution, firms as fo, sampling
+from firmlens.operators import agreement as ag
+from firmlens.operators import batches, distribution, sampling
+from firmlens.operators import firms as fo
 from firmlens.plans import bindings as b
 from firmlens.plans.registry import query, rounded
 
@@ -60,7 +62,7 @@ def scan_csv_ragged(spark, sf):
     path = src.shared_folder(spark, "ragged")
     orders(spark, sf).select(line.alias("value")).write.text(path)
     schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
+    return src.read_csv(spark, path, schema=schema, ragged=True, header=False)
 
 
 @query("union_diagonal", """
@@ -251,8 +253,6 @@ JACCARD = """
 
 
 def jaccard_values(spark, sf):
-    from firmlens.operators import agreement as ag
-
     pairs = ag.paired_sets(ag.source_flags(b.hits(spark, sf)), "web", "pat")
     return pairs.select("id", sets.jaccard(F.col("web"), F.col("pat")).alias("j"))
 
@@ -337,8 +337,6 @@ def scalar_strings(spark, sf):
     SELECT id, first, has, largest, place, measure, value FROM (
       UNPIVOT w ON n_web, n_common, n_any INTO NAME measure VALUE value)""", "hits")
 def scalar_arrays(spark, sf):
-    from firmlens.operators import agreement as ag
-
     web, pat = F.col("web"), F.col("pat")
     pairs = ag.paired_sets(ag.source_flags(b.hits(spark, sf)), "web", "pat")
     wide = pairs.select(

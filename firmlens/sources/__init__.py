@@ -7,6 +7,7 @@ from firmlens.sources.files import (  # noqa: F401
     read_ndjson,
     read_parquet,
     shared_folder,
+    stored,
     unreadable_files,
     write_csv,
     write_json,

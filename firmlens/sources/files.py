@@ -79,15 +79,16 @@ def read_csv(
     paths: str | Sequence[str],
     schema: StructType | str | None = None,
     ragged: bool = False,
+    header: bool = True,
 ) -> DataFrame:
-    """CSV with a header. Types are inferred (one extra pass) unless ``schema`` is given.
+    """CSV files. Types are inferred (one extra pass) unless ``schema`` is given.
 
     ``ragged`` accepts lines with too many or too few fields: surplus ones are dropped
     and missing ones are null. It needs a ``schema``.
     """
     if ragged and schema is None:
         raise ValueError("ragged files need an explicit schema")
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE" if ragged else "FAILFAST")
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE" if ragged else "FAILFAST")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(list([paths] if isinstance(paths, str) else paths))
 
@@ -129,6 +130,13 @@ def write_parquet(
     return path
 
 
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back: several uses compute it once,
+    and a lost executor does not send them back to the input."""
+    spark = table.sparkSession
+    return spark.read.schema(table.schema).parquet(write_parquet(table, shared_folder(spark, name)))
+
+
 def write_csv(table: DataFrame, path: str) -> str:
     table.write.mode("overwrite").option("header", True).csv(path)
     return path
