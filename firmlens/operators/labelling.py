@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlens.operators.firms import unique_keywords
@@ -48,26 +48,24 @@ def prompts(texts: DataFrame, head: str, max_chars: int = 100_000) -> DataFrame:
     return texts.select("id", F.concat(F.lit(head), F.substring("text", 1, max_chars)).alias("prompt"))
 
 
-def parse_answer(text: Column) -> Column:
-    """An answer as a struct; null if it is neither JSON nor a Python literal."""
+def parse_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
+    """Answers as columns, with the firm's id; what is neither JSON nor a Python literal
+    keeps a row of nulls."""
     schema = f"{ANSWER}, malformed string"
     options = {"columnNameOfCorruptRecord": "malformed"}
-    # Python's None, True and False outside quotes: an even number of quotes must follow.
+    # Python's None, True and False outside quotes: only whole quoted parts may follow.
     outside = r"""(?=(?:[^'"]++|'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+")*+$)"""
-    literal = text
+    literal = F.col(text)
     for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
         literal = F.regexp_replace(literal, rf"\b{python}\b{outside}", json)
-    first, second = F.from_json(text, schema, options), F.from_json(literal, schema, options)
-    good = F.when(first.getField("malformed").isNull(), first).when(second.getField("malformed").isNull(), second)
+    # In steps, so that every answer is parsed once and only malformed ones a second time.
+    first = answers.select("id", text, F.from_json(text, schema, options).alias("first"))
+    retry = F.when(F.col("first.malformed").isNotNull(), literal)
+    second = first.select("id", "first", F.from_json(retry, schema, options).alias("second"))
+    chosen = second.select("id", F.coalesce("second", "first").alias("a"))
     names = [part.split()[0] for part in ANSWER.split(", ")]
-    return F.when(
-        good.isNotNull(), F.struct(*[good.getField(n).alias(n) for n in names])
-    )
-
-
-def parse_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
-    """Answers as columns, with the firm's id; unreadable ones keep a row of nulls."""
-    return answers.select("id", parse_answer(F.col(text)).alias("a")).select("id", "a.*")
+    good = F.col("a.malformed").isNull()
+    return chosen.select("id", *[F.when(good, F.col(f"a.{n}")).alias(n) for n in names])
 
 
 def read_batch(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:

@@ -127,13 +127,14 @@ def rta_all_regions(counts: DataFrame, thresh: int) -> DataFrame:
     """The firm-share variant for every region at once, each against all others."""
     enough = counts.filter((F.col("n_unique") >= thresh) & F.col("canton").isNotNull())
     cells = enough.groupBy("canton", "category").agg(F.count("*").alias("count_region"))
-    per_category = cells.groupBy("category").agg(F.sum("count_region").alias("count_all"))
+    # One row per region meets in this window.
+    count_all = F.sum("count_region").over(W.partitionBy("category"))
     firms = firm_flags(counts.filter(F.col("canton").isNotNull()), "id", "canton")
     per_region = firms.groupBy("canton").agg(F.count("*").alias("n_region"))
     n_all = per_region.agg(F.sum("n_region")).scalar()
-    joined = cells.join(per_category, "category").join(per_region, "canton").select(
-        "canton", "category", "count_region",
-        (F.col("count_all") - F.col("count_region")).alias("count_rest"),
+    cells = cells.withColumn("count_rest", count_all - F.col("count_region"))
+    joined = cells.join(per_region, "canton").select(
+        "canton", "category", "count_region", "count_rest",
         "n_region", (n_all - F.col("n_region")).alias("n_rest"),
     )
     rated = _with_ratio(joined.filter("count_rest > 0"), F.col("n_region"), F.col("n_rest"))

@@ -384,9 +384,9 @@ def llm_answers_parse(spark, sf):
 
 @query("scalar_json", ANSWERS + " SELECT id, fields[1] AS first, len(fields)::BIGINT AS n FROM a", "llm_labels")
 def scalar_json(spark, sf):
-    parsed = lb.parse_answer(F.col("answer")).getField("fields")
-    return answers(spark, sf).select(
-        "id", F.get(parsed, F.lit(0)).alias("first"), F.size(parsed).cast("long").alias("n"))
+    fields = F.col("fields")
+    return lb.parse_answers(answers(spark, sf)).select(
+        "id", F.get(fields, F.lit(0)).alias("first"), F.size(fields).cast("long").alias("n"))
 
 
 @query("llm_batch_parse", ANSWERS + """
