@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.operators.firms import unique_keywords
@@ -19,16 +20,20 @@ BATCH_LINE = (
 
 
 def candidates(hits: DataFrame, thresh: int = 3) -> DataFrame:
-    """(id, category, n_unique) on websites at the threshold, for firms that also hold patents."""
-    web = unique_keywords(hits.filter(F.col("source") == "web")).filter(F.col("n_unique") >= thresh)
-    pat = hits.filter(F.col("source") == "pat").select("id").distinct()
-    return web.join(pat, "id", "left_semi").select("id", "category", "n_unique")
+    """(id, category, n_unique) on websites at the threshold, for firms that also hold patents.
+
+    The window spans the categories of one firm.
+    """
+    web, pat = F.col("source") == "web", F.col("source") == "pat"
+    counts = unique_keywords(hits, "source", "id", "category")
+    counts = counts.withColumn("holds", F.bool_or(pat).over(W.partitionBy("id")))
+    return counts.filter(web & (F.col("n_unique") >= thresh) & F.col("holds")).select("id", "category", "n_unique")
 
 
 def corpus(pages: DataFrame, chosen: DataFrame, **how: object) -> DataFrame:
     """One non-empty text per chosen firm."""
     own = pages.join(chosen.select("id").distinct(), "id", "left_semi")
-    return group_text(own, **how).filter("text <> ''")
+    return group_text(own, keep_empty=False, **how)
 
 
 def instructions(fields: Iterable[str]) -> str:

@@ -50,9 +50,13 @@ def group_text(
     separator: str = "\n",
     max_chars: int = 1_000_000,
     salts: int | None = None,
+    keep_empty: bool = True,
 ) -> DataFrame:
     """One text per firm: its pages joined in ``order`` and cut at ``max_chars``.
 
+    A firm without any text has an empty one, or with ``keep_empty`` off no row, which
+    saves a look at all firms.
+
     ``order`` must be unique. A firm may own most pages, so its pages are first split
     into ``salts`` groups (as many as shuffle partitions); a page that starts beyond the
     cut within its group also does in the whole text and is dropped there. What then
@@ -60,7 +64,6 @@ def group_text(
     """
     spark = pages.sparkSession
     salts = salts or min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    firms = pages.select(key).distinct()
     rows = pages.filter(F.col(text).isNotNull()).select(
         key, order, F.substring(text, 1, max_chars).alias("__text"),
         (F.char_length(text).cast("long") + len(separator)).alias("__width"),
@@ -75,7 +78,9 @@ def group_text(
     parts = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, "__text"))).alias("__parts"))
     full = F.array_join(F.col("__parts").getField("__text"), separator)
     texts = parts.select(key, F.substring(full, 1, max_chars).alias(text))
-    return firms.join(texts, key, "left").withColumn(text, F.coalesce(text, F.lit("")))
+    if not keep_empty:
+        return texts.filter(F.col(text) != "")
+    return pages.select(key).distinct().join(texts, key, "left").withColumn(text, F.coalesce(text, F.lit("")))
 
 
 def vocabulary(pages: DataFrame, size: int, text: str = "text") -> DataFrame:
