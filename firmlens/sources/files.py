@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-# Below this many input splits per core some cores would idle while others work.
+# Below this many input splits per core some cores would idle while others work. Inputs
+# of more splits than the second limit (16 GB at the default split size) never move.
 SPLITS_PER_CORE = 4
+MAX_SPREAD_SPLITS = 128
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -53,7 +55,7 @@ def read_parquet(
         reader = reader.schema(schema)
     table = reader.parquet(*([paths] if isinstance(paths, str) else paths))
     cores = spark.sparkContext.defaultParallelism
-    if spread_by and table.rdd.getNumPartitions() < SPLITS_PER_CORE * cores:
+    if spread_by and table.rdd.getNumPartitions() < min(SPLITS_PER_CORE * cores, MAX_SPREAD_SPLITS):
         table = table.repartition(cores, spread_by)
     return table
 
