@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import packing, token_counts
+from firmlens.llm import packing, token_counts, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 MAX_TOKENS = 512
 
 
@@ -42,3 +43,14 @@ def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def token_count(spark: SparkSession, sf: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf, "documents"), BYTE_BPE)
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+@query("op8_bpe_transducer")
+def bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = transducer.encode_texts(table(spark, sf, "documents"), MULTI_BPE, public_tokenizers.PATTERN)
+    return transducer.decode_texts(encoded, MULTI_BPE).select(
+        "doc_id",
+        F.expr("length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
