@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import packing, token_counts, transducer
+from firmlens.llm import packing, quality, secrets, token_counts, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 MAX_TOKENS = 512
 
@@ -45,6 +46,12 @@ def token_count(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+@query("op4_line_quality")
+def line_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality.quality_rules(docs, quality.fit_to_labels(docs, table(spark, sf, "labels")))
+
+
 @query("op8_bpe_transducer")
 def bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
     encoded = transducer.encode_texts(table(spark, sf, "documents"), MULTI_BPE, public_tokenizers.PATTERN)
@@ -54,3 +61,17 @@ def bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_secret_scan")
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents"), BYTE_RANKS)
+    base = F.filter("spans", lambda s: s.kind != "random")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), count("random"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"),
+    )
