@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.sources.files import stored
+from firmlens.llm.storage import stored
 
 
 def _stars(links: DataFrame) -> DataFrame:

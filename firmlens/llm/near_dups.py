@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.llm.components import components
-from firmlens.sources.files import stored
+from firmlens.llm.storage import stored
 
 # The words, the hash's seed, and the generator polynomial of the Golay code
 # (x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1).

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 from firmlens.llm.pretokens import Remembered, classes_without, grouped, looked_up_parts
 from firmlens.llm.token_counts import unknown_to
-from firmlens.sources.files import stored
+from firmlens.llm.storage import stored
 
 #: Sequences with at most this much room left are not packed again.
 NEARLY_FULL = 8

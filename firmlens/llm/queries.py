@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import near_dups, packing, quality, secrets, token_counts, transducer
+from firmlens.llm import near_dups, packing, quality, repeats, secrets, token_counts, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +80,9 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"), count("random"),
         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf, "documents"), window=400, keep_first=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
