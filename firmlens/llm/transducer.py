@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from firmlens.llm.pretokens import Remembered, classes_without, grouped, looked_up, unknown_chars
 
 #: States kept in a task; beyond, the transducer is built anew.
-MOST_STATES = 200_000
+MOST_STATES = 150_000
 #: Pairs of tokens whose judgement is kept.
-MOST_PAIRS = 1_000_000
+MOST_PAIRS = 500_000
 NEVER = 1 << 40
+ONE_BYTE = [bytes([b]) for b in range(256)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,14 +59,14 @@ class Transducer:
         }
         for token, rank in ranks.items():
             self.known.setdefault(token, (rank, False))
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
         self.spines: dict[int, tuple[list[int], list[int]] | None] = {}
         self.states: dict[tuple[int, bytes], State] = {}
         self.forget()
 
     def _spines(self, token: int) -> tuple[list[int], list[int]] | None:
-        """The tokens that come to stand first and last while the merges make ``token``, or
-        None if they make something else of its bytes."""
+        """The tokens that come to stand first and last while the merges make ``token``, each
+        list closed by ``NEVER``; None if the merges make something else of its bytes."""
         if token not in self.spines:
             ranks = self.ranks
             parts = [bytes([b]) for b in self.bytes_of[token]]
@@ -79,7 +80,7 @@ class Transducer:
                 if at == len(parts) - 2:
                     right.append(best)
                 parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            self.spines[token] = (left, right) if len(parts) == 1 else None
+            self.spines[token] = ([*left, NEVER], [*right, NEVER]) if len(parts) == 1 else None
         return self.spines[token]
 
     def stay_apart(self, first: int, second: int) -> bool:
@@ -87,27 +88,32 @@ class Transducer:
         if len(self.apart) > MOST_PAIRS:
             self.apart.clear()
         held = self._spines(second) is not None if first == -1 else self._stay_apart(first, second)
-        self.apart[first, second] = held
+        self.apart[first << 20 | second] = held
         return held
 
     def _stay_apart(self, first: int, second: int) -> bool:
         own, other = self._spines(first), self._spines(second)
         if own is None or other is None:
             return False
-        right, left = [*own[1], NEVER], [*other[0], NEVER]
+        right, left = own[1], other[0]
+        get, bytes_of = self.ranks.get, self.bytes_of
         i = j = 0
+        before, behind = bytes_of[right[0]], bytes_of[left[0]]
         while True:
             # The neighbours at the border until either is merged into the next of its side;
             # of two merges of one rank the left one comes first.
-            across = self.ranks.get(self.bytes_of[right[i]] + self.bytes_of[left[j]], NEVER)
-            if across < right[i + 1] and across <= left[j + 1] and across != NEVER:
+            next_right, next_left = right[i + 1], left[j + 1]
+            across = get(before + behind)
+            if across is not None and across < next_right and across <= next_left:
                 return False
-            if right[i + 1] == left[j + 1] == NEVER:
-                return True
-            if right[i + 1] <= left[j + 1]:
+            if next_right <= next_left:
+                if next_right == NEVER:
+                    return True
                 i += 1
+                before = bytes_of[next_right]
             else:
                 j += 1
+                behind = bytes_of[next_left]
 
     def forget(self) -> None:
         for state in self.states.values():
@@ -116,31 +122,34 @@ class Transducer:
         self.start = State(-1, b"", [(0, ())])
 
     def _follow(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        pending, last = state.pending + bytes((byte,)), state.last
+        pending, last = state.pending + ONE_BYTE[byte], state.last
+        known_of, held_of = self.known.get, self.apart.get
         live = []
         path = None
         for entry in state.live:
             place, tokens = entry
-            known = self.known.get(pending[place:])
+            known = known_of(pending[place:] if place else pending)
             if known is None:
                 continue
             token, longer = known
             if path is None and token is not None:
                 before = tokens[-1] if tokens else last
-                held = self.apart.get((before, token))
+                held = held_of(before << 20 | token)
                 if held or held is None and self.stay_apart(before, token):
                     path = (*tokens, token)
             if longer:
                 live.append(entry)
         if path is None:
             raise ValueError("the vocabulary lacks a byte")
-        live.append((len(pending), path))
         common = 0
-        shortest = live[0][1]
-        for token in shortest:
-            if any(tokens[common : common + 1] != (token,) for _, tokens in live):
-                break
-            common += 1
+        if not live:
+            common = len(path)
+        else:
+            for token in live[0][1]:
+                if path[common] != token or any(tokens[common : common + 1] != (token,) for _, tokens in live):
+                    break
+                common += 1
+        live.append((len(pending), path))
         written = path[:common]
         if written:
             cut = sum(len(self.bytes_of[t]) for t in written)
