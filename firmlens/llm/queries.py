@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import near_dups, packing, quality, repeats, secrets, token_counts, transducer
+from firmlens.llm import near_dups, neighbours, packing, quality, repeats, secrets, token_counts, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,11 @@ def line_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_rules(docs, quality.fit_to_labels(docs, table(spark, sf, "labels")))
 
 
+@query("op5_permutation_index")
+def permutation_index(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, count=20)
+
+
 @query("op6_golay_simhash")
 def golay_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.simhash_components(table(spark, sf, "documents"), words=3)
