@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import near_dups, neighbours, packing, quality, repeats, secrets, token_counts, transducer
+from firmlens.llm import chat, grades, near_dups, neighbours, packing, quality, repeats, secrets, token_counts, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,56 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+CHAT_SQL = """
+WITH own AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) t),
+ends AS (
+  SELECT conv_id, coalesce(max(pos) FILTER (WHERE role = 'assistant'), 0) AS n, max(pos) AS size FROM own GROUP BY conv_id),
+answers AS (
+  SELECT o.conv_id, o.role, o.text FROM own o JOIN ends e ON o.conv_id = e.conv_id AND o.pos = e.n),
+sides AS (
+  SELECT 'c' AS side, o.conv_id, o.pos, o.role, o.text FROM own o JOIN ends e USING (conv_id) WHERE e.n = 0 OR o.pos <= e.n
+  UNION ALL
+  SELECT 'r', o.conv_id, o.pos, o.role, o.text FROM own o JOIN ends e USING (conv_id) WHERE e.n = 0 OR o.pos < e.n
+  UNION ALL
+  SELECT 'r', e.conv_id, CASE WHEN e.n = 0 THEN e.size + 1 ELSE e.n END, a.role, a.text
+  FROM ends e JOIN answers a ON a.conv_id = xor(e.conv_id, 1)),
+sizes AS (
+  SELECT conv_id, count(*) FILTER (WHERE side = 'c') AS nc, count(*) FILTER (WHERE side = 'r') AS nr FROM sides GROUP BY conv_id),
+differ AS (
+  SELECT c.conv_id, min(c.pos) AS pos FROM sides c JOIN sides r ON r.side = 'r' AND c.conv_id = r.conv_id AND c.pos = r.pos
+  WHERE c.side = 'c' AND (c.role <> r.role OR c.text <> r.text) GROUP BY c.conv_id),
+prompts AS (
+  SELECT s.conv_id, coalesce(d.pos - 1, least(s.nc, s.nr)) AS np FROM sizes s LEFT JOIN differ d USING (conv_id)),
+shown AS (
+  SELECT s.side, s.conv_id, s.pos, s.role, p.np, '<|im_start|>' || s.role || chr(10) AS head,
+         '<|im_start|>' || s.role || chr(10) || s.text || '<|im_end|>' || chr(10) AS shown
+  FROM sides s JOIN prompts p USING (conv_id)),
+placed AS (
+  SELECT *, sum(length(shown)) OVER (PARTITION BY conv_id, side, pos > np ORDER BY pos) AS stop FROM shown),
+pieces AS (
+  SELECT conv_id, np, side,
+    coalesce(string_agg(shown, '' ORDER BY pos) FILTER (WHERE pos <= np), '') AS before,
+    coalesce(string_agg(shown, '' ORDER BY pos) FILTER (WHERE pos > np), '') AS after,
+    coalesce(string_agg(concat(stop - length(shown) + length(head), ':', stop - 1), ',' ORDER BY pos)
+      FILTER (WHERE pos > np AND role = 'assistant'), '') AS learned
+  FROM placed GROUP BY conv_id, np, side)
+SELECT p.conv_id, CAST(p.np AS INTEGER) AS n_prompt_turns, coalesce(c.before, '') AS prompt,
+  coalesce(c.after, '') AS chosen, coalesce(c.learned, '') AS chosen_learned,
+  coalesce(r.after, '') AS rejected, coalesce(r.learned, '') AS rejected_learned
+FROM prompts p LEFT JOIN pieces c ON c.conv_id = p.conv_id AND c.side = 'c'
+LEFT JOIN pieces r ON r.conv_id = p.conv_id AND r.side = 'r'
+"""
+
+
+@query("op1_preference_rows", CHAT_SQL)
+def preference_rows(spark: SparkSession, sf: str) -> DataFrame:
+    talks = chat.conversations(table(spark, sf, "conversations"))
+    return chat.preference_rows(chat.answer_pairs(talks, F.col("conv_id").bitwiseXOR(F.lit(1))))
+
+
 @query("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), BYTE_BPE)
@@ -62,6 +112,17 @@ def golay_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.simhash_components(table(spark, sf, "documents"), words=3)
 
 
+#: A document's grade: bad and toxic, bad, good but toxic, good.
+GRADES = 4
+
+
+@query("op7_ordinal_grades")
+def ordinal_grades(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    grader = grades.fit_to_ratings(docs, labels, 2 * F.col("quality") + 1 - F.col("toxic"), GRADES)
+    return grades.graded(docs, grader, reach=GRADES - 1)
+
+
 @query("op8_bpe_transducer")
 def bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
     encoded = transducer.encode_texts(table(spark, sf, "documents"), MULTI_BPE, public_tokenizers.PATTERN)
