@@ -336,8 +336,11 @@ def repeated_spans(docs: DataFrame, window: int, keep_first: bool, kind: str) ->
     again = rows.table.groupBy("mark").agg(
         F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"), F.min(place).alias("least")
     ).filter("n > 1")
-    known = Stored(rows.table.join(again.drop("n"), "mark"), "repeated")
+    # Written, so that the join deals both sides anew and a frequent mark is split.
+    again = Stored(again.drop("n"), "again")
+    known = Stored(rows.table.join(again.table, "mark"), "repeated")
     rows.drop()
+    again.drop()
     alike = F.col("low") == F.col("high")
 
     def span(table: DataFrame) -> DataFrame:
