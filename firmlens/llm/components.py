@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from firmlens.llm.storage import stored
 
 
+def _least(links: DataFrame) -> DataFrame:
+    """The smallest neighbour of each ``a``. Written, so that a join with it deals both sides
+    anew and a hub's links are split."""
+    return stored(links.groupBy("a").agg(F.min("b").alias("least")), "least")
+
+
 def _stars(links: DataFrame) -> DataFrame:
-    """Larger neighbours of each node move to its smallest one, then all smaller ones do."""
+    """Larger neighbours of each node move to its smallest one, then all smaller ones do.
+    In every link ``a`` is the larger node."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    # Here a > b for every row; a node's smaller neighbours are its b.
-    large = large.distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("least"))
-    joined = large.join(least, "a")
-    small = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a != b")
+    large = both.filter("b > a").join(_least(both), "a").select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
+    large = stored(large.distinct(), "large")
+    least = _least(large)
+    small = large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a != b")
     return small.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 

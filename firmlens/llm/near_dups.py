@@ -231,8 +231,10 @@ def simhash_components(docs: DataFrame, words: int = 3, key: str = "doc_id", tex
     own = stored(fingerprints(docs, words, key, text), "fingerprints")
     firsts = stored(own.groupBy("fingerprint").agg(F.min(key).alias("first")), "distinct")
     named = components(fingerprint_links(firsts)).withColumnRenamed("node", "fingerprint")
-    joined = firsts.join(named, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    least = joined.groupBy("component").agg(F.min("first").alias("component_id"))
+    joined = stored(
+        firsts.join(named, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")), "named"
+    )
+    least = stored(joined.groupBy("component").agg(F.min("first").alias("component_id")), "least")
     ids = joined.join(least, "component").select("fingerprint", "component_id")
     return own.join(ids, "fingerprint").select(
         key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
