@@ -1,7 +1,7 @@
 """Removal of long strings that repeat anywhere in a corpus.
 
-Every window of ``window`` bytes has a mark: among its strings of 128 bytes the one with
-the least hash. Equal windows have equal marks, so only marks that occur again are looked
+Every window of ``window`` bytes has a mark: among its shorter strings of a fixed length
+the one with the least hash. Equal windows have equal marks, so only marks that occur again are looked
 at. A mark's windows follow each other; their bytes are its context. Equal contexts are
 counted, and one of each goes on. Different contexts of one mark meet in a task, which
 sorts their suffixes by the first ``window`` bytes. There the previous and next smaller
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from firmlens.llm.storage import Stored, stored
 
-#: Bytes of a mark, and bits of its hash that make room for its place.
-MARK = 128
+#: Bytes of the shortest window, and bits of a mark's hash that make room for its place.
+SHORTEST = 48
 PLACE_BITS = 24
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 20
@@ -61,17 +61,22 @@ def sliding_min(value: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(value[: len(value) - (width - done)], value[width - done :]) if width > done else value
 
 
+def mark_size(window: int) -> int:
+    """Bytes of a mark: a power of two, at most a third of the window."""
+    return 1 << ((window // 3).bit_length() - 1)
+
+
 def marks(data: bytes, window: int) -> Iterator[tuple[int, int, int, int]]:
     """``(hash, place, first, last)``: each mark, and the first and last window that has it.
 
     Of equal marks in a window the first counts. The windows of a long text are looked at
     in chunks, which may cut a mark's windows in two.
     """
-    array = np.frombuffer(data, np.uint8)
+    array, size = np.frombuffer(data, np.uint8), mark_size(window)
     for begin in range(0, len(data) - window + 1, CHUNK):
-        hashes = string_hashes(array[begin : begin + CHUNK + window - 1], MARK)
+        hashes = string_hashes(array[begin : begin + CHUNK + window - 1], size)
         keyed = hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
-        least = sliding_min(keyed, window - MARK + 1)
+        least = sliding_min(keyed, window - size + 1)
         first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
         last = np.append(first[1:], len(least)) - 1
         place = (least[first] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
@@ -330,6 +335,8 @@ def _split(contexts: DataFrame, window: int, keep_first: bool, kind: str) -> Dat
 
 def repeated_spans(docs: DataFrame, window: int, keep_first: bool, kind: str) -> DataFrame:
     """``(k, digest, spans)`` of ``docs(k, digest, text)``: byte ranges that copies cover."""
+    if window < SHORTEST:
+        raise ValueError(f"a window has {SHORTEST} bytes at least")
     contexts = _contexts(docs, window, kind)
     place = F.struct("k", "digest", "first")
     rows = Stored(contexts.distinct() if keep_first else contexts, "contexts")
@@ -395,10 +402,8 @@ def remove_repeats(
 
     A null text is an empty one and loses nothing. Rows that are equal in key and text are
     one text to ``keep_first`` and lose the same; otherwise each is a copy of the other. A
-    null key stands before all others. Other columns are not read. ``window`` is at least 128.
+    null key stands before all others. Other columns are not read. ``window`` is at least 48.
     """
-    if window < MARK:
-        raise ValueError(f"a window has {MARK} bytes at least")
     own = _numbered(docs, key, text)
     kind = docs.schema[key].dataType.simpleString()
     spans = repeated_spans(own, window, keep_first, kind)
@@ -423,3 +428,51 @@ def remove_repeats(
             )
 
     return joined.mapInArrow(work, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def whole_characters(data: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges without the bytes of characters that they only cut."""
+
+    def forward(at: int) -> int:
+        while at < len(data) and data[at] & 0xC0 == 0x80:
+            at += 1
+        return at
+
+    def back(at: int) -> int:
+        while 0 < at < len(data) and data[at] & 0xC0 == 0x80:
+            at -= 1
+        return at
+
+    cut = [(forward(a), back(b)) for a, b in ranges]
+    return [(a, b) for a, b in cut if a < b]
+
+
+def without_repeats(docs: DataFrame, window: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with later copies of strings of ``window`` bytes taken out of its texts, as
+    :func:`remove_repeats` finds them. Characters that a range cuts stay whole. All rows and
+    columns stay; a null text stays null."""
+    own = _numbered(docs, key, text)
+    spans = repeated_spans(own, window, True, docs.schema[key].dataType.simpleString())
+    spans = spans.select(F.col("k").alias("_k"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    joined = docs.join(spans, docs[key].eqNullSafe(spans["_k"]) & (F.hash(whole) == spans["_digest"]), "left").select(
+        *docs.columns, "_spans"
+    )
+    at = docs.columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for value, found in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                if found and value:
+                    data, left, done = value.encode(), [], 0
+                    for a, b in whole_characters(data, merged(found)):
+                        left.append(data[done:a])
+                        done = b
+                    value = b"".join([*left, data[done:]]).decode()
+                texts.append(value)
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    return joined.mapInArrow(work, docs.schema)
