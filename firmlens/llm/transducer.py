@@ -2,10 +2,12 @@
 
 The encoding of a text is the path of tokens in which every two neighbours would be left
 apart by the merges. For each place in a text exactly one token ends such a path there. A
-state is the last token written and the bytes read since; reading a byte adds the token
-that ends at the new place. A path is dropped when no longer token can begin where it
-ends, and as soon as all remaining paths begin with the same tokens these are written.
-States and transitions are made at their first use and kept, within a bound.
+state is the last token written and the bytes read since, with the paths through them;
+reading a byte adds the token that ends at the new place. A path is dropped when no longer
+token can begin where it ends, and as soon as all remaining paths begin with the same
+tokens these are written. The last token decides only whether a token right behind it may
+stand there, so a transition has at most two outcomes, and states that differ in the last
+token share them. Both are made at their first use and kept, within a bound.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 from firmlens.llm.pretokens import Remembered, classes_without, grouped, looked_up, unknown_chars
 
 #: States kept in a task; beyond, the transducer is built anew.
-MOST_STATES = 150_000
+MOST_STATES = 60_000
 #: Pairs of tokens whose judgement is kept.
-MOST_PAIRS = 500_000
+MOST_PAIRS = 400_000
+#: Rows of an Arrow batch that are worked on at once.
+SLICE = 1000
 NEVER = 1 << 40
 ONE_BYTE = [bytes([b]) for b in range(256)]
 
@@ -38,15 +42,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    __slots__ = ("last", "live", "pending", "step")
+    __slots__ = ("live", "pending", "step")
 
-    def __init__(self, last: int, pending: bytes, live: list[tuple[int, tuple[int, ...]]]):
-        #: The last token written, -1 if there is none, and the bytes read behind it.
-        self.last, self.pending = last, pending
+    def __init__(self, pending: bytes, live: list[tuple[int, tuple[int, ...]]]):
+        #: Bytes read behind the last token written.
+        self.pending = pending
         #: Places where a token can begin that ends behind ``pending``, with the tokens on the
         #: path there; the last place is the end of ``pending``.
         self.live = live
-        self.step: dict[int, tuple[State, tuple[int, ...]]] = {}
+        #: By byte: the token right behind the last one written that it completes (or None), and
+        #: what follows, state and tokens written, if that token may stand there and if not.
+        self.step: dict[int, list] = {}
 
 
 class Transducer:
@@ -61,7 +67,7 @@ class Transducer:
             self.known.setdefault(token, (rank, False))
         self.apart: dict[int, bool] = {}
         self.spines: dict[int, tuple[list[int], list[int]] | None] = {}
-        self.states: dict[tuple[int, bytes], State] = {}
+        self.states: dict[tuple, State] = {}
         self.forget()
 
     def _spines(self, token: int) -> tuple[list[int], list[int]] | None:
@@ -119,23 +125,30 @@ class Transducer:
         for state in self.states.values():
             state.step.clear()  # states refer to each other
         self.states.clear()
-        self.start = State(-1, b"", [(0, ())])
-
-    def _follow(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        pending, last = state.pending + ONE_BYTE[byte], state.last
-        known_of, held_of = self.known.get, self.apart.get
+        self.start = State(b"", [(0, ())])
+
+    def _open(self, state: State, byte: int) -> list:
+        """A transition without its outcomes."""
+        if len(self.states) > self.most_states:
+            self.forget()
+        first = None
+        if state.live[0] == (0, ()):
+            first = self.known.get(state.pending + ONE_BYTE[byte], (None, False))[0]
+        step = state.step[byte] = [first, None, None]
+        return step
+
+    def _follow(self, state: State, byte: int, step: list, held: bool) -> tuple[State, tuple[int, ...]]:
+        """The outcome of a transition whose first token may stand (``held``) or not."""
+        pending = state.pending + ONE_BYTE[byte]
         live = []
-        path = None
+        path = (step[0],) if held else None
         for entry in state.live:
             place, tokens = entry
-            known = known_of(pending[place:] if place else pending)
-            if known is None:
-                continue
-            token, longer = known
-            if path is None and token is not None:
-                before = tokens[-1] if tokens else last
-                held = held_of(before << 20 | token)
-                if held or held is None and self.stay_apart(before, token):
+            token, longer = self.known.get(pending[place:], (None, False))
+            if path is None and token is not None and tokens:
+                key = tokens[-1] << 20 | token
+                apart = self.apart.get(key)
+                if apart or apart is None and self.stay_apart(tokens[-1], token):
                     path = (*tokens, token)
             if longer:
                 live.append(entry)
@@ -153,12 +166,13 @@ class Transducer:
         written = path[:common]
         if written:
             cut = sum(len(self.bytes_of[t]) for t in written)
-            last, pending = written[-1], pending[cut:]
+            pending = pending[cut:]
             live = [(place - cut, tokens[common:]) for place, tokens in live]
-        after = self.states.get((last, pending))
+        key = (pending, *live)
+        after = self.states.get(key)
         if after is None:
-            after = self.states[last, pending] = State(last, pending, live)
-        state.step[byte] = (after, written)
+            after = self.states[key] = State(pending, live)
+        step[1 if held else 2] = (after, written)
         return after, written
 
     def encode(self, data: bytes) -> list[int]:
@@ -166,16 +180,19 @@ class Transducer:
         if data in self.ranks:
             return [self.ranks[data]]
         out: list[int] = []
-        state = self.start
+        state, last, apart = self.start, -1, self.apart
         for byte in data:
-            step = state.step.get(byte)
-            if step is None:
-                if len(self.states) > self.most_states:
-                    self.forget()
-                step = self._follow(state, byte)
-            state, written = step
+            step = state.step.get(byte) or self._open(state, byte)
+            first = step[0]
+            held = False
+            if first is not None:
+                held = apart.get(last << 20 | first)
+                if held is None:
+                    held = self.stay_apart(last, first)
+            state, written = step[1 if held else 2] or self._follow(state, byte, step, held)
             if written:
                 out.extend(written)
+                last = written[-1]
         out.extend(state.live[-1][1])
         return out
 
@@ -264,8 +281,10 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id",
         remembered, _ = encoder(ranks, unknown)
         gc.disable()  # nothing here waits for the collector, which would go through all states again and again
         for batch in batches:
-            ids = [b"".join(own) for group in grouped(batch.column(1).to_pylist()) for own in looked_up(group, remembered)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], [key, "ids"])
+            for first in range(0, batch.num_rows, SLICE):  # a task holds the texts and ids of a slice
+                part = batch.slice(first, SLICE)
+                ids = [b"".join(own) for group in grouped(part.column(1).to_pylist()) for own in looked_up(group, remembered)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], [key, "ids"])
         gc.enable()
 
     kind = docs.schema[key].dataType.simpleString()
@@ -278,9 +297,11 @@ def decode_texts(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = encoder_bytes(ranks)
         for batch in batches:
-            values = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            texts = [None if v is None else "".join(decoded(np.frombuffer(v, "<u4").tolist(), bytes_of)) for v in values]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
+            for first in range(0, batch.num_rows, SLICE):
+                part = batch.slice(first, SLICE)
+                values = part.column(part.schema.get_field_index(ids)).to_pylist()
+                texts = [None if v is None else "".join(decoded(np.frombuffer(v, "<u4").tolist(), bytes_of)) for v in values]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "text"])
 
     plain = encoded.drop("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
