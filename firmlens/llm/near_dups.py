@@ -440,7 +440,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: s
 def without_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of :func:`near_copies`: the one with the smallest
     key (null before all). Rows equal in key and text count as one; all columns stay."""
-    kept = near_copies(docs, words, similarity, key, text).filter("keeper").select(F.col("k").alias("_k"), F.col("digest").alias("_digest")).distinct()
+    kept = near_copies(docs, words, similarity, key, text).filter("keeper").select("k", "digest").distinct()
     whole = F.coalesce(F.col(text), F.lit(""))
-    numbered = docs.select("*", F.xxhash64(F.col(key), whole).alias("_k"), F.hash(whole).alias("_digest"))
-    return numbered.join(stored(kept, "kept"), ["_k", "_digest"]).dropDuplicates(["_k", "_digest"]).select(*docs.columns)
+    numbered = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(key), whole).alias("k"), F.hash(whole).alias("digest"))
+    return numbered.join(stored(kept, "kept"), ["k", "digest"]).dropDuplicates(["k", "digest"]).select("row.*")

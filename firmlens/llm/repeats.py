@@ -453,17 +453,17 @@ def without_repeats(docs: DataFrame, window: int = 400, key: str = "doc_id", tex
     columns stay; a null text stays null."""
     own = _numbered(docs, key, text)
     spans = repeated_spans(own, window, True, docs.schema[key].dataType.simpleString())
-    spans = spans.select(F.col("k").alias("_k"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans"))
     whole = F.coalesce(F.col(text), F.lit(""))
-    joined = docs.join(spans, docs[key].eqNullSafe(spans["_k"]) & (F.hash(whole) == spans["_digest"]), "left").select(
-        *docs.columns, "_spans"
-    )
-    at = docs.columns.index(text)
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("own"), F.hash(whole).alias("own_digest"))
+    joined = rows.join(spans, rows["own"].eqNullSafe(spans["k"]) & (rows["own_digest"] == spans["digest"]), "left")
+    joined = joined.select("row", "spans")
+    at, docs_names = docs.columns.index(text), docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for value, found in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            columns = batch.column(0).flatten()
+            for value, found in zip(columns[at].to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if found and value:
                     data, left, done = value.encode(), [], 0
                     for a, b in whole_characters(data, merged(found)):
@@ -471,8 +471,7 @@ def without_repeats(docs: DataFrame, window: int = 400, key: str = "doc_id", tex
                         done = b
                     value = b"".join([*left, data[done:]]).decode()
                 texts.append(value)
-            columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, docs_names)
 
     return joined.mapInArrow(work, docs.schema)
