@@ -4,7 +4,8 @@
 a phrase is a candidate where its longest word (its anchor) is among them, and a
 candidate is then counted in the text itself. As long as the dictionary is small
 enough to broadcast the texts are never shuffled. A larger one is joined by a
-shuffle of words and keys, and only texts with candidates are looked up again.
+shuffle of words and row digests, and only texts with candidates are looked up
+again; both give the same rows, for repeated and null keys too.
 """
 
 from __future__ import annotations
@@ -42,12 +43,13 @@ def joined_dictionary(dictionary: DataFrame) -> DataFrame:
 
 
 def _anchored(keywords: DataFrame, word: str) -> DataFrame:
-    """Phrases with their longest word, the empty word where a phrase has none."""
+    """Phrases with their longest word, or their first character where they have none."""
     runs = F.regexp_extract_all("keyword", F.lit(f"({word}+)"), F.lit(0))
     longest = F.reduce(
         runs, F.lit(""), lambda best, run: F.when(F.char_length(run) > F.char_length(best), run).otherwise(best)
     )
-    return keywords.select("keyword").filter("keyword <> ''").distinct().withColumn("anchor", longest)
+    anchor = F.when(longest != "", longest).otherwise(F.substring("keyword", 1, 1))
+    return keywords.select("keyword").filter("keyword <> ''").distinct().withColumn("anchor", anchor)
 
 
 def match_keywords(
@@ -68,14 +70,19 @@ def match_keywords(
     word = r"[\p{L}\p{N}]" if compat else WORD
     phrases = _anchored(keywords, word)
     phrases, small = broadcast_if_small(phrases, broadcast_phrases)
-    # The trailing separator yields an empty word, the anchor of phrases without any.
-    runs = F.array_distinct(F.split(F.concat("__text", F.lit(" ")), rf"[^{word[1:-1]}]+"))
-    texts = pages.select(key, F.lower(text).alias("__text"))
+    lower = F.col("__text")
+    runs = F.split(lower, rf"[^{word[1:-1]}]+")
+    signs = F.split(F.regexp_replace(lower, f"{word}+", ""), "")  # anchors of phrases without words
+    texts = pages.select(key, F.lower(text).alias("__text")).withColumn("__runs", F.array_distinct(F.concat(runs, signs)))
     if small:
-        candidates = texts.withColumn("anchor", F.explode(runs)).join(phrases, "anchor")
+        candidates = texts.withColumn("anchor", F.explode("__runs")).join(phrases, "anchor")
     else:
-        found = texts.select(key, F.explode(runs).alias("anchor")).join(phrases, "anchor")
-        candidates = found.select(key, "keyword").join(texts, key)
+        # Rows that are equal in key and text have the same digest and the same candidates,
+        # which are joined to each of them once.
+        row = [F.xxhash64(key, "__text").alias("__row"), F.hash("__text").alias("__check")]
+        found = texts.select(*row, F.explode("__runs").alias("anchor")).join(phrases, "anchor")
+        found = found.select("__row", "__check", "keyword").distinct()
+        candidates = texts.select(key, "__text", *row).join(found, ["__row", "__check"])
     return _counted(candidates.filter(F.contains("__text", "keyword")), key, compat)
 
 

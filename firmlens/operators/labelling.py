@@ -31,7 +31,7 @@ def candidates(hits: DataFrame, thresh: int = 3) -> DataFrame:
 
 
 def corpus(pages: DataFrame, chosen: DataFrame, **how: object) -> DataFrame:
-    """One non-empty text per chosen firm."""
+    """The non-empty texts of the chosen firms, in parts."""
     own = pages.join(chosen.select("id").distinct(), "id", "left_semi")
     return group_text(own, keep_empty=False, **how)
 
@@ -49,8 +49,12 @@ def instructions(fields: Iterable[str]) -> str:
 
 
 def prompts(texts: DataFrame, head: str, max_chars: int = 100_000) -> DataFrame:
-    """The prompt head followed by the text, cut to the model's input limit."""
-    return texts.select("id", F.concat(F.lit(head), F.substring("text", 1, max_chars)).alias("prompt"))
+    """``(id, part, piece, prompt)``: the prompt head followed by a piece of a text, which a
+    model's input limit of ``max_chars`` cuts into as many as it takes."""
+    count = F.greatest(F.ceil(F.char_length("text") / max_chars), F.lit(1)).cast("int")
+    pieces = texts.select("id", "part", "text", F.explode(F.sequence(F.lit(0), count - 1)).alias("piece"))
+    cut = F.substring("text", F.col("piece") * max_chars + 1, F.lit(max_chars))
+    return pieces.select("id", "part", "piece", F.concat(F.lit(head), cut).alias("prompt"))
 
 
 def parse_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
@@ -73,15 +77,16 @@ def parse_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
     return chosen.select("id", *[F.when(good, F.col(f"a.{n}")).alias(n) for n in names])
 
 
-def read_batch(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """Answers of a batch run: the first 14 characters of ``custom_id`` are the firm.
+def read_batch(spark: SparkSession, path: str, strict: bool = False, id_chars: int = 14) -> DataFrame:
+    """Answers of a batch run: the first ``id_chars`` characters of ``custom_id`` are the
+    firm; a shorter ``custom_id`` fails the job.
 
     ``strict`` fails on a malformed line or answer instead of giving nulls.
     """
     content = F.get(F.col("response.body.choices"), F.lit(0)).getField("message").getField("content")
-    lines = read_ndjson(spark, path, BATCH_LINE, strict).select(
-        F.substring("custom_id", 1, 14).alias("id"), content.alias("answer")
-    )
+    short = F.raise_error(F.concat(F.lit(f"custom_id of fewer than {id_chars} characters: "), F.col("custom_id")))
+    firm = F.when(F.char_length("custom_id") < id_chars, short).otherwise(F.substring("custom_id", 1, id_chars))
+    lines = read_ndjson(spark, path, BATCH_LINE, strict).select(firm.alias("id"), content.alias("answer"))
     if strict:
         answer = F.from_json("answer", ANSWER, {"mode": "FAILFAST"})
         return lines.select("id", answer.alias("a")).select("id", "a.*")

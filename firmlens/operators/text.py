@@ -1,15 +1,13 @@
-"""Page texts: cleaning, one text per firm, fixed-length word ids."""
+"""Page texts: cleaning, texts of firms in parts, word ids in windows of fixed length."""
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.functions.text import words
+from firmlens.sources.files import stored
 
 # Texts of pages that failed to load.
 JUNK_PREFIX = "Powered by Imunify360"
@@ -21,17 +19,11 @@ JUNK_PARTS = [
 ]
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
-MAX_WORDS = 1_000_000
 
 
-def clean_text(pages: DataFrame, key: str = "url", text: str = "text", max_chars: int | None = None) -> DataFrame:
+def clean_text(pages: DataFrame, key: str = "url", text: str = "text") -> DataFrame:
     """Non-empty pages without junk, one per different text: the one with the smallest key.
-
-    ``max_chars`` cuts texts to the length a reader accepts, before they are compared;
-    the default keeps them whole.
-    """
-    if max_chars is not None:
-        pages = pages.withColumn(text, F.substring(text, 1, max_chars))
+    Whole texts are compared."""
     content = F.col(text)
     pages = pages.filter((content != "") & ~content.startswith(JUNK_PREFIX))
     for part in JUNK_PARTS:
@@ -48,87 +40,77 @@ def group_text(
     order: str = "url",
     text: str = "text",
     separator: str = "\n",
-    max_chars: int = 1_000_000,
-    salts: int | None = None,
+    part_chars: int = 1_000_000,
     keep_empty: bool = True,
 ) -> DataFrame:
-    """One text per firm: its pages joined in ``order`` and cut at ``max_chars``.
-
-    A firm without any text has an empty one, or with ``keep_empty`` off no row, which
-    saves a look at all firms.
+    """``(key, part, text)``: the pages of a firm joined in ``order``, in as many parts as
+    ``part_chars`` goes into their length.
 
-    ``order`` must be unique. A firm may own most pages, so its pages are first split
-    into ``salts`` groups (as many as shuffle partitions); a page that starts beyond the
-    cut within its group also does in the whole text and is dropped there. What then
-    meets in one task is bounded by salts x max_chars, whatever the firm's size.
+    A firm of up to ``part_chars`` has the one part 0. The pages of a larger one are dealt
+    to parts by a digest of ``order``, so that no task holds more than a part, and every
+    page is whole in one of them. A firm without any text has an empty one, or with
+    ``keep_empty`` off no row, which saves a look at all firms.
     """
-    spark = pages.sparkSession
-    salts = salts or min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = pages.filter(F.col(text).isNotNull()).select(
-        key, order, F.substring(text, 1, max_chars).alias("__text"),
-        (F.char_length(text).cast("long") + len(separator)).alias("__width"),
-        F.pmod(F.xxhash64(order), F.lit(salts)).alias("__salt"),
-    )
+    width = F.char_length(text).cast("long") + len(separator)
+    rows = pages.filter(F.col(text).isNotNull()).select(key, order, F.col(text).alias("__text"), width.alias("__width"))
     if not separator:
         rows = rows.filter("__text <> ''")
-    for keys in ([key, "__salt"], [key]):
-        earlier = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        start = F.coalesce(F.sum("__width").over(earlier), F.lit(0))
-        rows = rows.withColumn("__start", start).filter(F.col("__start") < max_chars).drop("__start")
-    parts = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, "__text"))).alias("__parts"))
-    full = F.array_join(F.col("__parts").getField("__text"), separator)
-    texts = parts.select(key, F.substring(full, 1, max_chars).alias(text))
+    sizes = rows.groupBy(key).agg(F.sum("__width").alias("__total")).filter(F.col("__total") > part_chars)
+    large = sizes.select(F.col(key).alias("__key"), F.ceil(F.col("__total") / part_chars).alias("__parts"))
+    digest = F.conv(F.substring(F.md5(F.col(order).cast("string")), 1, 8), 16, 10).cast("long")
+    part = F.when(F.col("__parts").isNotNull(), F.pmod(digest, F.col("__parts"))).otherwise(0).cast("long")
+    dealt = rows.join(large, rows[key].eqNullSafe(large["__key"]), "left").withColumn("part", F.coalesce(part, F.lit(0)))
+    parts = dealt.groupBy(key, "part").agg(F.sort_array(F.collect_list(F.struct(order, "__text"))).alias("__pages"))
+    texts = parts.select(key, "part", F.array_join(F.col("__pages").getField("__text"), separator).alias(text))
     if not keep_empty:
         return texts.filter(F.col(text) != "")
-    return pages.select(key).distinct().join(texts, key, "left").withColumn(text, F.coalesce(text, F.lit("")))
+    firms = pages.select(F.col(key).alias("__key")).distinct()
+    return firms.join(texts, firms["__key"].eqNullSafe(texts[key]), "left").select(
+        F.col("__key").alias(key), F.coalesce("part", F.lit(0)).alias("part"), F.coalesce(text, F.lit("")).alias(text)
+    )
 
 
-def vocabulary(pages: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """The ``size`` most frequent words with ids from 2 on, most frequent first.
+def vocabulary(pages: DataFrame, size: int | None = None, text: str = "text") -> DataFrame:
+    """All words, or the ``size`` most frequent ones if a model has no more, with ids from 2
+    on, most frequent first.
 
-    ``size`` is the model's vocabulary size; it bounds the ranking below.
+    The words are sorted in ranges; ids add the sizes of the ranges before to the place in
+    the range. Written once, because the places depend on the sort.
     """
     counts = pages.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(size)
-    rank = F.row_number().over(W.orderBy(F.desc("n"), "word"))
-    return top.select("word", (rank + (FIRST_ID - 1)).alias("token"))
-
-
-def word_ids(found: Column, vocab: DataFrame) -> Column:
-    """The ids of an array of words; those outside the vocabulary share one id.
-
-    The vocabulary is read once, at most ``MAX_WORDS`` rows, and looked up in the tasks for
-    whole batches, so pages are neither exploded nor shuffled.
-    """
-    entries = vocab.select("word", "token").limit(MAX_WORDS + 1).toArrow()
-    if entries.num_rows > MAX_WORDS:
-        raise ValueError(f"more than {MAX_WORDS} words")
-    known = entries["word"].combine_chunks()
-    ids = np.append(entries["token"].to_numpy().astype("int32"), np.int32(UNKNOWN_ID))
-
-    @F.arrow_udf("array<int>")
-    def look_up(batch: pa.Array) -> pa.Array:
-        place = pc.fill_null(pc.index_in(batch.flatten(), value_set=known), len(known))
-        ends = np.cumsum(batch.value_lengths().to_numpy(zero_copy_only=False), dtype="int64")
-        offsets = pa.array(np.append(0, ends).astype("int32"))
-        return pa.ListArray.from_arrays(offsets, pa.array(ids[place.to_numpy(zero_copy_only=False)]))
-
-    # Declared non-deterministic so that using the result twice does not compute it twice.
-    return look_up.asNondeterministic()(found)
+    ordered = counts.orderBy(F.desc("n"), "word")
+    if size is not None:
+        ordered = ordered.limit(size)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(ordered.select("word", F.spark_partition_id().alias("range"), place.alias("place")), "vocabulary")
+    ranges = placed.groupBy("range").agg(F.count("*").alias("n"))  # one row for each sorted range
+    before = F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = ranges.select("range", before.alias("before"))
+    return placed.join(offsets, "range").select("word", (F.col("before") + F.col("place") + FIRST_ID).cast("int").alias("token"))
 
 
 def token_encode(
     pages: DataFrame, vocab: DataFrame, length: int, key: str = "url", text: str = "text"
 ) -> DataFrame:
-    """Word ids and attention mask of exactly ``length`` entries per page.
+    """``(key, window, input_ids, attention_mask)``: the word ids of a page in windows of
+    exactly ``length`` entries, the last one padded.
 
-    Longer pages are truncated to the model's input length, shorter ones padded.
+    Words outside the vocabulary share one id; a page without words has one window of
+    padding. Words are joined to the vocabulary, whatever its size.
     """
-    first = F.slice(words(F.coalesce(F.col(text), F.lit(""))), 1, length)
-    tokens = pages.select(key, word_ids(first, vocab).alias("t"))
+    row = F.monotonically_increasing_id().alias("__row")
+    found = pages.select(row, key, words(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
+    placed = found.select("__row", key, F.posexplode_outer("__words").alias("pos", "word"))
+    known = placed.join(vocab.select("word", "token"), "word", "left")
+    token = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("token", F.lit(UNKNOWN_ID)).alias("token")))
+    ids = known.groupBy("__row", key).agg(F.sort_array(F.collect_list(token)).alias("__ids"))
+    count = F.greatest(F.ceil(F.size("__ids") / length), F.lit(1)).cast("int")
+    windows = ids.select(key, F.col("__ids.token").alias("__ids"), F.explode(F.sequence(F.lit(0), count - 1)).alias("window"))
+    windows = windows.select(key, "window", F.slice("__ids", F.col("window") * length + 1, F.lit(length)).alias("t"))
     missing = F.lit(length) - F.size("t")
-    return tokens.select(
+    return windows.select(
         key,
+        "window",
         F.concat("t", F.array_repeat(F.lit(PAD_ID), missing)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size("t")), F.array_repeat(F.lit(0), missing)).alias("attention_mask"),
     )

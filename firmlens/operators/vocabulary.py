@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.functions.joins import lookup_map
 from firmlens.functions.text import words
 
 
@@ -47,8 +46,9 @@ def idf_scores(
     # the counting, and the two uses of the counts would read the texts twice.
     all_documents = F.max(F.when(F.col("word") == DOCUMENT, F.col("df"))).alias("n_docs")
     sizes = frequencies.groupBy(*keys).agg(all_documents)
-    # A join by corpus would send every word to a handful of tasks; a map reaches them in place.
-    n = F.element_at(lookup_map(sizes, corpus, "n_docs"), F.col(corpus)) if corpus else sizes.scalar()
+    n = F.col("n_docs") if corpus else sizes.scalar()
+    if corpus:  # one row for each corpus, whose words a skewed join may split
+        frequencies = frequencies.join(sizes, corpus)
     df = F.when(~F.col("word").isin([DOCUMENT, *stop_words]), F.col("df"))
     kept = frequencies.filter((df >= min_df) & (df <= n * max_df))
     return kept.select(*keys, "word", "df", (F.ln((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))

@@ -89,13 +89,13 @@ def with_views(names: str, body: str) -> str:
     return f"WITH {ctes} {body}" if ctes else body
 
 
-def table(spark: SparkSession, sf: str, name: str, spread_by: str | None = None) -> DataFrame:
-    return read_parquet(spark, f"{sf}/{name}.parquet", spread_by=spread_by)
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return read_parquet(spark, f"{sf}/{name}.parquet")
 
 
 def hits(spark: SparkSession, sf: str) -> DataFrame:
     """One row per keyword occurrence: id, page, category, keyword, source."""
-    line = table(spark, sf, "lineitem", spread_by="l_orderkey").select("l_orderkey", "l_partkey", "l_linestatus")
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus")
     order = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name")
     return (
@@ -137,7 +137,7 @@ def run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents", spread_by="doc_id")
+    docs = table(spark, sf, "documents")
     return docs.select(
         F.col("doc_id").alias("url"), F.col("source").alias("id"), F.col("lang").alias("canton"), "text"
     )
@@ -204,7 +204,7 @@ def llm_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def corpora(spark: SparkSession, sf: str) -> DataFrame:
     """Two whole corpora in one table: crawled documents (web) and conversations (pat)."""
-    docs = table(spark, sf, "documents", spread_by="doc_id").select(
+    docs = table(spark, sf, "documents").select(
         F.lit("web").alias("corpus"), F.col("doc_id").cast("string").alias("doc"), "lang", "text"
     )
     talk = table(spark, sf, "conversations").select(

@@ -123,40 +123,50 @@ def clean_sql(text: str) -> str:
         WHERE text <> '' AND NOT starts_with(text, '{to.JUNK_PREFIX}') AND {JUNK}) WHERE n = 1"""
 
 
-@query("clean_text", clean_sql("substring(text, 1, 10240)"), "page_text")
+@query("clean_text", clean_sql("text"), "page_text")
+@query("clean_text_whole", clean_sql("text"), "page_text")
 def clean_text(spark, sf):
-    """With the cut the tokenizer's input needs."""
-    return to.clean_text(b.page_text(spark, sf).select("url", "id", "text"), max_chars=10_240)
+    return to.clean_text(b.page_text(spark, sf).select("url", "id", "text"))
 
 
-@query("clean_text_whole", clean_sql("text"), "page_text")
-def clean_text_whole(spark, sf):
-    return to.clean_text(b.page_text(spark, sf).select("url", "id", "text"))
+def grouped_sql(pages: str, part_chars: int) -> str:
+    """The texts of firms in parts, as ``group_text`` makes them."""
+    return f"""SELECT id, part, string_agg(text, chr(10) ORDER BY url) AS text FROM (
+        SELECT g.id, url, text,
+               CASE WHEN total > {part_chars}
+                    THEN ('0x' || substring(md5(url::VARCHAR), 1, 8))::BIGINT % ceil(total / {part_chars})::BIGINT
+                    ELSE 0 END AS part
+        FROM {pages} g JOIN (SELECT id, sum(length(text) + 1) AS total FROM {pages} GROUP BY id) z ON g.id = z.id) GROUP BY ALL"""
 
 
-@query("group_text", """
-    SELECT id, substring(string_agg(text, chr(10) ORDER BY url), 1, 1000000) AS text FROM page_text GROUP BY id""",
-       "page_text")
+@query("group_text", grouped_sql("page_text", 1_000_000), "page_text")
 def group_text(spark, sf):
     return to.group_text(b.page_text(spark, sf))
 
 
-VOCABULARY, LENGTH = 30_000, 1024
+@query("group_text_parts", grouped_sql("page_text", 20_000), "page_text")
+def group_text_parts(spark, sf):
+    """Parts small enough that most firms have several."""
+    return to.group_text(b.page_text(spark, sf), part_chars=20_000)
+
+
+LENGTH = 1024
 
 
 @query("token_encode", f"""
     , w AS (SELECT url, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word
             FROM (SELECT url, regexp_extract_all(lower(text), '{W}+') AS ws FROM page_text)),
     v AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) + 1 AS token
-          FROM (SELECT word, count(*) AS n FROM w GROUP BY word ORDER BY n DESC, word LIMIT {VOCABULARY})),
-    t AS (SELECT url, list(coalesce(token, 1)::INTEGER ORDER BY pos) AS ids
-          FROM w LEFT JOIN v ON w.word = v.word WHERE pos <= {LENGTH} GROUP BY url)
-    SELECT p.url, list_resize(coalesce(ids, []::INTEGER[]), {LENGTH}, 0) AS input_ids,
-           list_resize(list_transform(coalesce(ids, []::INTEGER[]), lambda x: 1), {LENGTH}, 0) AS attention_mask
-    FROM page_text p LEFT JOIN t ON p.url = t.url""", "page_text")
+          FROM (SELECT word, count(*) AS n FROM w GROUP BY word)),
+    t AS (SELECT url, ((pos - 1) // {LENGTH})::INTEGER AS "window", list(token::INTEGER ORDER BY pos) AS ids
+          FROM w JOIN v ON w.word = v.word GROUP BY ALL),
+    e AS (SELECT p.url, coalesce("window", 0) AS "window", coalesce(ids, []::INTEGER[]) AS ids
+          FROM page_text p LEFT JOIN t ON p.url = t.url)
+    SELECT url, "window", list_resize(ids, {LENGTH}, 0) AS input_ids,
+           list_resize(list_transform(ids, lambda x: 1), {LENGTH}, 0) AS attention_mask FROM e""", "page_text")
 def token_encode(spark, sf):
     pages = b.page_text(spark, sf)
-    return to.token_encode(pages, to.vocabulary(pages, VOCABULARY), LENGTH)
+    return to.token_encode(pages, to.vocabulary(pages), LENGTH)
 
 
 # Vocabulary. The corpora are two whole tables.
@@ -335,27 +345,30 @@ def llm_candidates(spark, sf):
 
 
 # Firms with texts are the sources of documents; the ones chosen are those with a keyword hit.
-CHOSEN = MATCHED + """, chosen AS (SELECT DISTINCT p.id FROM matched m JOIN page_text p ON m.url = p.url
+PART_CHARS = 100_000
+CHOSEN = MATCHED + f""", chosen AS (SELECT DISTINCT p.id FROM matched m JOIN page_text p ON m.url = p.url
       JOIN dictionary d ON d.keyword = m.keyword WHERE d.category = 'delta'),
-    corpus AS (SELECT id, substring(string_agg(text, chr(10) ORDER BY url), 1, 1000000) AS text FROM page_text
-      WHERE id IN (SELECT id FROM chosen) GROUP BY id)"""
+    own AS (SELECT * FROM page_text WHERE id IN (SELECT id FROM chosen)),
+    corpus AS ({grouped_sql("own", PART_CHARS)})"""
 HEAD = lb.instructions(c for c, _ in b.KEYWORD_ROWS)
 
 
 def chosen_texts(spark, sf):
     found = kw.attach_category(matches(spark, sf), dictionary(spark)).filter("category = 'delta'")
-    return lb.corpus(b.page_text(spark, sf), kw.attach_firm(found, b.page_ids(spark, sf)))
+    return lb.corpus(b.page_text(spark, sf), kw.attach_firm(found, b.page_ids(spark, sf)), part_chars=PART_CHARS)
 
 
-@query("llm_corpus", CHOSEN + " SELECT id, text FROM corpus WHERE text <> ''", "page_text dictionary")
+@query("llm_corpus", CHOSEN + " SELECT id, part, text FROM corpus WHERE text <> ''", "page_text dictionary")
 def llm_corpus(spark, sf):
     return chosen_texts(spark, sf)
 
 
-@query("llm_prompts", CHOSEN + f" SELECT id, '{HEAD}' || substring(text, 1, 100000) AS prompt FROM corpus",
-       "page_text dictionary")
+@query("llm_prompts", CHOSEN + f"""
+    SELECT id, part, piece, '{HEAD}' || substring(text, piece * {PART_CHARS} + 1, {PART_CHARS}) AS prompt
+    FROM (SELECT id, part, text, unnest(range(greatest(ceil(length(text) / {PART_CHARS}), 1)::BIGINT))::INTEGER AS piece
+          FROM corpus WHERE text <> '')""", "page_text dictionary")
 def llm_prompts(spark, sf):
-    return lb.prompts(chosen_texts(spark, sf), HEAD)
+    return lb.prompts(chosen_texts(spark, sf), HEAD, PART_CHARS)
 
 
 def answers(spark, sf):

@@ -316,7 +316,7 @@ def union_all(spark, sf):
     FROM documents""")
 def scalar_strings(spark, sf):
     text = F.col("text")
-    return b.table(spark, sf, "documents", spread_by="doc_id").select(
+    return b.table(spark, sf, "documents").select(
         "doc_id", F.lower(text).alias("low"), F.char_length(text).cast("long").alias("n"),
         F.substring(text, 1, 14).alias("head"), F.trim(F.substring(text, 10, 20)).alias("stripped"),
         F.split(F.substring(text, 1, 60), r"\Q. \E").alias("parts"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -13,22 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-# Below this many input splits per core some cores would idle while others work. Inputs
-# of more splits than the second limit (16 GB at the default split size) never move.
-SPLITS_PER_CORE = 4
-MAX_SPREAD_SPLITS = 128
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's ``spark.checkpoint.dir``.
-
-    Only a session that names no folder (a local test) gets a machine-local one.
-    """
+    """A new folder under the session's ``spark.checkpoint.dir``, or where that is unset
+    under its warehouse, which all executors share too."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="firmlens-")
+    root = root or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/firmlens-steps"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -38,26 +29,19 @@ def read_parquet(
     schema: StructType | str | None = None,
     merge_schema: bool = False,
     skip_corrupt: bool = False,
-    spread_by: str | None = None,
 ) -> DataFrame:
     """Files, folders or globs as one table.
 
     ``merge_schema`` reads columns that some files lack as null. ``skip_corrupt``
     leaves out files whose footer or data cannot be read; give a ``schema`` with it,
-    otherwise inference may pick a damaged file. ``spread_by`` names a key to
-    redistribute by when the input has too few splits to occupy the cluster (a file
-    with one row group); larger inputs are left where they are.
+    otherwise inference may pick a damaged file.
     """
     reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
     if skip_corrupt:
         reader = reader.option("recursiveFileLookup", True)
     if schema is not None:
         reader = reader.schema(schema)
-    table = reader.parquet(*([paths] if isinstance(paths, str) else paths))
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and table.rdd.getNumPartitions() < min(SPLITS_PER_CORE * cores, MAX_SPREAD_SPLITS):
-        table = table.repartition(cores, spread_by)
-    return table
+    return reader.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
 def unreadable_files(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:

@@ -91,3 +91,22 @@ def test_lists_and_labels(spark):
     doubled = pages.unionByName(pages)
     assert kw.attach_firm(hits, doubled).count() == 4
     assert kw.attach_firm(hits, doubled, distinct_pages=True).count() == 2
+
+
+@pytest.mark.parametrize("broadcast_phrases", [1000, 0])
+def test_repeated_and_null_keys(spark, broadcast_phrases):
+    """Both plans give the hits of every row, whatever its key."""
+    pages = [(1, "laser, ++ and laser"), (1, "laser, ++ and laser"), (1, "laser"), (None, "laser ++"), (2, None), (None, None), (None, "none")]
+    phrases = ["laser", "++", "and laser"]
+    texts = spark.createDataFrame(pages, "url long, text string").repartition(3)
+    keywords = spark.createDataFrame([(p,) for p in phrases], "keyword string")
+    found = [tuple(r) for r in kw.match_keywords(texts, keywords, broadcast_phrases=broadcast_phrases).collect()]
+    want = [(u, k, n) for u, t in pages if t is not None for k, n in scan(t, phrases).items()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
+def test_hot_word_is_split(spark):
+    """A third of all rows hold one word, and the dictionary is joined by a shuffle."""
+    pages = [(i, "the laser" if i % 3 == 0 else f"word{i} of {i % 50}") for i in range(3000)]
+    phrases = ["the", "the laser", *[f"word{i}" for i in range(0, 3000, 7)]]
+    assert got(spark, pages, phrases, broadcast_phrases=0) == expected(pages, phrases)

@@ -265,17 +265,29 @@ def test_clean_text(spark):
         spark, "url long, text string", (2, "same text"), (1, "same text"), (3, ""), (4, None),
         (5, "Powered by Imunify360 x"), (6, "a flex-basis: b"), (7, "documentXgetElementById"), (8, "same text and more"))
     assert found(to.clean_text(pages)) == [(1, "same text"), (7, "documentXgetElementById"), (8, "same text and more")]
-    # The cut comes first, so it can hide junk and create equal texts.
-    assert found(to.clean_text(pages, max_chars=9)) == [
-        (1, "same text"), (5, "Powered b"), (6, "a flex-ba"), (7, "documentX")]
+    long = made(spark, "url long, text string", (1, "x" * 20_000 + "a"), (2, "x" * 20_000 + "b"))
+    assert to.clean_text(long).count() == 2
 
 
 def test_token_encode(spark):
-    pages = made(spark, "url long, text string", (1, "b a b c"), (2, ""), (3, "A, z"), (4, None))
-    vocab = to.vocabulary(pages, 2)
+    pages = made(spark, "url long, text string", (1, "b a b c"), (2, ""), (3, "A, z"), (4, None), (1, "b a b c"))
+    vocab = to.vocabulary(pages.limit(4), 2)
     assert found(vocab) == [("a", 2), ("b", 3)]
+    first = [(1, 0, [3, 2, 3], [1, 1, 1]), (1, 1, [1, 0, 0], [1, 0, 0])]
     assert found(to.token_encode(pages, vocab, 3)) == [
-        (1, [3, 2, 3], [1, 1, 1]), (2, [0, 0, 0], [0, 0, 0]), (3, [2, 1, 0], [1, 1, 0]), (4, [0, 0, 0], [0, 0, 0])]
+        first[0], first[0], first[1], first[1], (2, 0, [0, 0, 0], [0, 0, 0]), (3, 0, [2, 1, 0], [1, 1, 0]),
+        (4, 0, [0, 0, 0], [0, 0, 0])]
+
+
+def test_windows_hold_every_word(spark):
+    words = [f"w{i * i % 37}" for i in range(500)]
+    pages = made(spark, "url long, text string", (1, " ".join(words)), (2, "w1 w2"))
+    vocab = to.vocabulary(pages.repartition(5))
+    names = {r.token: r.word for r in vocab.collect()}
+    assert sorted(names) == list(range(to.FIRST_ID, to.FIRST_ID + len({*words, "w1", "w2"})))
+    rows = to.token_encode(pages, vocab, 64).filter("url = 1").orderBy("window").collect()
+    ids = [i for r in rows for i, m in zip(r.input_ids, r.attention_mask, strict=True) if m]
+    assert [names[i] for i in ids] == words and len(rows) == 8
 
 
 def test_idf(spark):
@@ -337,11 +349,15 @@ def test_read_batch(spark, tmp_path):
     assert got == [("CHCHE000000001", None), ("CHCHE000000001", ["a"]), ("CHCHE000000002", None)]
     with pytest.raises(Exception, match="(?i)malformed"):
         lb.read_batch(spark, str(path), strict=True).collect()
+    assert found(lb.read_batch(spark, str(path), id_chars=5).select("id").distinct()) == [("CHCHE",)]
+    with pytest.raises(Exception, match="fewer than 40"):
+        lb.read_batch(spark, str(path), id_chars=40).collect()
 
 
 def test_prompts(spark, hits):
     texts = made(spark, "id long, text string", (1, "abcdef"))
-    assert lb.prompts(texts, "head:", 3).first().prompt == "head:abc"
+    texts = texts.selectExpr("id", "0L AS part", "text")
+    assert found(lb.prompts(texts, "head:", 4)) == [(1, 0, 0, "head:abcd"), (1, 0, 1, "head:ef")]
     assert found(lb.candidates(hits, 2)) == [(1, "a", 2)]
     assert "- x" in lb.instructions(["x"])
 

@@ -80,18 +80,30 @@ def test_survival_falls_and_starts_with_all_firms(spark):
 
 
 @pytest.mark.parametrize("separator", ["\n", ""])
-@pytest.mark.parametrize("salts", [1, 5])
-def test_group_text_with_a_hot_firm(spark, separator, salts):
-    pages = [(i, "hot" if i % 3 else f"f{i % 10}", None if i % 11 == 0 else "x" * (i % 7) + str(i)) for i in range(900)]
-    pages.append((9999, "silent", None))
+@pytest.mark.parametrize("part_chars", [10_000_000, 400])
+def test_group_text_with_a_hot_firm(spark, separator, part_chars):
+    """Every page is in one part, in order; parts are about as long as asked for."""
+    pages = [(i, "hot" if i % 3 else f"f{i % 10}", None if i % 11 == 0 else "x" * (i % 7) + f"<{i}>") for i in range(900)]
+    pages += [(9999, "silent", None), (10_000, None, "<10000>")]
     frame = spark.createDataFrame(pages, "url long, id string, text string").repartition(6)
-    got = {r.id: r.text for r in to.group_text(frame, separator=separator, max_chars=200, salts=salts).collect()}
+    rows = to.group_text(frame, separator=separator, part_chars=part_chars).collect()
     want = {}
-    for _, firm, text in sorted(pages):
+    for _, firm, text in sorted(pages, key=lambda p: p[0]):
         want.setdefault(firm, [])
         if text is not None:
             want[firm].append(text)
-    assert got == {k: separator.join(v)[:200] for k, v in want.items()}
+    got = {}
+    for r in rows:
+        got.setdefault(r.id, []).append(r.text)
+    assert got.keys() == want.keys() and got["silent"] == [""]
+    for firm, own in want.items():
+        if part_chars > 400:
+            assert got[firm] == [separator.join(own)]
+        parts = [[int(x.split(">")[0]) for x in text.split("<")[1:]] for text in got[firm]]
+        assert all(p == sorted(p) for p in parts)
+        assert sorted(x for p in parts for x in p) == [int(t.split("<")[1][:-1]) for t in own]
+        assert all(len(t) < 3 * part_chars for t in got[firm])
+    assert (len(got["hot"]) > 5) == (part_chars == 400)
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 0.99, 1.0])
