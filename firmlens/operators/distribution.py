@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from firmlens.sources.files import stored
+
 
 def threshold_counts(counts: DataFrame, thresholds: Sequence[int], value: str = "n_unique") -> DataFrame:
     """Firms per category with at least t, for every t, in long form."""
@@ -68,8 +70,9 @@ def threshold_ratio(counts: DataFrame, loose: int, strict: int, value: str = "n_
     )
 
 
-def category_cooccurrence(pairs: DataFrame) -> DataFrame:
-    """Firms active in both categories, for every ordered pair; the diagonal is zero.
+def category_cooccurrence(pairs: DataFrame, zeros: bool = False) -> DataFrame:
+    """Firms active in both categories, for every ordered pair that has any; the diagonal is
+    zero. ``zeros`` adds the pairs without firms, which grow with the square of the categories.
 
     ``pairs`` holds (id, category). Firms with the same set of categories are counted
     together first, so a set is compared with itself once however many firms share it.
@@ -84,11 +87,14 @@ def category_cooccurrence(pairs: DataFrame) -> DataFrame:
         .select("category", F.explode("set").alias("other"), "n")
         .groupBy("category", "other").agg(F.sum("n").alias("n"))
     )
-    axis = found.agg(F.sort_array(F.collect_set("category")).alias("axis")).scalar()
-    one = pairs.sparkSession.range(1)
-    grid = one.select(F.explode(axis).alias("category")).select("category", F.explode(axis).alias("other"))
+    if zeros:
+        # Every category is paired with itself, so the diagonal is the axis.
+        axis = found.filter(F.col("category") == F.col("other")).select("category")
+        names = axis.agg(F.collect_list("category").alias("names")).scalar()
+        grid = axis.withColumn("other", F.explode(names))
+        found = grid.join(found, ["category", "other"], "left")
     n_firms = F.when(F.col("category") == F.col("other"), 0).otherwise(F.coalesce("n", F.lit(0)))
-    return grid.join(found, ["category", "other"], "left").select("category", "other", n_firms.alias("n_firms"))
+    return found.select("category", "other", n_firms.alias("n_firms"))
 
 
 def rank_keywords(hits: DataFrame) -> DataFrame:
@@ -130,10 +136,13 @@ def equal_width_bins(values: DataFrame, column: str, n_bins: int) -> DataFrame:
 def describe(values: DataFrame, column: str) -> DataFrame:
     """Count, nulls, mean, sample deviation, extremes and nearest-rank quartiles in one row.
 
-    Equal values are counted together first, and only the different values are ordered,
-    in one task: meant for columns with few of them, such as shares of small sets.
+    Equal values are counted together, the different ones sorted in ranges and written.
+    A value's rank is its place in its range and the size of the ranges before, of which
+    there is one row each.
     """
     counted = values.groupBy(column).agg(F.count("*").alias("n"))
+    ranges = counted.repartitionByRange(F.col(column)).withColumn("range", F.spark_partition_id())
+    counted = stored(ranges, "values")
     v, up_to = F.col(column), F.col("up_to")
     n = F.when(v.isNotNull(), F.col("n")).otherwise(0)
     total = F.sum(n)
@@ -142,7 +151,11 @@ def describe(values: DataFrame, column: str) -> DataFrame:
         F.struct(total.alias("n"), (F.sum("n") - total).alias("nulls"), F.try_divide(F.sum(v * n), total).alias("mean"))
     ).scalar()
     n_all, centre = first.getField("n"), first.getField("mean")
-    placed = counted.withColumn("up_to", F.sum(n).over(W.orderBy(column)))
+    sizes = counted.groupBy("range").agg(total.alias("size"))
+    earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select("range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.sum(n).over(W.partitionBy("range").orderBy(column))
+    placed = counted.join(sizes, "range").withColumn("up_to", place)
 
     def quartile(q: float) -> Column:
         rank = F.round(F.lit(q) * (n_all - 1)).cast("long") + 1

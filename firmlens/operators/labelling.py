@@ -67,6 +67,9 @@ def parse_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
     literal = F.col(text)
     for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
         literal = F.regexp_replace(literal, rf"\b{python}\b{outside}", json)
+    # Tuples are lists, and a comma may follow the last item.
+    for python, json in ((r"\(", "["), (r"\)", "]"), (r",(?=\s*[\]}])", "")):
+        literal = F.regexp_replace(literal, rf"{python}{outside}", json)
     # In steps, so that every answer is parsed once and only malformed ones a second time.
     first = answers.select("id", text, F.from_json(text, schema, options).alias("first"))
     retry = F.when(F.col("first.malformed").isNotNull(), literal)

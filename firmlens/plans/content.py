@@ -334,6 +334,19 @@ def pca_scores(spark, sf):
     return rounded(ve.pca_scores(arrays, "vec_id", 10))
 
 
+@query("pca_norms", SIMS + """,
+    c AS (SELECT category, avg(similarity) AS centre FROM sims GROUP BY 1)
+    SELECT vec_id, round(sum((similarity - centre) * (similarity - centre)), 6) AS distance
+    FROM sims s JOIN c ON s.category = c.category GROUP BY vec_id""", "categories")
+def pca_norms(spark, sf):
+    """Over all components the squared scores add up to the squared distance from the mean."""
+    arrays, labels = sims(spark, sf)
+    k = len(labels.names)
+    scores = ve.pca_scores(arrays, "vec_id", k, scores=k)
+    squares = sum((F.col(f"pc{i + 1}") * F.col(f"pc{i + 1}") for i in range(k)), F.lit(0.0))
+    return rounded(scores.select("vec_id", squares.alias("distance")))
+
+
 # Answers of a language model.
 
 

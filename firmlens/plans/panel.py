@@ -192,7 +192,7 @@ def threshold_ratio(spark, sf):
            CASE WHEN a.category = b.category THEN 0 ELSE coalesce(n.n, 0) END::BIGINT AS n_firms
     FROM c a CROSS JOIN c b LEFT JOIN n ON n.category = a.category AND n.other = b.category""", "unique_kw")
 def category_cooccurrence(spark, sf):
-    return di.category_cooccurrence(b.hits(spark, sf).filter("source = 'web'").select("id", "category"))
+    return di.category_cooccurrence(b.hits(spark, sf).filter("source = 'web'").select("id", "category"), zeros=True)
 
 
 @query("rank_keywords", """

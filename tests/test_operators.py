@@ -98,7 +98,7 @@ def test_survival_counts_label_nulls(spark):
 
 def test_cooccurrence(spark):
     pairs = made(spark, "id long, category string", (1, "a"), (1, "b"), (1, "b"), (2, "a"), (2, "b"), (3, "c"), (4, None))
-    got = {(r[0], r[1]): r[2] for r in di.category_cooccurrence(pairs).collect()}
+    got = {(r[0], r[1]): r[2] for r in di.category_cooccurrence(pairs, zeros=True).collect()}
     assert len(got) == 9 and got[("a", "b")] == got[("b", "a")] == 2
     assert got[("a", "a")] == 0 and got[("c", "a")] == 0
 
@@ -341,6 +341,15 @@ def test_parse_answers(spark):
         (3, None, None, None, None), (4, None, None, None, None), (5, None, None, None, None)]
 
 
+def test_python_literals(spark):
+    rows = made(
+        spark, "id long, answer string",
+        (1, "{'primary_field': None, 'fields': ('a', 'b (c), d'), 'explanation': 'x, ]', 'confidence': 'Low',}"),
+        (2, "{'primary_field': 'a', 'fields': ['a',], 'explanation': \"it's (so),\", 'confidence': 'High'}"))
+    got = [tuple(r) for r in lb.parse_answers(rows).orderBy("id").collect()]
+    assert got == [(1, None, ["a", "b (c), d"], "x, ]", "Low"), (2, "a", ["a"], "it's (so),", "High")]
+
+
 def test_read_batch(spark, tmp_path):
     line = '{"custom_id": "CHCHE000000001-9", "response": {"body": {"choices": [{"message": {"content": "%s"}}]}}}'
     path = tmp_path / "batch.jsonl"
