@@ -181,7 +181,7 @@ WORDS = f""", w AS (SELECT corpus, lang, unnest(list_distinct(regexp_extract_all
       WHERE df >= 2 AND df <= 0.95 * n AND word NOT IN ({STOP}))"""
 FLAGS = ", ".join(f"count(*) FILTER (lang = '{x}') >= 2 AS {x}" for x in LANGUAGES)
 FLAGGED = WORDS + f""", l AS (SELECT word, {FLAGS} FROM w WHERE corpus = 'web' GROUP BY word),
-    flagged AS (SELECT corpus, idf.word, df, idf, en, de, fr, es FROM idf JOIN l ON idf.word = l.word
+    flagged AS MATERIALIZED (SELECT corpus, idf.word, df, idf, en, de, fr, es FROM idf JOIN l ON idf.word = l.word
       WHERE (en OR de OR fr OR es) AND NOT regexp_matches(idf.word, '[0-9]'))"""
 
 
@@ -208,8 +208,9 @@ def idf_language(spark, sf):
 
 
 @query("idf_contrast", FLAGGED + """
-    SELECT a.word, round(a.idf, 6) AS idf_pat, round(w.idf, 6) AS idf_web, round(a.idf - w.idf, 6) AS difference
-    FROM flagged a JOIN flagged w ON a.word = w.word WHERE a.corpus = 'pat' AND w.corpus = 'web' AND a.en""", "corpora")
+    SELECT word, round(max(idf) FILTER (corpus = 'pat'), 6) AS idf_pat, round(max(idf) FILTER (corpus = 'web'), 6) AS idf_web,
+           round(max(idf) FILTER (corpus = 'pat') - max(idf) FILTER (corpus = 'web'), 6) AS difference
+    FROM flagged WHERE en GROUP BY word HAVING count(DISTINCT corpus) = 2""", "corpora")
 def idf_contrast(spark, sf):
     return rounded(vo.idf_contrast(flagged(spark, sf).filter("en"), "corpus", "pat", "web"))
 

@@ -33,6 +33,26 @@ def scan_skip_corrupt(spark, sf):
     return src.read_parquet(spark, folder, schema=ORDERS, skip_corrupt=True)
 
 
+@query("scan_unreadable", "SELECT 1::BIGINT AS n_damaged, count(*) AS n_rows FROM orders")
+def scan_unreadable(spark, sf):
+    """Of good files, an empty one and one that is none, only the last is named and left out."""
+    folder = src.shared_folder(spark, "unreadable")
+    src.write_parquet(orders(spark, sf), f"{folder}/good")
+    src.write_parquet(orders(spark, sf).filter("false"), f"{folder}/empty")
+    orders(spark, sf).select("o_orderstatus").coalesce(1).write.text(f"{folder}/damaged")
+    named = src.unreadable_files(spark, folder, ORDERS).agg(F.count("*").alias("n")).scalar()
+    return src.read_whole_files(spark, folder, ORDERS).agg(named.alias("n_damaged"), F.count("*").alias("n_rows"))
+
+
+@query("scan_glob", SELECT_ORDERS)
+def scan_glob(spark, sf):
+    folder = src.shared_folder(spark, "glob")
+    table = orders(spark, sf)
+    for i in range(2):
+        src.write_parquet(table.filter(F.col("o_orderkey") % 2 == i), f"{folder}/day={i}")
+    return src.read_parquet(spark, f"{folder}/day=*/*.parquet")
+
+
 @query("scan_merge_schema", """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice FROM orders""")
 def scan_merge_schema(spark, sf):

@@ -6,6 +6,7 @@ from firmlens.sources.files import (  # noqa: F401
     read_json,
     read_ndjson,
     read_parquet,
+    read_whole_files,
     shared_folder,
     stored,
     unreadable_files,

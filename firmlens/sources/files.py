@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,8 +35,9 @@ def read_parquet(
     """Files, folders or globs as one table.
 
     ``merge_schema`` reads columns that some files lack as null. ``skip_corrupt``
-    leaves out files whose footer or data cannot be read; give a ``schema`` with it,
-    otherwise inference may pick a damaged file.
+    leaves out what cannot be read: files without a footer, and of a damaged file the rows
+    from the damage on (``read_whole_files`` leaves out the file); give a ``schema`` with
+    it, otherwise inference may pick a damaged file.
     """
     reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
     if skip_corrupt:
@@ -44,20 +47,46 @@ def read_parquet(
     return reader.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
+def _file() -> Column:
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("file")
+
+
 def unreadable_files(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
-    """Paths below ``folder`` that yield no row: damaged files, and empty ones.
+    """Paths below ``folder`` of files that are not whole: without a valid footer, or with fewer
+    readable rows than their footer says. A valid empty file is whole.
 
-    Only file names and row counts are read, never whole files.
+    One pass over the footers and one over the data; the bytes of a file are looked at only
+    if no row of it was read.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-        .select(F.col("path").alias("file"))
-    )
-    readable = (
-        read_parquet(spark, folder, schema=schema, skip_corrupt=True)
-        .select(F.col("_metadata.file_path").alias("file")).distinct()
-    )
-    return listed.join(readable, "file", "left_anti")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    listed = files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("file"), "content")
+    table = read_parquet(spark, folder, schema=schema, skip_corrupt=True)
+    stated = table.select(_file()).groupBy("file").agg(F.count("*").alias("stated"))
+    data = table.select(_file(), F.xxhash64(*table.columns).alias("row"))
+    # Counting alone would need no column, and take the rows from the footers as above.
+    read = data.groupBy("file").agg(F.count("*").alias("read"), F.bit_xor("row").alias("check"))
+    rows = stated.join(read, "file", "left")
+    partly = rows.filter(F.col("check").isNull() | (F.col("read") < F.col("stated"))).select("file")
+    silent = listed.join(rows, "file", "left_anti")
+
+    def damaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = []
+            for content in batch.column(1):
+                try:
+                    bad.append(pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows > 0)
+                except (pa.ArrowException, OSError):
+                    bad.append(True)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(bad, pa.bool_()))], ["file"])
+
+    return partly.unionByName(silent.mapInArrow(damaged, "file string"))
+
+
+def read_whole_files(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
+    """The rows of all files below ``folder`` that are whole, none of the others."""
+    table = read_parquet(spark, folder, schema=schema, skip_corrupt=True)
+    bad = stored(unreadable_files(spark, folder, schema), "unreadable")
+    return table.select("*", _file()).join(bad, "file", "left_anti").select(*table.columns)
 
 
 def read_csv(

@@ -391,7 +391,7 @@ def test_sources(spark, tmp_path):
     (tmp_path / "t" / "good" / "bad.parquet").write_text("not parquet")
     assert src.read_parquet(spark, folder, schema="id long, s string", skip_corrupt=True).count() == 10
     bad = [r.file for r in src.unreadable_files(spark, folder, "id long, s string").collect()]
-    assert any(f.endswith("bad.parquet") for f in bad)
+    assert len(bad) == 1 and bad[0].endswith("bad.parquet")
     ragged = tmp_path / "r.csv"
     ragged.write_text("a,b\n1,2,3\n4\n")
     got = src.read_csv(spark, str(ragged), schema="a int, b int", ragged=True)
@@ -401,6 +401,25 @@ def test_sources(spark, tmp_path):
     assert src.read_csv(spark, src.write_csv(rows, str(tmp_path / "c"))).dtypes == [("id", "int"), ("s", "int")]
 
 
+def test_file_with_a_damaged_row_group(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "files"
+    folder.mkdir()
+    rows = pa.table({"id": np.random.default_rng(0).integers(0, 1 << 60, 50_000)})
+    for name in ("good", "bad"):
+        pq.write_table(rows, folder / f"{name}.parquet", row_group_size=10_000, compression="zstd", use_dictionary=False)
+    pq.write_table(rows.slice(0, 0), folder / "empty.parquet")
+    group = pq.ParquetFile(folder / "bad.parquet").metadata.row_group(3).column(0)
+    data = bytearray((folder / "bad.parquet").read_bytes())
+    data[group.data_page_offset : group.data_page_offset + 4_000] = b"\xff" * 4_000
+    (folder / "bad.parquet").write_bytes(bytes(data))
+    bad = [r.file for r in src.unreadable_files(spark, str(folder), "id long").collect()]
+    assert len(bad) == 1 and bad[0].endswith("bad.parquet")
+    assert src.read_whole_files(spark, str(folder), "id long").count() == 50_000
+
+
 def test_ctime(spark):
     frame = made(spark, "t string", ("Mon Jan  1 00:00:07 2024",), ("Sun Dec 31 23:59:59 2023",), ("x",), (None,))
     got = [str(r[0]) for r in frame.select(tx.parse_ctime(F.col("t"))).collect()]
