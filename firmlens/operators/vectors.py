@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.functions.text import words
+from firmlens.sources.files import stored
 
 MAX_LABELS = 10_000
 UNKNOWN = "unknown"
@@ -111,9 +112,10 @@ def top_quantile(
     """Rows at or above the exact q-quantile (nearest rank) of their group.
 
     The quantile is found without sorting a group: counts per fine value range locate
-    the range that holds the wanted rank, and only that range is ordered. Ranges that
-    no group needs are not looked at again. Values lie in [-1, 1]. The limits found have
-    one row per group; groups are labels, at most ``MAX_LABELS``, so they are broadcast.
+    the range that holds the wanted rank, and only that range is ordered. Rows from that
+    range on are written once and looked at again, the others are not. Values lie in
+    [-1, 1]. What is found per group is written too, so that its size in bytes decides
+    whether it is broadcast. ``long`` is read twice: for the counts and for those rows.
     """
     cell = F.least(F.floor((F.col(value) + 1) / 2 * bins), F.lit(bins - 1)).alias("__bin")
     binned = long.filter(F.col(value).isNotNull()).withColumn("__bin", cell)
@@ -128,14 +130,14 @@ def top_quantile(
     targets = placed.filter((F.col("up_to") >= rank) & (F.col("up_to") - F.col("n") < rank)).select(
         group, "__target", (rank - (F.col("up_to") - F.col("n"))).alias("__rank")
     )
-    upper = binned.join(F.broadcast(targets), group).filter("__bin >= __target")
+    upper = stored(binned.join(stored(targets, "targets"), group).filter("__bin >= __target"), "upper")
     within = upper.filter("__bin = __target").groupBy(group, "__rank", value).agg(F.count("*").alias("n"))
     so_far = W.partitionBy(group).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     limits = (
         within.withColumn("so_far", F.sum("n").over(so_far)).filter("so_far >= __rank")
         .groupBy(group).agg(F.min(value).alias("__limit"))
     )
-    return upper.join(F.broadcast(limits), group).filter(F.col(value) >= F.col("__limit")).drop(
+    return upper.join(stored(limits, "limits"), group).filter(F.col(value) >= F.col("__limit")).drop(
         "__bin", "__target", "__rank", "__limit"
     )
 

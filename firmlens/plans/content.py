@@ -255,7 +255,9 @@ def similarity_categories(spark, sf):
     SELECT vec_id, s.category, round(similarity, 6) AS similarity FROM sims s JOIN q ON s.category = q.category
     WHERE similarity >= lim""", "categories")
 def top_quantile(spark, sf):
-    return rounded(ve.top_quantile(ve.similarity_long(*sims(spark, sf), "vec_id"), 0.99))
+    arrays, labels = sims(spark, sf)
+    arrays = src.stored(arrays, "similarities")  # one matrix product, whatever is done with it
+    return rounded(ve.top_quantile(ve.similarity_long(arrays, labels, "vec_id"), 0.99))
 
 
 @query("best_label", SIMS + """, m AS (SELECT vec_id, max(similarity) AS top FROM sims GROUP BY 1)
