@@ -23,15 +23,34 @@ PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
 
 def clean_text(pages: DataFrame, key: str = "url", text: str = "text") -> DataFrame:
     """Non-empty pages without junk, one per different text: the one with the smallest key.
-    Whole texts are compared."""
+    Texts are compared by a digest of 256 bits of their whole length."""
     content = F.col(text)
     pages = pages.filter((content != "") & ~content.startswith(JUNK_PREFIX))
     for part in JUNK_PARTS:
         pages = pages.filter(~content.contains(part))
-    # Sorting by hash first spares comparing long texts; rank 1 is also taken before the
-    # shuffle, so a text repeated everywhere travels once per task.
-    position = F.row_number().over(W.partitionBy(F.xxhash64(text), text).orderBy(key))
-    return pages.withColumn("__n", position).filter("__n = 1").drop("__n")
+    pages = pages.withColumn("__digest", F.unhex(F.sha2(content, 256)))
+    return _first_per_digest(pages, key).drop("__digest")
+
+
+def _first_per_digest(pages: DataFrame, key: str) -> DataFrame:
+    """The row with the smallest key of each ``__digest``, found by digests and keys alone.
+
+    What is written is one row for each digest of several rows; its size decides whether
+    it is broadcast to the rows, which otherwise meet it by a shuffle.
+    """
+    counts = pages.select("__digest", F.col(key).alias("__key")).groupBy("__digest", "__key").agg(F.count("*").alias("n"))
+    least = F.min(F.struct("__key", "n")).alias("least")
+    several = counts.groupBy("__digest").agg(F.sum("n").alias("rows"), least).filter("rows > 1")
+    several = stored(several.select(F.col("__digest").alias("__several"), "least.*"), "several")
+    joined = pages.join(several, F.col("__digest") == F.col("__several"), "left")
+    first = joined.filter(F.col("__several").isNull() | F.col(key).eqNullSafe(F.col("__key")))
+    if several.filter("n > 1").isEmpty():
+        return first.drop("__several", "__key", "n")
+    # Rows that share key and text: any one of them.
+    tied = F.coalesce(F.col("n") > 1, F.lit(False))
+    position = F.row_number().over(W.partitionBy("__digest").orderBy(key))
+    one = first.filter(tied).withColumn("__n", position).filter("__n = 1").drop("__n")
+    return first.filter(~tied).unionByName(one).drop("__several", "__key", "n")
 
 
 def group_text(

@@ -131,6 +131,20 @@ def test_text_stays_where_it_is(spark, tmp_path):
     assert "BroadcastHashJoin" in probe and "Exchange hashpartitioning" not in probe
 
 
+def test_texts_are_compared_by_digest(spark, tmp_path):
+    """No exchange or sort of the plan holds a text."""
+    path = str(tmp_path / "pages")
+    rows = [(i, f"text {i % 40}") for i in range(100)] + [(None, "text 3"), (200, "text 3"), (200, "text 3"), (300, "x"), (300, "x")]
+    spark.createDataFrame(rows[:101], "url long, text string").write.parquet(path)
+    clean = to.clean_text(spark.read.parquet(path))
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Sort [" not in plan and "Exchange hashpartitioning" not in plan
+    assert {r.url for r in clean.collect()} == {None, *range(40)} - {3}
+    every = to.clean_text(spark.createDataFrame(rows, "url long, text string").repartition(5)).collect()
+    assert sorted((r.text, r.url) for r in every if r.text == "x") == [("x", 300)]
+    assert len(every) == 41 and all(set(r.asDict()) == {"url", "text"} for r in every)
+
+
 def test_idf_of_a_hot_word(spark):
     docs = spark.range(200).select(F.when(F.col("id") % 3 == 0, "hot hot hot").otherwise(F.concat(F.lit("w"), F.col("id") % 5)).alias("text"))
     got = {r.word: r.df for r in vo.idf_words(docs).collect()}
