@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA, HashingTF, Normalizer
+from pyspark.ml.feature import PCA, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -149,11 +149,15 @@ def label_means(pages: DataFrame, label: str = "label", vector: str = "embedding
 
 
 def embed_hashing(pages: DataFrame, key: str, text: str = "text", size: int = 384) -> DataFrame:
-    """Unit-length word-count vectors by feature hashing: the built-in text encoder."""
-    tokens = pages.select(key, words(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
-    hashed = HashingTF(numFeatures=size, inputCol="__words", outputCol="__tf").transform(tokens)
-    unit = Normalizer(inputCol="__tf", outputCol="__unit").transform(hashed)
-    return unit.select(key, vector_to_array("__unit", "float32").alias("embedding"))
+    """Unit-length word-count vectors by feature hashing: the built-in text encoder. A word's
+    place is given by its MD5 digest, which any engine has."""
+    digest = F.transform(words(F.coalesce(F.col(text), F.lit(""))), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10))
+    places = F.transform(digest, lambda d: (d.cast("long") % size).cast("string"))
+    tokens = pages.select(key, places.alias("__places"))
+    # All places are the vocabulary, in order, so that the counts come as vectors.
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(size)], "__places", "__tf")
+    unit = Normalizer(inputCol="__tf", outputCol="__unit").transform(counter.transform(tokens))
+    return unit.select(key, vector_to_array("__unit").alias("embedding"))
 
 
 def pca_scores(sims: DataFrame, key: str, k: int, scores: int = 2) -> DataFrame:

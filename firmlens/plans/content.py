@@ -304,9 +304,20 @@ def label_agreement(spark, sf):
         jaccard.agg(F.avg("jaccard_similarity")).scalar().alias("jaccard")))
 
 
-@query("embed_hashing")
+def hashed_sql(name: str, rows: str, key: str) -> str:
+    """Views ``name`` (key, place, n) and ``name``_len (key, len) of hashed word counts."""
+    return f"""{name}_w AS (SELECT {key}, unnest(regexp_extract_all(lower(text), '{W}+')) AS word FROM {rows}),
+    {name} AS (SELECT {key}, ('0x' || substring(md5(word), 1, 8))::BIGINT % 384 AS place, count(*) AS n FROM {name}_w GROUP BY ALL),
+    {name}_len AS (SELECT {key}, sqrt(sum(n * n)) AS len FROM {name} GROUP BY ALL)"""
+
+
+@query("embed_hashing", ", " + hashed_sql("h", "page_text", "url") + """
+    SELECT g.url, list(round(coalesce(n / len, 0), 6) ORDER BY g.place) AS embedding
+    FROM (SELECT url, unnest(range(384)) AS place FROM page_text) g
+    LEFT JOIN h ON h.url = g.url AND h.place = g.place LEFT JOIN h_len l ON l.url = g.url GROUP BY g.url""", "page_text")
 def embed_hashing(spark, sf):
-    return ve.embed_hashing(b.page_text(spark, sf), "url")
+    vectors = ve.embed_hashing(b.page_text(spark, sf), "url")
+    return vectors.withColumn("embedding", F.transform("embedding", lambda v: F.round(v, 6)))
 
 
 # Names of the broad fields pages are compared with.
@@ -322,7 +333,13 @@ BROAD_FIELDS = [
 ]
 
 
-@query("similarity_broad_fields")
+@query("similarity_broad_fields", ", " + hashed_sql("h", "page_text", "url") + f""",
+    fields AS (SELECT unnest([{", ".join(f"'{f}'" for f in BROAD_FIELDS)}]) AS text), named AS (SELECT text AS label, text FROM fields),
+    """ + hashed_sql("f", "named", "label") + """,
+    near AS (SELECT h.url, f.label, sum(h.n * f.n) / (any_value(a.len) * any_value(z.len)) AS s
+             FROM h JOIN f ON h.place = f.place JOIN h_len a ON a.url = h.url JOIN f_len z ON z.label = f.label GROUP BY ALL)
+    SELECT p.url, coalesce(list(label ORDER BY label) FILTER (s >= 0.3), ['unknown']) AS predicted
+    FROM page_text p LEFT JOIN near ON near.url = p.url GROUP BY p.url""", "page_text")
 def similarity_broad_fields(spark, sf):
     """Broad fields per page, texts and field names embedded by the built-in encoder."""
     fields = spark.createDataFrame([(f, f) for f in BROAD_FIELDS], "label string, text string")
