@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.functions.text import domain
+from firmlens.sources.files import stored
 
 # Link sources that are no firms.
 NOT_FIRMS = ["google.com", "accounts.google.com"]
@@ -23,14 +24,18 @@ def page_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def link_edges(pages: DataFrame) -> DataFrame:
+def link_edges(pages: DataFrame, error: str | None = None) -> DataFrame:
     """Firm to firm edges, one per linking firm and linked domain.
 
     Links are reduced to distinct domains before any join. Only domains that belong to a
-    crawled firm are kept; a domain with several firm names gives an edge to each.
+    crawled firm are kept; a domain with several firm names gives an edge to each. With an
+    ``error`` column only pages that say "None" there count. The names are written before
+    they are joined, so that a much linked domain is split.
     """
+    if error is not None:
+        pages = pages.filter(F.col(error) == "None")
     names = pages.select(domain(F.col("url")).alias("target"), F.col("name").alias("dst")).distinct()
-    return page_links(pages).join(names, "target").select(F.col("name").alias("src"), "dst")
+    return page_links(pages).join(stored(names, "names"), "target").select(F.col("name").alias("src"), "dst")
 
 
 def relabel(edges: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -66,6 +66,22 @@ def link_edges(spark, sf):
     return edges(spark, sf)
 
 
+@query("link_edges_names", f""", p AS (
+      SELECT {DOMAIN.format('url')} AS domain, {DOMAIN.format('url')} || ' ' || (page_id % 2) AS name, links
+      FROM run_links WHERE page_id % 5 <> 0),
+    e AS (SELECT DISTINCT name AS src, {DOMAIN.format('link')} AS target FROM (
+            SELECT name, domain, unnest(string_split(regexp_replace(links, '[ "\\[\\]]', '', 'g'), ',')) AS link FROM p)
+          WHERE domain NOT IN ('google.com', 'accounts.google.com'))
+    SELECT src, dst FROM e JOIN (SELECT DISTINCT domain AS target, name AS dst FROM p) n ON e.target = n.target
+    WHERE e.target <> ''""", "run_links")
+def link_edges_names(spark, sf):
+    """Domains with two names, and pages that failed."""
+    pages = b.linked_firms(spark, sf)
+    pages = pages.withColumn("name", F.concat("id", F.lit(" "), F.col("page_id") % 2))
+    failed = F.when(F.col("page_id") % 5 == 0, "timeout").otherwise("None")
+    return links.link_edges(pages.withColumn("error", failed), error="error")
+
+
 @query("link_relabel", EDGES + f""",
     m AS (SELECT {DOMAIN.format('url')} AS old, 'firm ' || min(page_id) AS new FROM run_links GROUP BY 1)
     SELECT coalesce(a.new, src) AS src, coalesce(c.new, dst) AS dst
