@@ -125,8 +125,8 @@ def ordinal_grades(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_bpe_transducer")
 def bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
-    encoded = transducer.encode_texts(table(spark, sf, "documents"), MULTI_BPE, public_tokenizers.PATTERN)
-    return transducer.decode_texts(encoded, MULTI_BPE).select(
+    docs = table(spark, sf, "documents")
+    return transducer.encode_texts(docs, MULTI_BPE, public_tokenizers.PATTERN, with_text=True).select(
         "doc_id",
         F.expr("length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

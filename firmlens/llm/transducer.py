@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from firmlens.llm.pretokens import Remembered, classes_without, grouped, looked_up, unknown_chars
 
 #: States kept in a task; beyond, the transducer is built anew.
-MOST_STATES = 60_000
+MOST_STATES = 40_000
 #: Pairs of tokens whose judgement is kept.
-MOST_PAIRS = 400_000
+MOST_PAIRS = 250_000
 #: Rows of an Arrow batch that are worked on at once.
 SLICE = 1000
 NEVER = 1 << 40
@@ -264,9 +264,12 @@ def encoder(path: str, unknown: bytes) -> tuple[Remembered, Transducer]:
     return Remembered(encode, classes=classes_without(unknown)), machine
 
 
-def encode_texts(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_texts(
+    docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text", with_text: bool = False
+) -> DataFrame:
     """``(key, ids)``: the ids of each row's whole text as little-endian unsigned 32-bit
-    integers in one binary value.
+    integers in one binary value. ``with_text`` adds the ``text`` that they decode to, in
+    the same pass.
 
     ``ranks`` is a vocabulary of byte strings with ranks; ``pattern`` splits texts and must
     be the one that :mod:`firmlens.llm.pretokens` reproduces. A null text counts as an empty
@@ -278,17 +281,23 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id",
     unknown = unknown_to_tiktoken(pattern)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered, _ = encoder(ranks, unknown)
+        remembered, machine = encoder(ranks, unknown)
         gc.disable()  # nothing here waits for the collector, which would go through all states again and again
         for batch in batches:
             for first in range(0, batch.num_rows, SLICE):  # a task holds the texts and ids of a slice
                 part = batch.slice(first, SLICE)
                 ids = [b"".join(own) for group in grouped(part.column(1).to_pylist()) for own in looked_up(group, remembered)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], [key, "ids"])
+                columns, names = [part.column(0), pa.array(ids, pa.binary())], [key, "ids"]
+                if with_text:
+                    columns.append(pa.array(["".join(decoded(np.frombuffer(i, "<u4").tolist(), machine.bytes_of)) for i in ids], pa.string()))
+                    names.append("text")
+                yield pa.RecordBatch.from_arrays(columns, names)
         gc.enable()
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(encode, f"`{key}` {kind}, ids binary")
+    return docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(
+        encode, f"`{key}` {kind}, ids binary" + (", text string" if with_text else "")
+    )
 
 
 def decode_texts(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:

@@ -131,6 +131,8 @@ def test_encoding_is_the_librarys_and_decodes(request, name, ranked):
     table = request.getfixturevalue(name)
     encoded = transducer.encode_texts(table, RANKS, public_tokenizers.PATTERN)
     rows = transducer.decode_texts(encoded, RANKS).collect()
+    both = transducer.encode_texts(table, RANKS, public_tokenizers.PATTERN, with_text=True).collect()
+    assert ordered((r.doc_id, bytes(r.ids), r.text) for r in both) == ordered((r.doc_id, bytes(r.ids), r.text) for r in rows)
     found = [(r.doc_id, hashlib.sha256(r.ids).hexdigest(), r.text) for r in rows]
     ids = [(k, np.array(ranked.encode_ordinary(t or ""), "<u4").tobytes(), t or "") for k, t in texts_of(table)]
     assert ordered(found) == ordered((k, hashlib.sha256(i).hexdigest(), t) for k, i, t in ids)
