@@ -3,7 +3,7 @@ how to read the answers. No model is called here."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -36,9 +36,11 @@ def corpus(pages: DataFrame, chosen: DataFrame, **how: object) -> DataFrame:
     return group_text(own, keep_empty=False, **how)
 
 
-def instructions(fields: Iterable[str]) -> str:
-    """A prompt head that asks for the fields as the JSON of ``ANSWER``."""
-    listed = "\n".join(f"- {f}" for f in fields)
+def instructions(fields: Iterable[str] | Mapping[str, str]) -> str:
+    """A prompt head that asks for the fields as the JSON of ``ANSWER``; a mapping adds what
+    each field covers."""
+    covers = fields if isinstance(fields, Mapping) else dict.fromkeys(fields, "")
+    listed = "\n".join(f"- {f}: {text}" if text else f"- {f}" for f, text in covers.items())
     return (
         "Decide from the website text below in which of these technology fields the company works.\n"
         f"{listed}\n"

@@ -383,7 +383,7 @@ CHOSEN = MATCHED + f""", chosen AS (SELECT DISTINCT p.id FROM matched m JOIN pag
       JOIN dictionary d ON d.keyword = m.keyword WHERE d.category = 'delta'),
     own AS (SELECT * FROM page_text WHERE id IN (SELECT id FROM chosen)),
     corpus AS ({grouped_sql("own", PART_CHARS)})"""
-HEAD = lb.instructions(c for c, _ in b.KEYWORD_ROWS)
+HEAD = lb.instructions({c: f"work with {p}" for c, p in b.KEYWORD_ROWS})
 
 
 def chosen_texts(spark, sf):

@@ -368,7 +368,7 @@ def test_prompts(spark, hits):
     texts = texts.selectExpr("id", "0L AS part", "text")
     assert found(lb.prompts(texts, "head:", 4)) == [(1, 0, 0, "head:abcd"), (1, 0, 1, "head:ef")]
     assert found(lb.candidates(hits, 2)) == [(1, "a", 2)]
-    assert "- x" in lb.instructions(["x"])
+    assert "- x\n" in lb.instructions(["x"]) and "- x: what it is\n" in lb.instructions({"x": "what it is"})
 
 
 def test_samples(spark):
