@@ -52,6 +52,9 @@ SKETCH = 48
 #: makes two of them candidates.
 BLOCK = 512
 LIKELY = 0.55
+#: Texts with one key, and bytes of their shingle sets, in a part that is compared in full
+#: with each other part of the key.
+MEMBERS, SET_BYTES = 1024, 16 << 20
 #: Shingles whose bits are summed at once.
 PART = 1 << 16
 
@@ -302,7 +305,8 @@ def sketch(values: np.ndarray) -> np.ndarray:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs to compare, from rows ``(key, node, sketch)`` sorted by key and node: each text
     with the most similar one before it among its key's texts, by their sketches. A key's texts
-    are taken in blocks, into each of which the first and the best linked text go along."""
+    are taken in blocks, into each of which the first and the best linked text go along. What
+    these pairs leave apart is compared in full by :func:`_rest`."""
 
     def pairs(node: np.ndarray, sketches: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         a, b = [], []
@@ -355,16 +359,87 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(*held)
 
 
+def _untested(table: pa.Table) -> np.ndarray:
+    """Which texts of two parts of a key are to be compared: their sketches are alike, no link
+    connects them yet, and no earlier sample has them under one key."""
+    sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, SKETCH)
+    keys = np.array([k[:SAMPLES] for k in table["keys"].to_pylist()], np.int64)
+    label, part = table["label"].to_numpy(), table["part"].to_numpy()
+    alike = np.zeros((len(label), len(label)), np.int16)
+    for i in range(SKETCH):
+        alike += sketches[:, i, None] == sketches[None, :, i]
+    out = (alike >= LIKELY * SKETCH) & (label[:, None] != label[None, :])
+    if table["i"][0] != table["j"][0]:
+        out &= part[:, None] != part[None, :]
+    for i in range(min(table["key"][0].as_py() & 31, SAMPLES)):
+        out &= keys[:, i, None] != keys[None, :, i]
+    return out
+
+
+def _compare(similarity: float):  # noqa: ANN202
+    """A function of the texts of two parts of a key: links that connect all that are similar
+    enough. The text with the most candidates is compared first, so that the others that it
+    links need no comparison."""
+
+    def work(table: pa.Table) -> pa.Table:
+        wanted = _untested(table)
+        sets = [np.frombuffer(v, np.uint64) for v in table["shingles"].to_pylist()]
+        size = np.array([len(v) for v in sets])
+        number = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(size)[:-1])
+        there = np.zeros(size.sum() + 1, bool)
+        node, label = table["node"].to_numpy(), table["label"].to_numpy().copy()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.argsort(-wanted.sum(1), kind="stable"):
+            others = np.flatnonzero(wanted[i] & (label != label[i]))
+            if not len(others):
+                continue
+            there[number[i]] = True
+            shared = np.array([np.count_nonzero(there[number[o]]) for o in others])
+            there[number[i]] = False
+            good = others[shared >= similarity * (size[i] + size[others] - shared)]
+            a.append(node[good])
+            b.append(np.full(len(good), node[i]))
+            label[np.isin(label, label[good])] = label[i]
+        return pa.table([np.concatenate(x) for x in (a, b)], names=["a", "b"])
+
+    return work
+
+
+def _rest(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """``(key, i, j, part, node, label, sketch, keys)``: the texts still to be compared within
+    parts ``i`` and ``j`` of a key. ``named`` tells what links connect so far.
+
+    A key whose texts are all connected needs no more; nor does one of two texts, which were
+    compared. The texts of the others are dealt to parts of bounded size, each of which meets
+    each, and those go on that have a likely copy that nothing connects to them.
+    """
+    asked = texts.join(named, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("label"), "sketch", "keys", "size", F.explode("keys").alias("key")
+    )
+    parts = F.greatest(F.ceil(F.col("n") / MEMBERS), F.ceil(F.col("total") * 8 / SET_BYTES)).cast("int")
+    mixed = stored(
+        asked.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("n > 2 and low != high").select("key", parts.alias("parts")),
+        "mixed",
+    )
+    dealt = asked.join(mixed, "key").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = dealt.withColumn("other", other).select(
+        "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "sketch", "keys"
+    )
+    return met.groupBy("key", "i", "j").applyInArrow(lambda t: t.filter(pa.array(_untested(t).any(1))), met.schema)
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(k, digest, node, keeper)`` for each row of ``docs``: texts that chains of ``similarity``
     or more connect have one ``node``; ``keeper`` says whether the row is the first of them by
     key and digest, ``(xxhash64(key, text), hash(text))``, of which repeated rows share one.
 
     Texts of the same lower-cased words are equal. Others are linked if the Jaccard
-    similarity of their shingle sets, worked out in full for every candidate pair, is high
-    enough. Candidates come from sampled fingerprints, so that a pair may be missed: with
-    the defaults in 1 of 1,500 cases at 0.8 and less often above. Null and empty texts are
-    equal to each other.
+    similarity of their shingle sets, worked out in full for every candidate pair that other
+    links do not connect, is high enough. Candidates come from sampled fingerprints, so that
+    a pair may be missed: with the defaults in 1 of 1,500 cases at 0.8 and less often above.
+    Null and empty texts are equal to each other.
     """
     digest = xxhash.xxh64_intdigest
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -372,43 +447,46 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: s
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys, sketches = [], [], []
+            nodes, keys, sketches, sizes = [], [], [], []
             for t in batch.column(3).to_pylist():
                 joined = " ".join(WORD.findall(t.translate(CAPITALS))).encode()
                 nodes.append(digest(joined, SEED))
                 values = np.unique(hashes(t, words))
                 keys.append(sample_keys(values).tolist())
                 sketches.append(sketch(values).tobytes())
+                sizes.append(len(values))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(i) for i in range(3)], pa.array(np.array(nodes, np.uint64).view(np.int64)),
-                    pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(sizes, pa.int64()),
                 ],
-                ["k", "digest", "id", "node", "keys", "sketch"],
+                ["k", "digest", "id", "node", "keys", "sketch", "size"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = stored(own.mapInArrow(keyed, f"k long, digest int, id {kind}, node long, keys array<long>, sketch binary"), "copies")
+    rows = stored(own.mapInArrow(keyed, f"k long, digest int, id {kind}, node long, keys array<long>, sketch binary, size long"), "copies")
     # Of equal texts the first row stands for all.
     texts = stored(
         rows.groupBy("node").agg(
-            F.min(F.struct("id", "digest", "k")).alias("first"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
+            F.min(F.struct("id", "digest", "k")).alias("first"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"),
+            F.first("size").alias("size"),
         ),
         "texts",
     )
     asked = texts.select(F.explode("keys").alias("key"), "node", "sketch").repartition(F.col("key")).sortWithinPartitions("key", "node")
     pairs = stored(asked.mapInArrow(_candidates, "a long, b long").filter("a != b").distinct(), "pairs")
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = texts.join(wanted, "node").select("node", "first.k", "first.digest")
-
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(hashes(t, words)).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
 
-    found = own.select("k", "digest", "text").join(chosen, ["k", "digest"]).select("node", "text").mapInArrow(sets, "node long, shingles binary")
-    found = stored(found.dropDuplicates(["node"]), "shingles")
+    def with_sets(nodes: DataFrame) -> DataFrame:
+        chosen = texts.join(nodes.select("node").distinct(), "node").select("node", "first.k", "first.digest")
+        texts_of = own.select("k", "digest", "text").join(chosen, ["k", "digest"]).select("node", "text")
+        return stored(texts_of.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+
+    found = with_sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
     both = (
         pairs.join(found.select(F.col("node").alias("a"), F.col("shingles").alias("one")), "a")
         .join(found.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b")
@@ -426,6 +504,11 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: s
 
     links = both.select("a", "b", "one", "other").mapInArrow(compared, "a long, b long")
     named = components(links)
+    rest = stored(_rest(texts, named), "rest")
+    if not rest.isEmpty():
+        groups = rest.join(with_sets(rest), "node").groupBy("key", "i", "j")
+        more = groups.applyInArrow(_compare(similarity), "a long, b long")
+        named = components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     joined = stored(
         texts.select("node", "first").join(named, "node", "left").withColumn("component", F.coalesce("component", "node")), "named"
     )

@@ -181,6 +181,30 @@ def test_near_copies(request, name):
     assert ordered(r.doc_id for r in rows.collect()) == ordered(keys)
 
 
+def star(copies: int) -> list[tuple]:
+    """Texts that are near the first but not near each other: each has words of its own at places of its own."""
+    rng = np.random.default_rng(3)
+    first = [f"w{i}" for i in rng.integers(0, 5000, 300)]
+    rows = [(0, " ".join(first))]
+    for k in range(1, copies + 1):
+        own = list(first)
+        for i in rng.permutation(59)[:5]:
+            own[5 * i + 2] = f"own{k}x{i}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("members", [1024, 300])
+def test_near_copies_of_a_star(spark, members, monkeypatch):
+    monkeypatch.setattr(near_dups, "MEMBERS", members)
+    rows = star(1000)
+    sets = [set(shingled(t, 5)) for _, t in rows]
+    assert all(0.84 < len(sets[0] & s) / len(sets[0] | s) < 0.86 for s in sets[1:])
+    assert np.mean([len(a & b) / len(a | b) < 0.8 for a, b in itertools.combinations(sets[1:60], 2)]) > 0.9
+    kept = near_dups.without_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert [r.doc_id for r in kept.collect()] == [0]
+
+
 def test_grades_of_held_out_documents(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     held, grade = F.xxhash64("doc_id") % 4 == 0, 2 * F.col("quality") + 1 - F.col("toxic")
