@@ -63,7 +63,10 @@ def _indexed(distinct: DataFrame, pivots: np.ndarray, kind: str) -> DataFrame:
 
 
 def _search(size: int, most: int):  # noqa: ANN202
-    """A function of a part of a file and the queries that read it: the best of each query."""
+    """A function of a part of a file and the queries that read it: the best of each query.
+
+    Vectors with no key but the query's own are out before anything is cut. Ties go to the
+    smallest other key."""
     schema = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
 
     def work(posted: pa.Table, asked: pa.Table) -> pa.Table:
@@ -71,19 +74,23 @@ def _search(size: int, most: int):  # noqa: ANN202
             return schema.empty_table()
         vectors, queries = (_matrix(t["v"].combine_chunks(), size) for t in (posted, asked))
         node, query = posted["node"].to_numpy(), asked["query"].to_numpy()
+        least, second, asks = posted["least"].to_numpy(), posted["second"].to_numpy(), asked["query_id"].to_numpy()
         place, own = (
             np.frombuffer(b"".join(t["p"].to_pylist()), np.uint8).reshape(t.num_rows, -1).astype(np.int16) for t in (posted, asked)
         )
-        compared = min(len(node), max(COMPARED_LEAST, math.ceil(COMPARED_SHARE * len(node))))
         out = []
         step = max(1, BLOCK_CELLS // place.size)
         for first in range(0, len(query), step):
             part = slice(first, first + step)
             footrule = np.abs(place[None, :, :] - own[part][:, None, :]).sum(2, dtype=np.int32)
             for i, distance in enumerate(footrule, first):
-                near = np.argpartition(distance, compared - 1)[:compared] if compared < len(node) else np.arange(len(node))
+                near = np.flatnonzero((least != asks[i]) | (second != asks[i]))
+                compared = max(COMPARED_LEAST, math.ceil(COMPARED_SHARE * len(near)))
+                if compared < len(near):
+                    near = near[np.argpartition(distance[near], compared - 1)[:compared]]
                 score = vectors[near] @ queries[i]
-                best = near[np.lexsort((node[near], -score))[:most]]
+                other = np.where(least[near] == asks[i], second[near], least[near])
+                best = near[np.lexsort((other, -score))[:most]]
                 out.append((np.full(len(best), query[i]), node[best], vectors[best] @ queries[i]))
         return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], schema=schema)
 
@@ -98,8 +105,9 @@ def nearest(
     smaller key; rows with the query's own key are not among them.
 
     Null and zero vectors, those with null or non-finite components, those of another
-    length than most, and rows without a key take no part. Equal vectors are indexed once
-    and all found. All vectors are indexed; only the pivots are a sample, the ``pivots``
+    length than most, and rows without a key take no part. Rows equal in key and vector are
+    one row. Equal vectors are indexed once and all found; a key with several vectors asks
+    with each of them and ranks what each finds. All vectors are indexed; only the pivots are a sample, the ``pivots``
     different vectors with the smallest hashes. Other columns are not read. An empty table
     gives an empty result.
     """
@@ -117,7 +125,7 @@ def nearest(
 
     # Of equal vectors the smallest keys are enough: one more than are asked for.
     by_vector = Window.partitionBy("vector").orderBy("id")
-    firsts = rows.select("vector", "id").withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= count + 1)
+    firsts = rows.select("vector", "id").distinct().withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= count + 1)
     distinct = firsts.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     numbered = distinct.select(F.col("ids")[0].alias("node"), "vector", "ids")
     # Vectors that share their smallest key (a repeated key) are told apart by a hash.
@@ -128,39 +136,43 @@ def nearest(
     chosen = np.array([r.vector for r in sample], np.float64)
     index = stored(_indexed(numbered, chosen, kind), "index")
 
-    asking = stored(rows.filter("asks").join(index.select("node", "vector"), "vector").select(F.col("id").alias("query_id"), F.col("node").alias("query")), "queries")
-    asked = asking.select(F.col("query").alias("node")).distinct()
+    asking = rows.filter("asks").select(F.col("id").alias("query_id"), "vector").distinct()
+    # Each key of a vector asks by itself, since the rows that are its own differ.
+    asking = stored(
+        asking.join(index.select("node", "vector"), "vector").select("query_id", "node", F.xxhash64("query_id", "node").alias("query")), "queries"
+    )
     # At most one row for each pivot comes to the driver: how long its file is, and its queries.
     files = index.select("node", F.explode(F.slice("near", 1, POSTED)).alias("pivot")).groupBy("pivot").count()
-    readers = index.join(asked, "node", "left_semi").select(F.explode("near").alias("pivot")).groupBy("pivot").count()
+    readers = index.join(asking, "node").select(F.explode("near").alias("pivot")).groupBy("pivot").count()
     sizes = {r.pivot: r["count"] for r in files.collect()}
     reads = {r.pivot: r["count"] for r in readers.collect()}
     parts = F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // PART))) for p in range(len(chosen))])
     groups = F.array(*[F.lit(max(1, -(-reads.get(p, 0) // QUERIES_AT_ONCE))) for p in range(len(chosen))])
 
-    def dealt(table: DataFrame, as_node: str, files: Column, own: Column, other: Column, names: tuple[str, str]) -> DataFrame:
+    def dealt(table: DataFrame, as_node: str, keys: list, files: Column, own: Column, other: Column, names: tuple[str, str]) -> DataFrame:
         """Each row in its own part of a file, once for each part of the other side."""
         return (
-            table.select(F.col("node").alias(as_node), F.col("vector").alias("v"), F.col("place").alias("p"), F.explode(files).alias("pivot"))
+            table.select(as_node, *keys, F.col("vector").alias("v"), F.col("place").alias("p"), F.explode(files).alias("pivot"))
             .withColumn(names[0], F.pmod(F.xxhash64(as_node), F.element_at(own, F.col("pivot") + 1)).cast("int"))
             .withColumn(names[1], F.explode(F.sequence(F.lit(0), F.element_at(other, F.col("pivot") + 1) - 1)))
         )
 
-    posted = dealt(index, "node", F.slice("near", 1, POSTED), parts, groups, ("part", "group"))
-    queries = dealt(index.join(asked, "node", "left_semi"), "query", F.col("near"), groups, parts, ("group", "part"))
+    two = [F.col("ids")[0].alias("least"), F.coalesce(F.get("ids", F.lit(1)), F.col("ids")[0]).alias("second")]
+    posted = dealt(index, "node", two, F.slice("near", 1, POSTED), parts, groups, ("part", "group"))
+    queries = dealt(index.join(asking, "node"), "query", ["query_id"], F.col("near"), groups, parts, ("group", "part"))
     found = posted.groupBy("pivot", "part", "group").cogroup(queries.groupBy("pivot", "part", "group")).applyInArrow(
-        _search(size, count + 1), "query long, node long, score double"
+        _search(size, count), "query long, node long, score double"
     )
-    # A query's finds of all files: the best different vectors, then the best rows of these.
+    # A query's finds of all files without its own key: the best different vectors, then the
+    # best rows of these.
     unique = found.groupBy("query", "node").agg(F.max("score").alias("score"))
-    with_ids = unique.join(index.select("node", "ids"), "node")
+    with_ids = unique.join(index.select("node", "ids"), "node").join(asking.select("query", "query_id"), "query")
+    others = with_ids.withColumn("ids", F.array_remove("ids", F.col("query_id")))
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0])
-    nodes = with_ids.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= count + 1)
-    by_row = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    own = nodes.select("query", "score", F.explode("ids").alias("vec_id")).withColumn("n", F.row_number().over(by_row)).filter(F.col("n") <= count + 1)
-    by_query = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    nodes = others.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= count)
+    by_query = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (
-        asking.distinct().join(own, "query").filter(F.col("vec_id") != F.col("query_id"))
+        nodes.select("query", "query_id", "score", F.explode("ids").alias("vec_id"))
         .withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= count)
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -97,6 +97,33 @@ def test_neighbours_of_few_and_no_vectors(spark):
     assert neighbours.nearest(table.filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    good = [(i, [float(np.float32(v)) for v in rng.normal(size=8)]) for i in range(100, 160)]
+    strong = [float(v) for v in 9 * np.ones(8)]
+    good += [(200, strong), (220, strong)]
+    table = spark.createDataFrame(good + [good[0]] + 29 * [good[20]] + 29 * [(200, strong)] + [good[5]], "vec_id long, embedding array<float>")
+    found: dict = {}
+    for r in sorted(neighbours.nearest(table.repartition(4), F.col("vec_id") % 20 == 0, 20).collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert found == {q: [v for v, _ in own] for q, own in best(good, 20).items()}
+
+
+def test_neighbours_of_a_key_with_many_vectors(spark):
+    rng = np.random.default_rng(5)
+    one = rng.normal(size=8)
+    many = [[float(v) for v in 9 * one + 0.01 * rng.normal(size=8)] for _ in range(400)]
+    others = [(i, [float(v) for v in rng.normal(size=8)]) for i in range(101, 160) if i % 20]
+    table = spark.createDataFrame([(0, v) for v in many] + others, "vec_id long, embedding array<double>")
+    rows = neighbours.nearest(table, F.col("vec_id") == 0, 20, pivots=8).collect()  # every query reads every file
+    assert len(rows) == 400 * 20 and sorted({r["rank"] for r in rows}) == list(range(1, 21))
+    expected = sorted((tuple(sorted(others, key=lambda r: -float(np.dot(r[1], q)))[k][0] for k in range(20))) for q in many)
+    by_score: dict = {}
+    for r in rows:
+        by_score.setdefault(r["rank"], []).append(r.vec_id)
+    assert all(sorted(by_score[k + 1]) == sorted(e[k] for e in expected) for k in range(20))
+
+
 @pytest.mark.parametrize("part", [8192, 150])
 def test_recall(spark, part, monkeypatch):
     monkeypatch.setattr(neighbours, "PART", part)
