@@ -371,7 +371,8 @@ def repeated_spans(docs: DataFrame, window: int, keep_first: bool, kind: str) ->
     if not many.isEmpty():
         found = found.unionByName(_split(texts.table.join(many, "mark", "left_semi"), window, keep_first, kind))
     spans = span(whole).unionByName(span(copies)).unionByName(found)
-    return spans.groupBy("k", "digest").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    # Rows equal in key and text have the same spans: a set has at most those of one text.
+    return spans.groupBy("k", "digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:

@@ -301,6 +301,19 @@ def test_repeats(request, name, size, keep_first, monkeypatch):
     assert ordered(found) == ordered(removed(texts_of(table), 400, keep_first))
 
 
+@pytest.mark.parametrize("key", [1, None])
+def test_spans_of_repeated_rows_are_those_of_one_text(spark, key):
+    text = " ".join(f"w{i * i}" for i in range(400))
+    rows = 60 * [(key, text)] + [(2, "before " + text[:900]), (3, text[300:1500] + " after")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs = table.select(F.col("doc_id").alias("k"), F.hash("text").alias("digest"), "text")
+    found = repeats.repeated_spans(docs, 400, False, "bigint").collect()
+    assert len(found) == 3 and all(len(r.spans) == len(set(r.spans)) <= len(text) for r in found)
+    rows_left = repeats.remove_repeats(table, 400, False).collect()
+    left = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows_left]
+    assert ordered(left) == ordered(removed(rows, 400, False))
+
+
 def test_texts_without_repeats_keep_whole_characters(odd):
     table = repeats.without_repeats(odd, 100)
     assert table.columns == odd.columns
