@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.llm.pretokens import Remembered
+from firmlens.llm.quality import one_of_key
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RUNS = [(re.compile(r"[^\W\d_]+"), ""), (re.compile(r"\d+"), "9")]
@@ -134,7 +135,8 @@ def fit_to_ratings(
     """The grader fitted to at most ``most`` rated documents, those with the smallest hashes
     of their keys. ``grade`` is a column of ``ratings`` from 0 to ``grades`` - 1.
 
-    Only this fitting reads a sample. Rows with a null key, grade or text take no part.
+    Only this fitting reads a sample. Rows with a null key, grade or text take no part. Of the
+    texts of a repeated key the one with the smallest hash is taken.
     """
     rated = ratings.select(F.col(key).alias("k"), grade.cast("int").alias("grade")).filter("k is not null and grade is not null").distinct()
     sample = F.broadcast(rated.orderBy(F.xxhash64(F.lit("fit"), "k"), "k", "grade").limit(most))  # at most this many rows
@@ -152,7 +154,7 @@ def fit_to_ratings(
                 ["buckets", "counts", "grade"],
             )
 
-    rows = own.join(sample, "k").select("text", "grade").mapInArrow(work, "buckets binary, counts binary, grade int").collect()
+    rows = one_of_key(own, sample, ["grade"]).mapInArrow(work, "buckets binary, counts binary, grade int").collect()
     parts = sorted((r.grade, bytes(r.buckets), bytes(r.counts)) for r in rows)
     return fit([(np.frombuffer(b, "<i4").astype(np.int64), np.frombuffer(v, "<f8"), g) for g, b, v in parts], grades)
 

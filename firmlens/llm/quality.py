@@ -177,11 +177,19 @@ def fit(documents: list[tuple[np.ndarray, int]], steps: int = FIT_STEPS, rate: f
     return LineField(emit, move)
 
 
+def one_of_key(docs: DataFrame, sample: DataFrame, names: list[str]) -> DataFrame:
+    """``(text, *names)`` of ``docs(k, text)`` joined to ``sample(k, *names)``: of each of its
+    rows one text, the one with the smallest hash, found before the shuffle."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return docs.join(sample, "k").groupBy("k", *names).agg(least).select("least.text", *names)
+
+
 def fit_to_labels(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS, key: str = "doc_id", text: str = "text") -> LineField:
     """The field fitted to at most ``most`` labelled documents of each class (``quality`` 0
     or 1; those with the smallest hashes of their keys), ``FIT_LINES`` lines of each.
 
-    Only this fitting reads a sample. Rows with a null key, label or text take no part.
+    Only this fitting reads a sample. Rows with a null key, label or text take no part. Of the
+    texts of a repeated key the one with the smallest hash is taken.
     """
     hashed = labels.select(F.col(key).alias("k"), "quality").filter("k is not null").distinct()
     chosen = [
@@ -197,7 +205,7 @@ def fit_to_labels(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS,
             digest = [" ".join(f"{v:.9g}" for v in own) for own in values]
             yield pa.RecordBatch.from_arrays([pa.array(digest), batch.column(1)], ["features", "quality"])
 
-    rows = own.join(sample, "k").select("text", F.col("quality").cast("int").alias("quality")).mapInArrow(
+    rows = one_of_key(own, sample, ["quality"]).select("text", F.col("quality").cast("int").alias("quality")).mapInArrow(
         work, "features string, quality int"
     )
     found = sorted((r.quality, r.features) for r in rows.collect())

@@ -83,6 +83,20 @@ def test_field_without_labels(spark, odd, nothing):
     assert quality.fit_to_labels(nothing, spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, None)], labels.schema)) is quality.DEFAULT_FIELD
 
 
+@pytest.mark.parametrize("module", [quality, grades])
+def test_fits_take_one_text_of_a_key(spark, module, monkeypatch):
+    texts = [(1, f"good text number {i}\nwith a second line") for i in range(300)] + [(2, f"BUY ### {i} !!!") for i in range(3)]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    given = []
+    monkeypatch.setattr(module, "fit", lambda found, *_: given.append(len(found)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    if module is quality:
+        quality.fit_to_labels(docs, labels)
+    else:
+        grades.fit_to_ratings(docs, labels, F.col("quality"), 2)
+    assert given == [2]
+
+
 def shingled(text: str, n: int) -> list[str]:
     words = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), text))
     return [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
