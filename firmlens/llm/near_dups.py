@@ -439,6 +439,8 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: s
     similarity of their shingle sets, worked out in full for every candidate pair that other
     links do not connect, is high enough. Candidates come from sampled fingerprints, so that
     a pair may be missed: with the defaults in 1 of 1,500 cases at 0.8 and less often above.
+    Texts of few shingles are missed more often: those of 4 and 5 shingles (similarity 4/5)
+    agree in a sample with the probability 1/5, and are missed in 0.8^14 = 4.4 % of cases.
     Null and empty texts are equal to each other.
     """
     digest = xxhash.xxh64_intdigest
