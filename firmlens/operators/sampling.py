@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from firmlens.functions.positions import PLACE, RANGE, sorted_ranges
 from firmlens.functions.text import hash_fraction
 
 
@@ -20,8 +21,25 @@ def sample_ids(rows: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:
     return ids.orderBy(hash_fraction(F.col(key), seed), key).limit(k)
 
 
-def slice_rows(rows: DataFrame, offset: int, length: int, *order: str) -> DataFrame:
-    return rows.orderBy(*order).offset(offset).limit(length)
+def slice_rows(rows: DataFrame, offset: int, length: int, *order: str | Column) -> DataFrame:
+    """``length`` rows from the place ``offset`` on, in the given order.
+
+    The rows are written in sorted ranges. Only the ranges that the slice meets are read
+    again, and no task sees the rows before it.
+    """
+    if offset < 0 or length < 0:
+        raise ValueError("a slice has a place and a length from 0 on")
+    ranges = sorted_ranges(rows, *order)
+    stop = offset + length
+    met = ranges.sizes.filter((F.col("before") < stop) & (F.col("before") + F.col("n") > offset)).collect()
+    if not met or not length:
+        return ranges.rows.select(*rows.columns).limit(0)
+    place, at = F.col(PLACE), F.col(RANGE)
+    first, last = min(met, key=lambda r: r[RANGE]), max(met, key=lambda r: r[RANGE])
+    own = ranges.rows.filter(at.between(first[RANGE], last[RANGE]))
+    own = own.filter((at > first[RANGE]) | (place >= offset - first["before"]))
+    own = own.filter((at < last[RANGE]) | (place < stop - last["before"]))
+    return own.orderBy(RANGE, PLACE).select(*rows.columns)
 
 
 def first_per_key(rows: DataFrame, keys: list[str], *order: str, k: int = 1) -> DataFrame:
