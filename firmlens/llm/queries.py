@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import chat, grades, near_dups, neighbours, packing, quality, repeats, secrets, token_counts, transducer
+from firmlens.llm import chat, grades, near_dups, neighbours, packing, quality, repair, repeats, resampling, secrets, token_counts, toxicity, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,3 +152,138 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf, "documents"), window=400, keep_first=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Remainders of CRC-32 after half a byte.
+HALF_BYTES = [0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158, 0x5005713C,
+              0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4, 0xA00AE278, 0xBDBDF21C]
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes: of each byte first the lower half, then the upper one."""
+    half = f"(instr('0123456789ABCDEF', substr(hex({text}), i + 2 - 2 * (i % 2), 1)) - 1)::BIGINT"
+    return f"""xor(list_reduce([4294967295::BIGINT] || list_transform(range(2 * octet_length(encode({text}))), lambda i: {half}),
+      lambda a, n: xor(list_extract({HALF_BYTES}, (xor(a, n) & 15) + 1), a >> 4)), 4294967295)"""
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PARTED = rf"list_filter(regexp_split_to_array({LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+BUCKETS = resampling.BUCKETS
+
+
+def run_sql(table: str, key: str) -> str:
+    """(id, feature, n) of all runs of one or two words."""
+    return f"""SELECT id, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature
+      FROM (SELECT {key} AS id, {PARTED} AS words FROM {table})"""
+
+
+RESAMPLING_SQL = f"""
+WITH corpus AS (SELECT id, feature, count(*) AS n FROM ({run_sql("documents", "doc_id")}) GROUP BY ALL),
+wanted AS (SELECT feature, count(*) AS n FROM ({run_sql("benchmark", "item_id")}) GROUP BY ALL),
+buckets AS (SELECT feature, {crc_sql("feature")} % {BUCKETS} AS bucket FROM (SELECT feature FROM corpus UNION SELECT feature FROM wanted)),
+s AS (SELECT bucket, sum(n) AS n FROM corpus JOIN buckets USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM wanted JOIN buckets USING (feature) GROUP BY bucket),
+sums AS (SELECT coalesce((SELECT sum(n) FROM s), 0)::DOUBLE AS s, coalesce((SELECT sum(n) FROM t), 0)::DOUBLE AS t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (sums.s + {BUCKETS}) / ((coalesce(s.n, 0)::DOUBLE + 1) * (sums.t + {BUCKETS}))))::BIGINT AS gain
+  FROM (SELECT DISTINCT bucket FROM buckets) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket) CROSS JOIN sums),
+own AS (
+  SELECT id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM corpus JOIN buckets USING (feature) JOIN gains USING (bucket) GROUP BY id),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(n_features, 0) + 1 >= 2 * {resampling.LEAST_WORDS} AS able,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{resampling.SEED}:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM documents d LEFT JOIN own ON d.doc_id = own.id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY able) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank FROM ranked
+"""
+
+
+@query("op11_target_resampling", RESAMPLING_SQL)
+def target_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_compression_toxicity")
+def compression_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    found = toxicity.scored(docs, toxicity.fit_to_labels(docs, labels.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "n_windows", "n_marked")
+
+
+REPAIR_SQL = f"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS harm
+  FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT * FROM given WHERE harm <> 0 UNION ALL SELECT * FROM given WHERE harm = 3)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM hurt),
+marked AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+         lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS following FROM placed),
+faults AS (
+  SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM marked),
+sizes AS (
+  SELECT conv_id, count(*) AS n, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM faults GROUP BY conv_id),
+-- States: nothing so far, or the initial of the last turn. At most two turns are put in at one place.
+edits(pick, cost) AS (VALUES ('D', 3), ('K', 0), ('R', 2)),
+ahead(state, put, goal, cost) AS (VALUES
+  ('', '', '', 0), ('s', '', 's', 0), ('u', '', 'u', 0), ('a', '', 'a', 0), ('', 'I', 'u', 2), ('s', 'I', 'u', 2), ('u', 'I', 'a', 2), ('a', 'I', 'u', 2),
+  ('', 'II', 'a', 4), ('s', 'II', 'a', 4), ('u', 'II', 'u', 4), ('a', 'II', 'a', 4)),
+moves AS (
+  SELECT f.conv_id, f.pos, a.state, a.put || e.pick AS edit, a.cost + e.cost + CASE WHEN e.pick <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+    CASE e.pick WHEN 'D' THEN a.goal WHEN 'K' THEN f.initial ELSE CASE a.goal WHEN 'u' THEN 'a' ELSE 'u' END END AS after
+  FROM faults f CROSS JOIN ahead a CROSS JOIN edits e
+  WHERE e.pick = 'D' OR (coalesce(f.fault, '') NOT IN ('blank', 'duplicate') AND (e.pick = 'R' OR
+    (f.initial = 's' AND a.goal = '') OR (f.initial = 'u' AND a.goal <> 'u') OR (f.initial = 'a' AND a.goal = 'u')))),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS pos, '' AS state, {{'cost': 0, 'audit': ''}} AS best FROM sizes
+  UNION ALL
+  SELECT w.conv_id, w.pos + 1, m.after, min({{'cost': w.best.cost + m.cost, 'audit': w.best.audit || m.edit}})
+  FROM ways w JOIN moves m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.pos = w.pos + 1 AND m.state = w.state
+  GROUP BY w.conv_id, w.pos, m.after),
+cheapest AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + a.cost, 'audit': w.best.audit || a.put}}) AS best
+  FROM ways w JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND w.pos = s.n JOIN ahead a ON a.state = w.state
+  WHERE a.goal IN ('', 'a') GROUP BY w.conv_id),
+steps AS (SELECT conv_id, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS spot FROM cheapest),
+taken AS (
+  SELECT conv_id, spot, substr(audit, spot, 1) AS edit, length(replace(substr(audit, 1, spot), 'I', '')) AS pos FROM steps),
+stay AS (
+  SELECT t.conv_id, t.spot, t.edit, f.role, f.text,
+    count(*) FILTER (WHERE NOT (t.edit = 'K' AND f.initial = 's')) OVER (PARTITION BY t.conv_id ORDER BY t.spot) AS written
+  FROM taken t LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.pos = t.pos WHERE t.edit <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE CASE written % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY spot) AS lines FROM stay GROUP BY conv_id)
+SELECT c.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate, coalesce(s.truncated, 0) AS truncated,
+  coalesce(s.illegal, 0) AS illegal, coalesce(b.best.cost, 0)::BIGINT AS cost, coalesce(b.best.audit, '') AS audit, sha256(coalesce(r.lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN cheapest b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    talks = table(spark, sf, "conversations")
+    found = repair.repair(repair.damaged(talks))
+    counts, none = ["gaps", *repair.COUNTS], F.lit(0).cast("long")
+    # One shuffle for all parts: rows of a conversation are put together by an aggregate.
+    parts = [found.report.select("conv_id", *counts, "audit"), repair.digests(found.turns)]
+    rows = talks.select("conv_id")
+    for part in parts:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), none).alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
