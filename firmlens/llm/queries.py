@@ -151,7 +151,11 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf, "documents"), window=400, keep_first=False)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        F.length("kept").cast("long").alias("n_kept"), left.alias("kept_text"),
+    )
 
 
 # Remainders of CRC-32 after half a byte.

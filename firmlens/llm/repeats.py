@@ -4,20 +4,23 @@ Every window of ``window`` bytes has a mark: among its shorter strings of a fixe
 the one with the least hash. Equal windows have equal marks, so only marks that occur again are looked
 at. A mark's windows follow each other; their bytes are its context. Equal contexts are
 counted, and one of each goes on. Different contexts of one mark meet in a task, which
-sorts their suffixes by the first ``window`` bytes. There the previous and next smaller
-places of a suffix give its longest earlier factor; it is a copy if that factor is as long
-as the window. A mark with too many different contexts is split before: into blocks of
-windows with a common core, and these into single windows.
+makes the suffix array of their windows with the longest common prefixes of neighbours. In
+suffix order the previous and the next smaller place of a window give the longest factor
+that stands earlier; the window is a copy if that factor is as long as itself. A mark with
+too many different contexts is split before: into blocks of windows with a common core, and
+these into single windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.llm.storage import Stored, stored
@@ -30,7 +33,9 @@ CHUNK = 1 << 20
 #: Different contexts of one mark that a task compares, bytes of contexts sorted at once,
 #: and windows in a block of those that are too many.
 GROUP = 2048
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
+#: Texts whose marks are looked for together, and bytes of contexts that leave a task together.
+SLICE, OUT_BYTES = 500, 4 << 20
 BLOCK = 32
 # Multipliers of the hashes.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -66,13 +71,14 @@ def mark_size(window: int) -> int:
     return 1 << ((window // 3).bit_length() - 1)
 
 
-def marks(data: bytes, window: int) -> Iterator[tuple[int, int, int, int]]:
-    """``(hash, place, first, last)``: each mark, and the first and last window that has it.
+def marks(data: bytes, window: int) -> np.ndarray:
+    """Rows of hash, place, first and last: each mark, and the first and last window that has it.
 
     Of equal marks in a window the first counts. The windows of a long text are looked at
     in chunks, which may cut a mark's windows in two.
     """
     array, size = np.frombuffer(data, np.uint8), mark_size(window)
+    found = [np.zeros((4, 0), np.int64)]
     for begin in range(0, len(data) - window + 1, CHUNK):
         hashes = string_hashes(array[begin : begin + CHUNK + window - 1], size)
         keyed = hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
@@ -80,38 +86,50 @@ def marks(data: bytes, window: int) -> Iterator[tuple[int, int, int, int]]:
         first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
         last = np.append(first[1:], len(least)) - 1
         place = (least[first] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
-        yield from zip(
-            hashes[place].view(np.int64).tolist(), (place + begin).tolist(), (first + begin).tolist(), (last + begin).tolist(),
-            strict=True,
-        )
+        found.append(np.stack([hashes[place].view(np.int64), place + begin, first + begin, last + begin]))
+    return np.concatenate(found, 1)
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-ROW = "digest int, mark long, context long, place int, first int, last int"
-ROW_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+#: Two hashes of 64 bits tell the texts of one key apart.
+DIGEST = "digest struct<one: long, two: long>"
+
+
+def digest(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("one"), F.xxhash64(F.lit("text"), text).alias("two"))
+
+
+ROW = f"{DIGEST}, mark long, context long, place int, first int, last int"
 
 
 def _contexts(docs: DataFrame, window: int, kind: str) -> DataFrame:
     """A row for each mark of ``docs(k, digest, text)`` with a hash of its context."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
-            rows: list[int] = []
-            found: list[tuple[int, int, int, int, int]] = []
-            for row, data in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-                for mark, place, first, last in marks(data, window):
-                    rows.append(row)
-                    found.append((mark, _signed(digest(data[first : last + window], place - first)), place, first, last))
-            at = pa.array(rows, pa.int32())
-            columns = zip(*found, strict=True) if found else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), *[pa.array(c, t) for c, t in zip(columns, ROW_TYPES, strict=True)]],
-                ["k", "digest", "mark", "context", "place", "first", "last"],
-            )
+        hashed = xxhash.xxh3_64_intdigest
+        for whole in batches:
+            for begin in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(begin, SLICE)
+                sizes, found, context = [], [np.zeros((4, 0), np.int64)], []
+                for value in batch.column(2).cast(pa.binary()):
+                    data = value.as_py()
+                    own = marks(data, window)
+                    sizes.append(own.shape[1])
+                    found.append(own)
+                    spans = zip(*own[1:].tolist(), strict=True)
+                    context += [hashed(data[first : last + window], place - first) for place, first, last in spans]
+                mark, place, first, last = np.concatenate(found, 1)
+                at = pa.array(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(mark), pa.array(np.array(context, np.uint64).view(np.int64)),
+                        *[pa.array(v.astype(np.int32)) for v in (place, first, last)],
+                    ],
+                    ["k", "digest", "mark", "context", "place", "first", "last"],
+                )
 
     return docs.mapInArrow(work, f"k {kind}, {ROW}")
 
@@ -123,63 +141,123 @@ def _with_text(rows: DataFrame, docs: DataFrame, window: int, kind: str) -> Data
     one = docs.join(own, docs["k"].eqNullSafe(own["k"]) & (docs["digest"] == own["digest"])).select(docs["k"], docs["digest"], "text", "m")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).cast(pa.binary())
-            lists = batch.column(3)
-            sizes = np.diff(lists.offsets.to_numpy())
-            at = np.repeat(np.arange(batch.num_rows), sizes)
-            own = lists.flatten()
-            first, last = own.field("first").to_pylist(), own.field("last").to_pylist()
-            parts, row, data = [], -1, b""
-            for i, a, b in zip(at.tolist(), first, last, strict=True):
-                if i != row:
-                    row, data = i, texts[i].as_py()
-                parts.append(data[a : b + window])
-            rows = pa.array(at)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), *[own.field(f) for f in fields], pa.array(parts, pa.binary())],
+        def part(batch: pa.RecordBatch, rows: list[int], at: list[int], parts: list[bytes]) -> pa.RecordBatch:
+            own = batch.column(3).flatten().take(pa.array(at, pa.int64()))
+            keys = pa.array(rows, pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0).take(keys), batch.column(1).take(keys), *[own.field(f) for f in fields], pa.array(parts, pa.binary())],
                 ["k", "digest", *fields, "bytes"],
             )
 
+        for batch in batches:
+            own = batch.column(3).flatten()
+            first, last = own.field("first").to_numpy(), own.field("last").to_numpy()
+            rows, at, parts, size, n = [], [], [], 0, 0
+            for row, count in enumerate(pc.list_value_length(batch.column(3)).to_pylist()):
+                data = batch.column(2)[row].as_py().encode()
+                for i in range(n, n + count):
+                    rows.append(row)
+                    at.append(i)
+                    parts.append(data[first[i] : last[i] + window])
+                    size += len(parts[-1])
+                    if size >= OUT_BYTES:
+                        yield part(batch, rows, at, parts)
+                        rows, at, parts, size = [], [], [], 0
+                n += count
+            yield part(batch, rows, at, parts)
+
     # Repeated rows of one key and text have the same contexts: one of them is enough.
     return one.mapInArrow(
-        cut, f"k {kind}, digest int, mark long, place int, first int, last int, copies long, bytes binary"
+        cut, f"k {kind}, {DIGEST}, mark long, place int, first int, last int, copies long, bytes binary"
     ).dropDuplicates(["k", "digest", "mark", "first"])
 
 
-def suffix_classes(data: np.ndarray, places: np.ndarray, window: int) -> np.ndarray:
-    """The rank of the suffix at each of ``places`` among them by its first ``window`` bytes.
+class Suffixes(NamedTuple):
+    """Suffixes at some places, by their first ``window`` bytes: indices into the places in
+    suffix order (equal ones by place), and the longest common prefix of each with the one
+    before it, ``window`` at most."""
+
+    order: np.ndarray
+    common: np.ndarray
+
+
+def _ranks(value: np.ndarray) -> np.ndarray:
+    return np.unique(value, return_inverse=True)[1].astype(np.int32)
 
-    Ranks of strings of 8, 16, 32 ... bytes come from those of half the length.
+
+def suffix_array(data: np.ndarray, places: np.ndarray, window: int) -> Suffixes:
+    """The suffix array of ``data`` at ``places``, each with ``window`` bytes behind it.
+
+    Ranks of strings of 8, 16, 32 ... bytes come from those of half the length. The common
+    prefix of two suffixes is read off the same ranks, the longest first, and at last off
+    single bytes.
     """
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
     word = np.zeros(len(data), np.uint64)
     for i in range(8):
         word = word << np.uint64(8) | padded[i : i + len(data)]
-    rank, width = np.unique(word, return_inverse=True)[1].astype(np.int64), 8
+    levels, width = [(8, _ranks(word))], 8
+    del word
     while 2 * width <= window:
-        follow = np.append(rank[width:], np.zeros(width, np.int64))
-        rank = np.unique(rank * (len(data) + 1) + follow, return_inverse=True)[1].astype(np.int64)
+        rank = levels[-1][1]
+        pair = rank.astype(np.int64) * (len(data) + 1)
+        pair[: len(data) - width] += rank[width:]
         width *= 2
-    return np.unique(rank[places] * (len(data) + 1) + rank[places + window - width], return_inverse=True)[1]
-
-
-def longest_previous(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes in the order of their places, with their ranks by their first bytes: the
-    index of the previous smaller place in suffix order with a factor that long (-1: none),
-    and whether a later one has it.
-
-    Suffixes of one rank stand together in suffix order, by place. So the previous smaller
-    place with the whole factor is the neighbour before, and the next smaller place has a
-    shorter one.
+        levels.append((width, _ranks(pair)))
+    top = levels[-1][1]
+    order = np.argsort(top[places].astype(np.int64) * (len(data) + 1) + top[places + window - width], kind="stable")
+    here, before = places[order[1:]].astype(np.int64), places[order[:-1]].astype(np.int64)
+    common = np.zeros(len(here), np.int64)
+    for width, rank in reversed(levels):
+        room = common + width <= window
+        common[room] += width * (rank[here[room] + common[room]] == rank[before[room] + common[room]])
+    for _ in range(8 + window % 8):
+        room = common < window
+        more = room.copy()
+        more[room] = data[here[room] + common[room]] == data[before[room] + common[room]]
+        if not more.any():
+            break
+        common += more
+    return Suffixes(order, np.append(0, common)[: len(order)])
+
+
+def smaller_places(order: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of a suffix order the previous one that is smaller (-1: none), as an index
+    into the order, and the longest common prefix with it.
+
+    All look at once: whoever meets a larger place goes on to where that one looks.
     """
-    order = np.argsort(rank, kind="stable")
-    same = np.append(False, rank[order][1:] == rank[order][:-1]) if len(rank) else np.zeros(0, bool)
-    before = np.full(len(rank), -1)
-    before[order[same]] = order[np.flatnonzero(same) - 1]
-    later = np.zeros(len(rank), bool)
-    later[before[before >= 0]] = True
-    return before, later
+    n = len(order)
+    at = np.arange(-1, n - 1)
+    shared = common.copy()
+    going = np.flatnonzero(at >= 0)
+    going = going[order[at[going]] > order[going]]
+    while len(going):
+        met = at[going]
+        # Read before written: all take the step from what was known before it.
+        step, least = at[met], np.minimum(shared[going], shared[met])
+        at[going], shared[going] = step, least
+        going = going[step >= 0]
+        going = going[order[at[going]] > order[going]]
+    shared[at < 0] = 0
+    return at, shared
+
+
+def longest_previous(suffixes: Suffixes) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, in the order of places: the longest factor there that also stands at
+    a smaller place (up to the window), and the index of such a place (-1: none)."""
+    order, common = suffixes
+    n = len(order)
+    before, left = smaller_places(order, common)
+    # The next smaller place is the previous one in the order read backward.
+    after, right = smaller_places(order[::-1], np.append(0, common[:0:-1])[:n])
+    after, right = np.where(after >= 0, n - 1 - after, -1)[::-1], right[::-1]
+    nearer = left >= right
+    source = np.where(nearer, before, after)
+    factor, earlier = np.zeros(n, np.int64), np.full(n, -1)
+    factor[order] = np.maximum(left, right)
+    earlier[order] = np.where(source >= 0, order[source], -1)
+    return factor, earlier
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -190,7 +268,7 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), starts[np.append(new[1:], len(starts)) - 1].tolist(), strict=True))
 
 
-SPAN = "digest int, begin int, end int"
+SPAN = f"{DIGEST}, begin int, end int"
 
 
 def _factors(contexts: DataFrame, window: int, keep_first: bool, kind: str) -> DataFrame:
@@ -207,10 +285,13 @@ def _factors(contexts: DataFrame, window: int, keep_first: bool, kind: str) -> D
         row = np.repeat(np.arange(len(parts)), count)
         offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         data = np.frombuffer(b"".join(parts), np.uint8)
-        before, later = longest_previous(suffix_classes(data, at[row] + offset, window))
-        out = before >= 0
+        factor, earlier = longest_previous(suffix_array(data, at[row] + offset, window))
+        copy = factor >= window
+        out = copy.copy()
         if not keep_first:
-            out |= later | (copies[row] > 1)
+            # What a copy is found at has a copy itself.
+            out[earlier[copy]] = True
+            out |= copies[row] > 1
         rows, spans = [], []
         bounds = np.append(np.searchsorted(row, np.arange(len(parts))), len(row))
         for i in np.unique(row[out]).tolist():
@@ -237,7 +318,7 @@ def _factors(contexts: DataFrame, window: int, keep_first: bool, kind: str) -> D
                 yield solve(held)
                 held, size = [], 0
             begin = 0
-            total = np.cumsum([len(v) for v in batch.column(7).to_pylist()])
+            total = np.cumsum(pc.binary_length(batch.column(7)).to_numpy(), dtype=np.int64)
             for i, end in enumerate(ends.tolist()):
                 own = total[end - 1] - (total[begin - 1] if begin else 0)
                 if size + own >= SORT_BYTES and i < len(ends) - 1:
@@ -278,7 +359,7 @@ def _blocks(contexts: DataFrame, window: int, kind: str) -> DataFrame:
             )
 
     return contexts.select("k", "digest", "mark", "place", "first", "last", "copies", "bytes").mapInArrow(
-        work, f"k {kind}, digest int, copies long, core1 long, core2 long, whole long, first int, last int, bytes binary"
+        work, f"k {kind}, {DIGEST}, copies long, core1 long, core2 long, whole long, first int, last int, bytes binary"
     )
 
 
@@ -302,7 +383,7 @@ def _windows(blocks: DataFrame, window: int, kind: str) -> DataFrame:
             )
 
     return blocks.select("k", "digest", "copies", "first", "last", "bytes").mapInArrow(
-        work, f"k {kind}, digest int, copies long, hash1 long, hash2 long, start long"
+        work, f"k {kind}, {DIGEST}, copies long, hash1 long, hash2 long, start long"
     )
 
 
@@ -324,7 +405,10 @@ def _split(contexts: DataFrame, window: int, keep_first: bool, kind: str) -> Dat
         whole = whole.filter(place != F.col("least"))
     single = Stored(_windows(known.table.filter(~alike), window, kind), "windows")
     own = F.struct("k", "digest", "start")
-    repeated = single.table.groupBy("hash1", "hash2").agg(F.sum("copies").alias("total"), F.min(own).alias("least")).filter("total > 1")
+    # Written, so that the join deals both sides anew and a frequent window is split.
+    repeated = stored(
+        single.table.groupBy("hash1", "hash2").agg(F.sum("copies").alias("total"), F.min(own).alias("least")).filter("total > 1"), "windows-again"
+    )
     found = single.table.join(repeated, ["hash1", "hash2"])
     if keep_first:
         found = found.filter(own != F.col("least"))
@@ -388,7 +472,7 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(key).alias("k"), F.hash(whole).alias("digest"), whole.alias("text"))
+    return docs.select(F.col(key).alias("k"), digest(whole).alias("digest"), whole.alias("text"))
 
 
 def remove_repeats(
@@ -455,7 +539,7 @@ def without_repeats(docs: DataFrame, window: int = 400, key: str = "doc_id", tex
     own = _numbered(docs, key, text)
     spans = repeated_spans(own, window, True, docs.schema[key].dataType.simpleString())
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("own"), F.hash(whole).alias("own_digest"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("own"), digest(whole).alias("own_digest"))
     joined = rows.join(spans, rows["own"].eqNullSafe(spans["k"]) & (rows["own_digest"] == spans["digest"]), "left")
     joined = joined.select("row", "spans")
     at, docs_names = docs.columns.index(text), docs.columns

@@ -320,7 +320,7 @@ def test_spans_of_repeated_rows_are_those_of_one_text(spark, key):
     text = " ".join(f"w{i * i}" for i in range(400))
     rows = 60 * [(key, text)] + [(2, "before " + text[:900]), (3, text[300:1500] + " after")]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    docs = table.select(F.col("doc_id").alias("k"), F.hash("text").alias("digest"), "text")
+    docs = table.select(F.col("doc_id").alias("k"), repeats.digest(F.col("text")).alias("digest"), "text")
     found = repeats.repeated_spans(docs, 400, False, "bigint").collect()
     assert len(found) == 3 and all(len(r.spans) == len(set(r.spans)) <= len(text) for r in found)
     rows_left = repeats.remove_repeats(table, 400, False).collect()
@@ -338,11 +338,44 @@ def test_texts_without_repeats_keep_whole_characters(odd):
     assert dict(rows)[11] == before[11]
 
 
-def test_previous_factors():
-    data = np.frombuffer(b"abcabcabdabcab", np.uint8)
-    places = np.arange(len(data) - 8 + 1)
-    rank = repeats.suffix_classes(data, places, 8)
-    strings = [bytes(data[p : p + 8]) for p in places]
-    assert [sorted(set(strings)).index(s) for s in strings] == rank.tolist()
-    before, later = repeats.longest_previous(np.array([2, 0, 2, 1, 0, 2]))
-    assert before.tolist() == [-1, -1, 0, -1, 1, 2] and later.tolist() == [True, True, True, False, False, False]
+def common_prefix(a: bytes, b: bytes, most: int) -> int:
+    return next((i for i in range(most) if a[i : i + 1] != b[i : i + 1]), most)
+
+
+@pytest.mark.parametrize("window", [8, 13, 16, 50])
+def test_previous_factors(window):
+    rng = np.random.default_rng(window)
+    for letters, size in ((2, 60), (2, 300), (26, 200), (1, 120), (256, 90)):
+        data = rng.integers(0, letters, size).astype(np.uint8)
+        data[size // 2 : size // 2 + 40] = data[5:45][: len(data[size // 2 : size // 2 + 40])]
+        places = np.flatnonzero(rng.random(size - window + 1) < 0.8)
+        text = data.tobytes()
+        suffixes = repeats.suffix_array(data, places, window)
+        strings = [text[p : p + window] for p in places]
+        order = sorted(range(len(places)), key=lambda i: (strings[i], i))
+        assert suffixes.order.tolist() == order
+        assert suffixes.common.tolist() == [0] + [common_prefix(strings[a], strings[b], window) for a, b in itertools.pairwise(order)]
+        factor, earlier = repeats.longest_previous(suffixes)
+        for i, own in enumerate(strings):
+            known = [common_prefix(own, s, window) for s in strings[:i]]
+            assert factor[i] == max(known, default=0)
+            assert (earlier[i] < i and known[earlier[i]] == factor[i]) if factor[i] else earlier[i] < i
+
+
+def test_no_and_one_suffix():
+    for n in (0, 1):
+        factor, earlier = repeats.longest_previous(repeats.suffix_array(np.arange(n + 7, dtype=np.uint8), np.arange(n), 8))
+        assert factor.tolist() == [0] * n and earlier.tolist() == [-1] * n
+
+
+def test_texts_of_one_key_with_equal_short_hashes(spark):
+    family = spark.range(200_000).select("id", F.concat(F.lit(" ".join(f"word{i * i}" for i in range(70))), F.lit(" number "), "id").alias("text"))
+    other = spark.range(200_000).select("id", F.concat(F.lit(" ".join(f"other{i * i}" for i in range(66))), F.lit(" number "), "id").alias("text"))
+    one, two = (t.select(F.hash("text").alias("h"), F.col("text").alias(name)) for t, name in ((family, "a"), (other, "b")))
+    pair = one.join(two, "h").select("a", "b").first()
+    assert pair is not None and pair.a != pair.b
+    docs = spark.createDataFrame([(None, pair.a), (None, pair.b), (1, pair.a)], "doc_id long, text string")
+    rows = {(r.doc_id, r.n_bytes): r.n_removed for r in repeats.remove_repeats(docs, 400, False).collect()}
+    assert rows == {(None, len(pair.a)): len(pair.a), (None, len(pair.b)): 0, (1, len(pair.a)): len(pair.a)}
+    kept = sorted((r.doc_id or 0, r.text) for r in repeats.without_repeats(docs, 400).collect())
+    assert kept == sorted([(0, pair.a), (0, pair.b), (1, "")])
