@@ -110,26 +110,24 @@ def _contexts(docs: DataFrame, window: int, kind: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = xxhash.xxh3_64_intdigest
-        for whole in batches:
-            for begin in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(begin, SLICE)
-                sizes, found, context = [], [np.zeros((4, 0), np.int64)], []
-                for value in batch.column(2).cast(pa.binary()):
-                    data = value.as_py()
-                    own = marks(data, window)
-                    sizes.append(own.shape[1])
-                    found.append(own)
-                    spans = zip(*own[1:].tolist(), strict=True)
-                    context += [hashed(data[first : last + window], place - first) for place, first, last in spans]
-                mark, place, first, last = np.concatenate(found, 1)
-                at = pa.array(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array(mark), pa.array(np.array(context, np.uint64).view(np.int64)),
-                        *[pa.array(v.astype(np.int32)) for v in (place, first, last)],
-                    ],
-                    ["k", "digest", "mark", "context", "place", "first", "last"],
-                )
+        for batch in _slices(batches):
+            sizes, found, context = [], [np.zeros((4, 0), np.int64)], []
+            for value in batch.column(2).cast(pa.binary()):
+                data = value.as_py()
+                own = marks(data, window)
+                sizes.append(own.shape[1])
+                found.append(own)
+                spans = zip(*own[1:].tolist(), strict=True)
+                context += [hashed(data[first : last + window], place - first) for place, first, last in spans]
+            mark, place, first, last = np.concatenate(found, 1)
+            at = pa.array(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(at), batch.column(1).take(at), pa.array(mark), pa.array(np.array(context, np.uint64).view(np.int64)),
+                    *[pa.array(v.astype(np.int32)) for v in (place, first, last)],
+                ],
+                ["k", "digest", "mark", "context", "place", "first", "last"],
+            )
 
     return docs.mapInArrow(work, f"k {kind}, {ROW}")
 
@@ -340,7 +338,7 @@ def _blocks(contexts: DataFrame, window: int, kind: str) -> DataFrame:
     """Blocks of windows at fixed distances from the mark, by the core that all their windows hold."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, found = [], []
             for row, (place, first, last, data) in enumerate(zip(*(batch.column(i).to_pylist() for i in (3, 4, 5, 7)), strict=True)):
                 for block in range((first - place) // BLOCK, (last - place) // BLOCK + 1):
@@ -366,7 +364,7 @@ def _blocks(contexts: DataFrame, window: int, kind: str) -> DataFrame:
 def _windows(blocks: DataFrame, window: int, kind: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         half = 1 << (window.bit_length() - 1)
-        for batch in batches:
+        for batch in _slices(batches):
             rows, one, two, starts = [], [], [], []
             for row, (first, last, data) in enumerate(zip(*(batch.column(i).to_pylist() for i in (3, 4, 5)), strict=True)):
                 value = string_hashes(np.frombuffer(data, np.uint8), half)
@@ -459,15 +457,30 @@ def repeated_spans(docs: DataFrame, window: int, keep_first: bool, kind: str) ->
     return spans.groupBy("k", "digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def merged(spans: list[dict]) -> list[tuple[int, int]]:
+def merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     """Ranges in order, joined where they overlap or touch."""
-    out: list[list[int]] = []
-    for a, b in sorted((s["begin"], s["end"]) for s in spans or []):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+    if not len(begin):
+        return []
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.append(True, begin[1:] > end[:-1]))
+    return list(zip(begin[new].tolist(), end[np.append(new[1:], len(begin)) - 1].tolist(), strict=True))
+
+
+def _ranges(spans: pa.Array) -> Iterator[list[tuple[int, int]]]:
+    """For each row of a list column its ranges, none for a null."""
+    flat = spans.flatten()
+    begin, end = (flat.field(name).to_numpy().astype(np.int64) for name in ("begin", "end"))
+    at = 0
+    for size in pc.fill_null(pc.list_value_length(spans), 0).to_pylist():
+        yield merged(begin[at : at + size], end[at : at + size])
+        at += size
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE):
+            yield batch.slice(begin, SLICE)
 
 
 def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -495,10 +508,9 @@ def remove_repeats(
     joined = own.join(spans, own["k"].eqNullSafe(spans["k"]) & (own["digest"] == spans["digest"]), "left").select(own["k"], "text", "spans")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = []
-            for data, own_spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                ranges = merged(own_spans)
+            for data, ranges in zip(batch.column(1).cast(pa.binary()).to_pylist(), _ranges(batch.column(2)), strict=True):
                 left, done = [], 0
                 for a, b in ranges:
                     left.append(data[done:a])
@@ -545,13 +557,13 @@ def without_repeats(docs: DataFrame, window: int = 400, key: str = "doc_id", tex
     at, docs_names = docs.columns.index(text), docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = []
             columns = batch.column(0).flatten()
-            for value, found in zip(columns[at].to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for value, found in zip(columns[at].to_pylist(), _ranges(batch.column(1)), strict=True):
                 if found and value:
                     data, left, done = value.encode(), [], 0
-                    for a, b in whole_characters(data, merged(found)):
+                    for a, b in whole_characters(data, found):
                         left.append(data[done:a])
                         done = b
                     value = b"".join([*left, data[done:]]).decode()
