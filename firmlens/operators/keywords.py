@@ -63,17 +63,20 @@ def match_keywords(
     """(key, keyword, n): whole-word occurrences, overlapping ones included, case ignored.
 
     ``keywords`` is a table of lower-cased phrases. Counting them, up to
-    ``broadcast_phrases``, is the one job run here. ``compat`` leaves out phrases at the
-    start of a text and lets an underscore follow a phrase.
+    ``broadcast_phrases``, and looking for phrases without a word are the jobs run here.
+    ``compat`` leaves out phrases at the start of a text and lets an underscore follow a
+    phrase.
     """
     # In compat mode an underscore may end a phrase, so it has to separate words too.
     word = r"[\p{L}\p{N}]" if compat else WORD
     phrases = _anchored(keywords, word)
+    signs_only = not phrases.filter(~F.col("anchor").rlike(word)).isEmpty()
     phrases, small = broadcast_if_small(phrases, broadcast_phrases)
     lower = F.col("__text")
     runs = F.split(lower, rf"[^{word[1:-1]}]+")
-    signs = F.split(F.regexp_replace(lower, f"{word}+", ""), "")  # anchors of phrases without words
-    texts = pages.select(key, F.lower(text).alias("__text")).withColumn("__runs", F.array_distinct(F.concat(runs, signs)))
+    if signs_only:  # anchors of phrases without words
+        runs = F.concat(runs, F.split(F.regexp_replace(lower, f"{word}+", ""), ""))
+    texts = pages.select(key, F.lower(text).alias("__text")).withColumn("__runs", F.array_distinct(runs))
     if small:
         candidates = texts.withColumn("anchor", F.explode("__runs")).join(phrases, "anchor")
     else:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from firmlens.functions.joins import broadcast_if_small
 from firmlens.functions.text import words
 from firmlens.sources.files import stored
 
@@ -19,6 +25,8 @@ JUNK_PARTS = [
 ]
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
+#: Words of the largest vocabulary that goes to every task.
+BROADCAST_WORDS = 500_000
 
 
 def clean_text(pages: DataFrame, key: str = "url", text: str = "text") -> DataFrame:
@@ -109,27 +117,64 @@ def vocabulary(pages: DataFrame, size: int | None = None, text: str = "text") ->
 
 
 def token_encode(
-    pages: DataFrame, vocab: DataFrame, length: int, key: str = "url", text: str = "text"
+    pages: DataFrame, vocab: DataFrame, length: int, key: str = "url", text: str = "text", broadcast_words: int = BROADCAST_WORDS
 ) -> DataFrame:
     """``(key, window, input_ids, attention_mask)``: the word ids of a page in windows of
     exactly ``length`` entries, the last one padded.
 
     Words outside the vocabulary share one id; a page without words has one window of
-    padding. Words are joined to the vocabulary, whatever its size.
+    padding. A vocabulary of up to ``broadcast_words`` words goes to the tasks, and no text
+    is shuffled; the words of the texts are joined to a larger one.
     """
-    row = F.monotonically_increasing_id().alias("__row")
-    found = pages.select(row, key, words(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
-    placed = found.select("__row", key, F.posexplode_outer("__words").alias("pos", "word"))
-    known = placed.join(vocab.select("word", "token"), "word", "left")
-    token = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("token", F.lit(UNKNOWN_ID)).alias("token")))
-    ids = known.groupBy("__row", key).agg(F.sort_array(F.collect_list(token)).alias("__ids"))
+    known, small = broadcast_if_small(vocab.select("word", "token"), broadcast_words)
+    if small:
+        ids = pages.select(key, _token_ids(known)(words(F.coalesce(F.col(text), F.lit("")))).alias("__ids"))
+    else:
+        ids = _joined_ids(pages, known, key, text)
+    return fixed_windows(ids, key, length)
+
+
+def fixed_windows(
+    ids: DataFrame, key: str, length: int, before: int | None = None, after: int | None = None, pad: int = PAD_ID
+) -> DataFrame:
+    """``(key, window, input_ids, attention_mask)`` of ``ids(key, __ids)``: windows of ``length``
+    entries, the last one padded. Every window can have an id ``before`` and ``after`` its own."""
+    ends = [F.array(F.lit(v)) if v is not None else F.array().cast("array<int>") for v in (before, after)]
+    length -= sum(v is not None for v in (before, after))
     count = F.greatest(F.ceil(F.size("__ids") / length), F.lit(1)).cast("int")
-    windows = ids.select(key, F.col("__ids.token").alias("__ids"), F.explode(F.sequence(F.lit(0), count - 1)).alias("window"))
+    windows = ids.select(key, "__ids", F.explode(F.sequence(F.lit(0), count - 1)).alias("window"))
     windows = windows.select(key, "window", F.slice("__ids", F.col("window") * length + 1, F.lit(length)).alias("t"))
-    missing = F.lit(length) - F.size("t")
+    missing, own = F.lit(length) - F.size("t"), sum(v is not None for v in (before, after))
     return windows.select(
         key,
         "window",
-        F.concat("t", F.array_repeat(F.lit(PAD_ID), missing)).alias("input_ids"),
-        F.concat(F.array_repeat(F.lit(1), F.size("t")), F.array_repeat(F.lit(0), missing)).alias("attention_mask"),
+        F.concat(ends[0], "t", ends[1], F.array_repeat(F.lit(pad), missing)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), F.size("t") + own), F.array_repeat(F.lit(0), missing)).alias("attention_mask"),
     )
+
+
+def _token_ids(vocab: DataFrame) -> Callable[[Column], Column]:
+    """A function of arrays of words for a vocabulary of few enough rows."""
+    known = sorted(map(tuple, vocab.collect()))
+    listed = pa.array([w for w, _ in known], pa.string())
+    tokens = np.append(np.array([t for _, t in known], np.int32), np.int32(UNKNOWN_ID))
+
+    @F.arrow_udf("array<int>")
+    def ids(batch: pa.Array) -> pa.Array:
+        place = pc.fill_null(pc.index_in(batch.flatten(), value_set=listed), len(listed)).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(batch).to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens[place], pa.int32()))
+
+    # Declared non-deterministic so that its several uses do not compute it again.
+    return ids.asNondeterministic()
+
+
+def _joined_ids(pages: DataFrame, vocab: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, __ids)`` by a join of every word of the texts."""
+    row = F.monotonically_increasing_id().alias("__row")
+    found = pages.select(row, key, words(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
+    placed = found.select("__row", key, F.posexplode_outer("__words").alias("pos", "word"))
+    known = placed.join(vocab, "word", "left")
+    token = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("token", F.lit(UNKNOWN_ID)).alias("token")))
+    ids = known.groupBy("__row", key).agg(F.sort_array(F.collect_list(token)).alias("__ids"))
+    return ids.select(key, F.col("__ids.token").alias("__ids"))

@@ -36,13 +36,13 @@ def read_labels(table: DataFrame, name: str = "label", vector: str = "embedding"
     """Collect a label table of at most ``MAX_LABELS`` rows, ordered by name."""
     rows = table.select(F.col(name).cast("string"), vector).limit(MAX_LABELS + 1).collect()
     if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
+        raise ValueError(f"more than {MAX_LABELS} labels: see label_blocks")
     rows = sorted(rows, key=lambda r: r[0])
     matrix = np.array([r[1] for r in rows], dtype="float64").reshape(len(rows), -1)
-    return Labels([r[0] for r in rows], _unit(matrix))
+    return Labels([r[0] for r in rows], unit_rows(matrix))
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
+def unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
@@ -58,7 +58,7 @@ def similarity(vector: str | Column, labels: Labels) -> Column:
         values = known.flatten().to_numpy(zero_copy_only=False).astype("float64")
         if len(values) != len(known) * width:
             raise ValueError(f"vectors must have {width} entries")
-        result = _unit(values.reshape(len(known), width)) @ matrix.T
+        result = unit_rows(values.reshape(len(known), width)) @ matrix.T
         present = batch.is_valid().to_numpy(zero_copy_only=False)
         offsets = np.concatenate([[0], np.cumsum(present * n_labels)]).astype("int32")
         starts = pa.array(offsets, mask=np.append(~present, False))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.functions.text import words
+from firmlens.functions.text import NOT_WORD
 
 
 DOCUMENT = ""
@@ -20,7 +20,7 @@ def document_words(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame
     distinct shuffle. Each document also gives one empty word: counting that counts the
     documents in the same pass over the texts.
     """
-    long = F.filter(words(F.col(text)), lambda w: F.char_length(w) >= 2)
+    long = F.filter(F.split(F.lower(text), NOT_WORD), lambda w: F.char_length(w) >= 2)
     return docs.select(*keep, F.explode(F.array_append(F.array_distinct(long), DOCUMENT)).alias("word"))
 
 

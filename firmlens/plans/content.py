@@ -8,7 +8,9 @@ from firmlens import sources as src
 from firmlens.operators import agreement as ag
 from firmlens.operators import firms as fo
 from firmlens.operators import keywords as kw
+from firmlens.operators import label_blocks as bl
 from firmlens.operators import labelling as lb
+from firmlens.operators import subwords as su
 from firmlens.operators import text as to
 from firmlens.operators import vectors as ve
 from firmlens.operators import vocabulary as vo
@@ -58,7 +60,7 @@ def dictionary(spark):
 
 
 def matches(spark, sf):
-    return kw.match_keywords(b.page_text(spark, sf), dictionary(spark))
+    return kw.match_keywords(src.spread(b.page_text(spark, sf).select("url", "text")), dictionary(spark))
 
 
 def lists(spark, sf):
@@ -124,7 +126,6 @@ def clean_sql(text: str) -> str:
 
 
 @query("clean_text", clean_sql("text"), "page_text")
-@query("clean_text_whole", clean_sql("text"), "page_text")
 def clean_text(spark, sf):
     return to.clean_text(b.page_text(spark, sf).select("url", "id", "text"))
 
@@ -165,10 +166,18 @@ LENGTH = 1024
     SELECT url, "window", list_resize(ids, {LENGTH}, 0) AS input_ids,
            list_resize(list_transform(ids, lambda x: 1), {LENGTH}, 0) AS attention_mask FROM e""", "page_text")
 def token_encode(spark, sf):
-    pages = b.page_text(spark, sf)
+    pages = src.spread(b.page_text(spark, sf).select("url", "text"))
     return to.token_encode(pages, to.vocabulary(pages), LENGTH)
 
 
+@query("subword_encode")
+def subword_encode(spark, sf):
+    import public_tokenizers
+
+    pages = src.spread(b.page_text(spark, sf).select("url", "text"))
+    return su.subword_encode(pages, public_tokenizers.path("word_bpe_49k.json"), 512, before=49406, after=49407)
+
+
 # Vocabulary. The corpora are two whole tables.
 
 STOP = ", ".join(f"'{w}'" for w in b.STOP_WORDS)
@@ -186,12 +195,12 @@ FLAGGED = WORDS + f""", l AS (SELECT word, {FLAGS} FROM w WHERE corpus = 'web' G
 
 
 def scores(spark, sf):
-    return vo.idf_words(b.corpora(spark, sf), corpus="corpus", stop_words=b.STOP_WORDS)
+    return vo.idf_words(src.spread(b.corpora(spark, sf).select("corpus", "text")), corpus="corpus", stop_words=b.STOP_WORDS)
 
 
 def flagged(spark, sf):
     """Texts are read once: scores and flags add up the same stored counts per language."""
-    counts = src.stored(vo.document_frequencies(b.corpora(spark, sf), by=["corpus", "lang"]), "words")
+    counts = src.stored(vo.document_frequencies(src.spread(b.corpora(spark, sf).select("corpus", "lang", "text")), by=["corpus", "lang"]), "words")
     per_corpus = counts.groupBy("corpus", "word").agg(F.sum("df").alias("df"))
     scored = vo.idf_scores(per_corpus, b.STOP_WORDS, corpus="corpus")
     return vo.idf_language(scored, vo.word_lists(counts, LANGUAGES), LANGUAGES)
@@ -217,6 +226,28 @@ def idf_contrast(spark, sf):
 
 # Similarity.
 
+# Every vector is a label too: as many labels as rows, whatever the scale.
+NEAR = """WITH near AS (SELECT * FROM (
+      SELECT a.vec_id, b.vec_id::VARCHAR AS category, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS similarity
+      FROM embeddings a CROSS JOIN embeddings b) WHERE similarity >= 0.25)"""
+
+
+def own_blocks(spark, sf):
+    return bl.label_blocks(b.vectors(spark, sf), "vec_id")
+
+
+@query("similar_labels", NEAR + " SELECT vec_id, category, round(similarity, 6) AS similarity FROM near")
+def similar_labels(spark, sf):
+    return rounded(bl.similar_labels(b.vectors(spark, sf), own_blocks(spark, sf), 0.25, "vec_id"))
+
+
+@query("predicted_labels", NEAR + """
+    SELECT e.vec_id, coalesce(predicted, ['unknown']) AS predicted FROM embeddings e LEFT JOIN (
+      SELECT vec_id, list(category ORDER BY category) AS predicted FROM near GROUP BY vec_id) n USING (vec_id)""")
+def predicted_labels(spark, sf):
+    return bl.predicted_labels(b.vectors(spark, sf), own_blocks(spark, sf), "vec_id", threshold=0.25)
+
+
 SIMS = """, sims AS (SELECT vec_id, c.label::VARCHAR AS category,
       list_cosine_similarity(e.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS similarity
     FROM embeddings e CROSS JOIN categories c)"""

@@ -8,6 +8,7 @@ from firmlens.sources.files import (  # noqa: F401
     read_parquet,
     read_whole_files,
     shared_folder,
+    spread,
     stored,
     unreadable_files,
     write_csv,

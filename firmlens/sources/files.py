@@ -152,6 +152,17 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(write_parquet(table, shared_folder(spark, name)))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to all cores if they are read in fewer parts than there are cores.
+
+    For parallelism only: the rows are the same, and a large input, which has more parts than
+    cores, stays as it is and is not shuffled. Meant for a scan with narrow steps over it,
+    before work that costs much more than moving the rows; select the columns first.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def write_csv(table: DataFrame, path: str) -> str:
     table.write.mode("overwrite").option("header", True).csv(path)
     return path
