@@ -107,39 +107,33 @@ def best_label(sims: DataFrame, labels: Labels, key: str, threshold: float = 0.5
 
 
 def top_quantile(
-    long: DataFrame, q: float, group: str = "category", value: str = "similarity", bins: int = 1 << 16
+    long: DataFrame, q: float, group: str = "category", value: str = "similarity", accuracy: int = 10_000
 ) -> DataFrame:
-    """Rows at or above the exact q-quantile (nearest rank) of their group.
-
-    The quantile is found without sorting a group: counts per fine value range locate
-    the range that holds the wanted rank, and only that range is ordered. Rows from that
-    range on are written once and looked at again, the others are not. Values lie in
-    [-1, 1]. What is found per group is written too, so that its size in bytes decides
-    whether it is broadcast. ``long`` is read twice: for the counts and for those rows.
+    """Rows at or above the exact q-quantile (nearest rank) of their group, whatever the values.
+
+    A sketch brackets the quantile: the wanted rank lies between two values that have about
+    four in ``accuracy`` of a group's rows between them. Rows from the lower one on are
+    written once. Equal values between both are counted together and ranked; no group is
+    sorted whole, and heavy ties are one row. What is found per group is written, so that
+    its size in bytes decides whether it is broadcast. ``long`` is read twice. Nulls and
+    NaN take no part; a null group is a group.
     """
-    cell = F.least(F.floor((F.col(value) + 1) / 2 * bins), F.lit(bins - 1)).alias("__bin")
-    binned = long.filter(F.col(value).isNotNull()).withColumn("__bin", cell)
-    up_to = W.partitionBy(group).orderBy("__bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    # At most ``bins`` rows per group meet in these windows.
-    counts = binned.groupBy(group, "__bin").agg(F.count("*").alias("n"))
-    placed = counts.select(
-        group, F.col("__bin").alias("__target"), "n",
-        F.sum("n").over(up_to).alias("up_to"), F.sum("n").over(W.partitionBy(group)).alias("total"),
-    )
-    rank = F.round(F.lit(q) * (F.col("total") - 1)).cast("long") + 1
-    targets = placed.filter((F.col("up_to") >= rank) & (F.col("up_to") - F.col("n") < rank)).select(
-        group, "__target", (rank - (F.col("up_to") - F.col("n"))).alias("__rank")
-    )
-    upper = stored(binned.join(stored(targets, "targets"), group).filter("__bin >= __target"), "upper")
-    within = upper.filter("__bin = __target").groupBy(group, "__rank", value).agg(F.count("*").alias("n"))
-    so_far = W.partitionBy(group).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
-    limits = (
-        within.withColumn("so_far", F.sum("n").over(so_far)).filter("so_far >= __rank")
-        .groupBy(group).agg(F.min(value).alias("__limit"))
-    )
-    return upper.join(stored(limits, "limits"), group).filter(F.col(value) >= F.col("__limit")).drop(
-        "__bin", "__target", "__rank", "__limit"
-    )
+    rows = long.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    wide = [max(0.0, q - 2 / accuracy), min(1.0, q + 2 / accuracy)]  # the sketch is off by 1 / accuracy at most
+    between = F.percentile_approx(value, wide, accuracy)
+    brackets = rows.groupBy(F.col(group).alias("__group")).agg(F.count("*").alias("__total"), between.alias("__between"))
+    own = rows.join(stored(brackets, "brackets"), F.col(group).eqNullSafe(F.col("__group")))
+    upper = stored(own.filter(F.col(value) >= F.col("__between")[0]), "upper")
+    counted = upper.groupBy("__group").agg(F.count("*").alias("__upper"))
+    within = upper.filter(F.col(value) <= F.col("__between")[1]).groupBy("__group", "__total", F.col(value).alias("__limit")).agg(F.count("*").alias("n"))
+    so_far = W.partitionBy("__group").orderBy("__limit").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = within.withColumn("__up_to", F.sum("n").over(so_far)).withColumnRenamed("__group", "__own")
+    ranked = placed.join(counted, F.col("__own").eqNullSafe(F.col("__group")))
+    rank = F.round(F.lit(q) * (F.col("__total") - 1)).cast("long") + 1
+    reached = ranked.filter(F.col("__total") - F.col("__upper") + F.col("__up_to") >= rank)
+    limits = stored(reached.groupBy("__own").agg(F.min("__limit").alias("__limit")), "limits")
+    found = upper.drop("__total", "__between").join(limits, F.col("__group").eqNullSafe(F.col("__own")))
+    return found.filter(F.col(value) >= F.col("__limit")).select(*long.columns)
 
 
 def label_means(pages: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from firmlens import sources as src
 from firmlens.operators import agreement as ag
 from firmlens.operators import firms as fo
+from firmlens.operators import growing as gr
 from firmlens.operators import keywords as kw
 from firmlens.operators import label_blocks as bl
 from firmlens.operators import labelling as lb
@@ -211,6 +212,22 @@ def idf_words(spark, sf):
     return rounded(scores(spark, sf))
 
 
+@query("idf_growing", f"""
+    WITH w AS (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{W}{{2,}}'))) AS word FROM documents),
+    s AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL)
+    SELECT word, df, round(ln((1 + n) / (1 + df)) + 1, 6) AS idf FROM (SELECT word, count(*) AS df FROM w GROUP BY word), s
+    WHERE df >= 2 AND df <= 0.95 * n""")
+def idf_growing(spark, sf):
+    """Three batches in another order, one of them twice, added up in between."""
+    docs = b.table(spark, sf, "documents").select("doc_id", "text")
+    store = gr.GrowingFrequencies(spark, src.shared_folder(spark, "frequencies"))
+    for batch in (2, 0, 2, 1):
+        store.add(batch, docs.filter(F.col("doc_id") % 3 == batch))
+        if batch == 0:
+            store.compact()
+    return rounded(vo.idf_scores(store.frequencies()))
+
+
 @query("idf_language", FLAGGED + " SELECT corpus, word, df, round(idf, 6) AS idf, en, de, fr, es FROM flagged", "corpora")
 def idf_language(spark, sf):
     return rounded(flagged(spark, sf))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from firmlens import sources as src
 from firmlens.operators import agreement as ag
 from firmlens.operators import distribution as di
 from firmlens.operators import firms as fo
 from firmlens.operators import regional as re_
 from firmlens.operators import sampling
+from firmlens.operators import sketches as sk
+from firmlens.operators import sweeps as sw
 from firmlens.plans import bindings as b
 from firmlens.plans.registry import query, rounded
 
@@ -465,3 +468,39 @@ def set_overlap(spark, sf):
     hits = b.hits(spark, sf)
     return rounded(ag.set_overlap(
         hits.filter("source = 'web'").select("id"), hits.filter("source = 'pat'").select("id")))
+
+
+# One pass for many thresholds; counts from kept sketches.
+
+
+@query("threshold_sweep", """
+    SELECT t::INTEGER AS threshold, source, count(*) AS n_rows, sum(n_kw)::BIGINT AS n_kw, count(DISTINCT id) AS n_firms,
+           count(DISTINCT category) AS n_categories, round(avg(n_kw), 6) AS mean_kw, max(n_kw) AS most_kw
+    FROM unique_kw, range(1, 9) r(t) WHERE n_unique >= t GROUP BY t, source""", "unique_kw")
+def threshold_sweep(spark, sf):
+    return rounded(sw.sweep(
+        source_counts(spark, sf), "n_unique", range(1, 9), ["source"], n_rows=sw.rows(), n_kw=sw.total("n_kw"),
+        n_firms=sw.different("id"), n_categories=sw.different("category"), mean_kw=sw.mean("n_kw"), most_kw=sw.greatest("n_kw"),
+    ))
+
+
+@query("distinct_sketches", """
+    SELECT category, count(DISTINCT id) AS n_firms, count(DISTINCT keyword) AS n_keywords, TRUE AS firms_near, TRUE AS keywords_near
+    FROM hits GROUP BY category""", "hits")
+def distinct_sketches(spark, sf):
+    """Kept by category and source, added up over sources; the exact counts stand beside."""
+    hits = b.hits(spark, sf)
+    exact = hits.groupBy("category").agg(F.count_distinct("id").alias("n_firms"), F.count_distinct("keyword").alias("n_keywords"))
+    for item, name in (("id", "firms"), ("keyword", "keywords")):
+        kept = src.stored(sk.distinct_sketches(hits, ["category", "source"], item), "sketches")
+        found = sk.estimates(sk.union_sketches(kept, ["category"]), "about")
+        near = F.abs(F.col("about") - F.col(f"n_{name}")) <= sk.relative_error() * F.col(f"n_{name}") + 1
+        exact = exact.join(found, "category").withColumn(f"{name}_near", near).drop("about")
+    return exact
+
+
+@query("review_quotas")
+def review_quotas(spark, sf):
+    firms = b.firms(spark, sf)
+    found = b.hits(spark, sf).filter("source = 'web'").select("id", "category").distinct()
+    return sampling.review_quotas(firms.select("id").join(found, "id", "left"), firms.select("id", F.col("name").alias("url")))

@@ -12,6 +12,7 @@ from firmlens.operators import batches, distribution, sampling
 from firmlens.operators import firms as fo
 from firmlens.plans import bindings as b
 from firmlens.plans.registry import query, rounded
+from firmlens.sources import drift
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -63,6 +64,22 @@ def scan_merge_schema(spark, sf):
     return src.read_parquet(spark, folder, merge_schema=True).select("o_orderkey", "o_totalprice")
 
 
+@query("scan_drifting", """
+    SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN floor(o_totalprice)::DOUBLE WHEN 'O' THEN o_totalprice
+             ELSE o_totalprice::FLOAT::DOUBLE END AS o_totalprice,
+           CASE o_orderstatus WHEN 'F' THEN [o_orderpriority] WHEN 'O' THEN [o_orderstatus, o_orderpriority] END AS links,
+           CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS o_custkey FROM orders""")
+def scan_drifting(spark, sf):
+    folder = src.shared_folder(spark, "drifting")
+    table = orders(spark, sf)
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+    key, links = F.col("o_orderkey"), F.col("o_orderpriority")
+    src.write_parquet(table.filter(status == "F").select(key.cast("int"), price.cast("long"), links.alias("links")), f"{folder}/a")
+    src.write_parquet(table.filter(status == "O").select(key, price, F.array(status, links).alias("links")), f"{folder}/b")
+    src.write_parquet(table.filter(status == "P").select("o_custkey", key, price.cast("float")), f"{folder}/c")
+    return drift.read_drifting(spark, folder)
+
+
 @query("scan_csv", SELECT_ORDERS)
 def scan_csv(spark, sf):
     path = src.write_csv(orders(spark, sf), src.shared_folder(spark, "csv"))

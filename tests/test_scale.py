@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmlens.operators import (
-    agreement as ag, distribution as di, firms as fo, keywords as kw, links, regional as rg, text as to,
+    agreement as ag, distribution as di, firms as fo, keywords as kw, links, regional as rg, sampling, text as to,
     vectors as ve, vocabulary as vo,
 )
 
+from firmlens.functions.positions import positioned
+
 HITS = "id long, category string, keyword string, source string, canton string"
 
 
@@ -107,18 +109,39 @@ def test_group_text_with_a_hot_firm(spark, separator, part_chars):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 0.99, 1.0])
-@pytest.mark.parametrize("bins", [1, 8, 1 << 16])
-def test_top_quantile_against_sorting(spark, q, bins):
+@pytest.mark.parametrize("accuracy", [2, 50, 10_000])
+def test_top_quantile_against_sorting(spark, q, accuracy):
     rng = np.random.default_rng(3)
-    values = {"a": list(rng.uniform(-1, 1, 301)), "b": [0.5] * 40 + [0.25] * 3, "c": [0.1]}
+    wide = [float(s * 10.0**e) for s, e in zip(rng.choice([-1, 1], 400), rng.uniform(-6, 6, 400), strict=True)]
+    values = {"a": list(rng.uniform(-1, 1, 301)), "b": [0.5] * 40 + [0.25] * 3, "c": [0.1], "wide": wide, None: [3.0, 2.0, 2.0],
+              "ties": [7.0] * 2_000 + [1e12] * 3 + [-1e12] * 2, "near": list(1e9 + rng.uniform(0, 1e-3, 200))}
     rows = [(i, c, float(v)) for c, vs in values.items() for i, v in enumerate(vs)]
-    frame = spark.createDataFrame(rows, "url long, category string, similarity double").repartition(5)
-    got = sorted(tuple(r) for r in ve.top_quantile(frame, q, bins=bins).select("url", "category", "similarity").collect())
+    odd = [(1, "a", None), (2, "a", float("nan")), (3, "empty", None)]
+    frame = spark.createDataFrame(rows + odd, "url long, category string, similarity double").repartition(5)
+    got = ve.top_quantile(frame, q, accuracy=accuracy)
+    assert got.columns == frame.columns
     want = []
     for c, vs in values.items():
         limit = sorted(vs)[int(q * (len(vs) - 1) + 0.5)]
         want += [(i, c, float(v)) for i, v in enumerate(vs) if v >= limit]
-    assert got == sorted(want)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize(("offset", "length"), [(0, 5), (3, 1_000), (990, 50), (1_200, 5), (10, 0), (399, 203)])
+def test_slices_by_position(spark, offset, length):
+    rows = [(i % 7, i) for i in range(600)] + [(3, 1)] * 400
+    frame = spark.createDataFrame(rows, "a long, b long").repartition(6)
+    sliced = sampling.slice_rows(frame, offset, length, "a", "b")
+    assert [tuple(r) for r in sliced.collect()] == sorted(rows)[offset : offset + length]
+    assert "GlobalLimit" not in sliced._jdf.queryExecution().executedPlan().toString() or not length
+
+
+def test_positions(spark):
+    rows = [(None, 5), (2, 1), (1, 1), (1, 1), (None, 4)] + [(9, 9)] * 300
+    frame = spark.createDataFrame(rows, "a long, b long").repartition(6)
+    got = sorted((r.position, r.a, r.b) for r in positioned(frame, F.asc_nulls_last("a"), "b").collect())
+    assert got == [(i, *r) for i, r in enumerate([(1, 1), (1, 1), (2, 1)] + [(9, 9)] * 300 + [(None, 4), (None, 5)])]
+    assert positioned(frame.limit(0), "a").count() == 0
 
 
 def test_text_stays_where_it_is(spark, tmp_path):
