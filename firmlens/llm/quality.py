@@ -29,7 +29,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Least share of characters in content lines.
 CONTENT_SHARE = 0.5
-#: Labelled documents of each class that the field is fitted to, and lines read of each.
+#: Labelled documents of each class that the field is fitted to, and lines of a sequence in
+#: the fit: a longer document is several sequences.
 FIT_DOCUMENTS = 200
 FIT_LINES = 100
 FIT_STEPS = 100
@@ -131,16 +132,17 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 def fit(documents: list[tuple[np.ndarray, int]], steps: int = FIT_STEPS, rate: float = 0.1, decay: float = 1e-3) -> LineField:
     """Weights that make the labels of the documents' lines likely, by gradient ascent with
     sums over all label sequences (forward and backward)."""
-    documents = [(f, y) for f, y in documents if len(f)]
-    if len({y for _, y in documents}) < 2:
+    if len({y for f, y in documents if len(f)}) < 2:
         return DEFAULT_FIELD
+    share = [1 / len(f) for f, _ in documents for _ in range(0, len(f), FIT_LINES)]
+    documents = [(f[i : i + FIT_LINES], y) for f, y in documents for i in range(0, len(f), FIT_LINES)]
     most = max(len(f) for f, _ in documents)
     x = np.zeros((len(documents), most, len(FEATURES)))
     there = np.zeros((len(documents), most), bool)
     for i, (f, _) in enumerate(documents):
         x[i, : len(f)], there[i, : len(f)] = f, True
     label = np.array([y for _, y in documents])
-    weight = 1 / there.sum(1)  # every document counts alike
+    weight = np.array(share)  # every document counts alike, all its lines too
     emit, move = np.zeros((2, len(FEATURES))), np.zeros((2, 2))
     own = (label[:, None] == np.arange(2)).astype(float)
     seen_emit = np.einsum("d,dk,dtf->kf", weight, own, x)
@@ -186,7 +188,7 @@ def one_of_key(docs: DataFrame, sample: DataFrame, names: list[str]) -> DataFram
 
 def fit_to_labels(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS, key: str = "doc_id", text: str = "text") -> LineField:
     """The field fitted to at most ``most`` labelled documents of each class (``quality`` 0
-    or 1; those with the smallest hashes of their keys), ``FIT_LINES`` lines of each.
+    or 1; those with the smallest hashes of their keys), all lines of each.
 
     Only this fitting reads a sample. Rows with a null key, label or text take no part. Of the
     texts of a repeated key the one with the smallest hash is taken.
@@ -201,7 +203,7 @@ def fit_to_labels(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            values = [line_features(t)[0][:FIT_LINES].ravel().tolist() for t in texts]
+            values = [line_features(t)[0].ravel().tolist() for t in texts]
             digest = [" ".join(f"{v:.9g}" for v in own) for own in values]
             yield pa.RecordBatch.from_arrays([pa.array(digest), batch.column(1)], ["features", "quality"])
 

@@ -2,9 +2,11 @@
 tokenizer finds strange.
 
 A vocabulary made from ordinary text has long tokens for what is ordinary. A run of key
-characters that needs many tokens for its length is random. Runs that are known to be
-something else are left out: digests of the usual lengths, universally unique
-identifiers, plain numbers and words without a digit.
+characters that needs many tokens for its length is random, whether it has digits or not.
+If a run as a whole is not, its parts between separators are judged by themselves: a
+random string may stand behind a path or a name. Strings that are known to be something
+else are left out: digests of the usual lengths, universally unique identifiers and plain
+numbers.
 """
 
 from __future__ import annotations
@@ -28,14 +30,20 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 SHORTEST_VALUE, SHORTEST_ACCESS = 8, 16
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+PART = re.compile(r"[A-Za-z0-9]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 #: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hexadecimal digits.
 DIGESTS = {32, 40, 56, 64, 96, 128}
 
-#: Runs with fewer characters to a token are taken for random.
+#: Strings with fewer characters to a token are taken for random. The ratio of a short string
+#: says less: so many times as few are asked for from each length on.
 CHARS_PER_TOKEN = 2.0
+STRICTNESS = {20: 1.0, 16: 0.8, 12: 0.75}
+SHORTEST_RANDOM, SHORTEST_WHOLE = 12, 20
+#: A run is judged as a whole if its parts have so many characters on average.
+PART_CHARS = 8
 #: Characters of a run that are encoded at once; a longer run is judged by the sum of its parts.
 RUN_PART = 10_000
 
@@ -49,12 +57,26 @@ def vocabulary(path: str) -> tiktoken.Encoding:
 
 
 def is_random(run: str, encoding: tiktoken.Encoding, chars_per_token: float) -> bool:
-    if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
+    if len(run) < SHORTEST_RANDOM or not any(c.isalpha() for c in run):
         return False
     if HEX_ONLY.fullmatch(run) and len(run) in DIGESTS or UUID.fullmatch(run):
         return False
     tokens = sum(len(encoding.encode_ordinary(run[i : i + RUN_PART])) for i in range(0, len(run), RUN_PART))
-    return len(run) < chars_per_token * tokens
+    strictness = next(v for n, v in STRICTNESS.items() if len(run) >= n)
+    return len(run) < chars_per_token * strictness * tokens
+
+
+def random_parts(run: str, encoding: tiktoken.Encoding, chars_per_token: float) -> list[tuple[int, int]]:
+    """Places in a run that are random: the whole of it, or parts between separators."""
+    identifiers = [m.span() for m in UUID.finditer(run)]
+    parts = [m.span() for m in PART.finditer(run)]
+    if not parts:
+        return []
+    even = sum(b - a for a, b in parts) >= PART_CHARS * len(parts)
+    if len(run) >= SHORTEST_WHOLE and even and not identifiers and is_random(run, encoding, chars_per_token):
+        return [(0, len(run))]
+    free = [(a, b) for a, b in parts if not any(x < b and a < y for x, y in identifiers)]
+    return [(a, b) for a, b in free if is_random(run[a:b], encoding, chars_per_token)]
 
 
 def find(text: str, encoding: tiktoken.Encoding, chars_per_token: float) -> list[tuple[str, int, int]]:
@@ -64,9 +86,12 @@ def find(text: str, encoding: tiktoken.Encoding, chars_per_token: float) -> list
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     base = list(spans)
     for m in RUN.finditer(text):
-        a, b = m.span()
-        if not any(x <= a and b <= y for _, x, y in base) and is_random(m[0], encoding, chars_per_token):
-            spans.append(("random", a, b))
+        start, stop = m.span()
+        if any(x <= start and stop <= y for _, x, y in base):
+            continue
+        for a, b in random_parts(m[0], encoding, chars_per_token):
+            if not any(x <= start + a and start + b <= y for _, x, y in base):
+                spans.append(("random", start + a, start + b))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -76,7 +101,7 @@ def scan(
     """``(key, spans)``: one row for each row of ``docs``.
 
     Every match of the three patterns is a span; spans may overlap. A ``random`` span is a
-    run that lies in none of them and passes the test. A null or empty text has no spans;
+    run, or a part of one, that lies in none of them and passes the test. A null or empty text has no spans;
     null and repeated keys stay; other columns are not read.
     """
 

@@ -278,6 +278,32 @@ def test_known_strings_are_not_random():
     assert secrets.is_random("q7Zp0Xk2Lw9Rt4Vb8Nc3Ms6Hd", encoding, secrets.CHARS_PER_TOKEN)
 
 
+def found_random(text: str) -> list[str]:
+    spans = secrets.find(text, secrets.vocabulary(queries.BYTE_RANKS), secrets.CHARS_PER_TOKEN)
+    return [text[a:b] for kind, a, b in spans if kind == "random"]
+
+
+@pytest.mark.parametrize(("size", "least"), [(12, 0.75), (16, 0.9), (20, 0.97), (32, 0.99), (64, 0.99)])
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_planted_random_strings_are_found(size, least, letters):
+    rng = np.random.default_rng(size)
+    least = {12: 0.5, 16: 0.8}.get(size, least) if "0" not in letters else least
+    for around in ("see {} here", "https://example.com/download/documents/{}", "authorization={}", "file_name-{}/more-words"):
+        values = ["".join(letters[i] for i in rng.integers(0, len(letters), size)) for _ in range(200)]
+        hit = [any(v in s for s in found_random(around.format(v))) for v in values]
+        assert np.mean(hit) >= least, around
+
+
+def test_ordinary_text_is_not_random(spark):
+    texts = spark.read.parquet(f"{SF}/documents.parquet").filter("text is not null").select("text").collect()
+    runs = [m[0] for r in texts for m in secrets.PART.finditer(r.text) if len(m[0]) >= 12]
+    found = [s for r in texts for s in found_random(r.text)]
+    assert len(runs) > 3_000 and len(found) <= 0.002 * len(runs)
+    for known in ("getElementsByClassName(environmentVariables)", "src/main/java/org/example/internationalization/Test", "a/b/c/d/e/f/g/h/i/j/k/l/m/n",
+                  "id=123e4567-e89b-12d3-a456-426614174000", "supercalifragilisticexpialidocious", "2024-01-02T03-04-05", "====================", "x_1_y_2_z_3_x_1_y_2_z_3"):
+        assert found_random(known) == []
+
+
 def removed(texts: list[tuple], window: int, keep_first: bool) -> list[tuple]:
     """Each row's sizes, spans and what is left."""
     data = [(t or "").encode() for _, t in texts]
