@@ -17,12 +17,24 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's ``spark.checkpoint.dir``, or where that is unset
-    under its warehouse, which all executors share too."""
+def run_folder(spark: SparkSession) -> str:
+    """The folder of all steps of this application, under the session's ``spark.checkpoint.dir``,
+    or where that is unset under its warehouse, which all executors share too."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     root = root or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/firmlens-steps"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/firmlens-{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a step of this application."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_steps(spark: SparkSession) -> None:
+    """Remove what the steps of this application have written. For the end of a run: tables
+    that were not written elsewhere can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_parquet(
