@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA, CountVectorizerModel, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firmlens.functions.text import words
+from firmlens.operators.components import component_scores
 from firmlens.sources.files import stored
 
 MAX_LABELS = 10_000
@@ -155,17 +156,6 @@ def embed_hashing(pages: DataFrame, key: str, text: str = "text", size: int = 38
 
 
 def pca_scores(sims: DataFrame, key: str, k: int, scores: int = 2) -> DataFrame:
-    """Scores on the first principal components and the variance share of each of ``k``.
-
-    Fitting sums one label x label matrix over all rows; the sign of a component is arbitrary.
-    """
-    rows = sims.filter(F.col("sims").isNotNull()).select(key, array_to_vector("sims").alias("x"))
-    model = PCA(k=k, inputCol="x", outputCol="p").fit(rows)
-    # The model projects without centring, so the projected mean is taken off.
-    mean = rows.agg(Summarizer.mean(F.col("x"))).first()[0].toArray()
-    shift = mean @ model.pc.toArray()
-    projected = model.transform(rows).select(key, vector_to_array("p").alias("p"))
-    explained = F.array(*[F.lit(float(v)) for v in model.explainedVariance])
-    columns = [(F.col("p")[i] - F.lit(float(shift[i]))).alias(f"pc{i + 1}") for i in range(min(scores, k))]
-    return projected.select(key, *columns, explained.alias("explained"))
-
+    """Scores on the first principal components and the variance share of each of ``k``; the
+    largest loading of a component is positive. See :mod:`components`."""
+    return component_scores(sims, key, k, scores)
