@@ -17,6 +17,9 @@ from firmlens.functions.joins import broadcast_if_small
 from firmlens.functions.text import WORD, whole_word_pattern
 
 BROADCAST_PHRASES = 500_000
+#: Phrases of a dictionary whose anchors are looked for in each text before its words are
+#: taken apart: a text is then copied for its candidates only, not for each of its words.
+FEW_PHRASES = 5_000
 
 
 def split_phrases(raw: DataFrame, category: str = "category", phrases: str = "prompt_output") -> DataFrame:
@@ -43,13 +46,15 @@ def joined_dictionary(dictionary: DataFrame) -> DataFrame:
 
 
 def _anchored(keywords: DataFrame, word: str) -> DataFrame:
-    """Phrases with their longest word, or their first character where they have none."""
+    """Phrases with their longest word, or their first character where they have none, and
+    whether that word is the whole phrase."""
     runs = F.regexp_extract_all("keyword", F.lit(f"({word}+)"), F.lit(0))
     longest = F.reduce(
         runs, F.lit(""), lambda best, run: F.when(F.char_length(run) > F.char_length(best), run).otherwise(best)
     )
     anchor = F.when(longest != "", longest).otherwise(F.substring("keyword", 1, 1))
-    return keywords.select("keyword").filter("keyword <> ''").distinct().withColumn("anchor", anchor)
+    own = keywords.select("keyword").filter("keyword <> ''").distinct()
+    return own.select("keyword", anchor.alias("anchor"), (longest == F.col("keyword")).alias("single"))
 
 
 def match_keywords(
@@ -73,24 +78,35 @@ def match_keywords(
     signs_only = not phrases.filter(~F.col("anchor").rlike(word)).isEmpty()
     phrases, small = broadcast_if_small(phrases, broadcast_phrases)
     lower = F.col("__text")
-    runs = F.split(lower, rf"[^{word[1:-1]}]+")
+    all_words = F.split(lower, rf"[^{word[1:-1]}]+")
+    runs = F.col("__words")
     if signs_only:  # anchors of phrases without words
         runs = F.concat(runs, F.split(F.regexp_replace(lower, f"{word}+", ""), ""))
-    texts = pages.select(key, F.lower(text).alias("__text")).withColumn("__runs", F.array_distinct(runs))
+    texts = pages.select(key, F.lower(text).alias("__text")).withColumn("__words", all_words)
+    few = small and phrases.limit(FEW_PHRASES + 1).count() <= FEW_PHRASES
+    if few:
+        anchors = phrases.agg(F.collect_set("anchor").alias("anchors")).scalar()
+        texts = texts.withColumn("__runs", F.array_intersect(runs, anchors))
+    else:
+        texts = texts.withColumn("__runs", F.array_distinct(runs))
+    # Outer: for a plain explode Spark adds a filter that takes the words apart a second time.
     if small:
-        candidates = texts.withColumn("anchor", F.explode("__runs")).join(phrases, "anchor")
+        candidates = texts.withColumn("anchor", F.explode_outer("__runs")).join(phrases, "anchor")
     else:
         # Rows that are equal in key and text have the same digest and the same candidates,
         # which are joined to each of them once.
         row = [F.xxhash64(key, "__text").alias("__row"), F.hash("__text").alias("__check")]
-        found = texts.select(*row, F.explode("__runs").alias("anchor")).join(phrases, "anchor")
-        found = found.select("__row", "__check", "keyword").distinct()
-        candidates = texts.select(key, "__text", *row).join(found, ["__row", "__check"])
+        found = texts.select(*row, F.explode_outer("__runs").alias("anchor")).join(phrases, "anchor")
+        found = found.select("__row", "__check", "keyword", "single").distinct()
+        candidates = texts.select(key, "__text", "__words", *row).join(found, ["__row", "__check"])
     return _counted(candidates.filter(F.contains("__text", "keyword")), key, compat)
 
 
 def _counted(candidates: DataFrame, key: str, compat: bool) -> DataFrame:
     n: Column = F.regexp_count("__text", whole_word_pattern(F.col("keyword"), compat)).cast("long")
+    if not compat:  # a phrase of one word is counted among the words of the text
+        same = F.size(F.filter("__words", lambda w: w == F.col("keyword"))).cast("long")
+        n = F.when(F.col("single"), same).otherwise(n)
     # Generated columns are not copied into filters, so every count is taken once.
     return candidates.select(key, "keyword", F.explode(F.array(n)).alias("n")).filter("n > 0")
 

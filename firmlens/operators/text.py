@@ -104,7 +104,8 @@ def vocabulary(pages: DataFrame, size: int | None = None, text: str = "text") ->
     The words are sorted in ranges; ids add the sizes of the ranges before to the place in
     the range. Written once, because the places depend on the sort.
     """
-    counts = pages.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    every = pages.select(F.explode_outer(words(F.col(text))).alias("word")).filter("word is not null")
+    counts = every.groupBy("word").agg(F.count("*").alias("n"))
     ordered = counts.orderBy(F.desc("n"), "word")
     if size is not None:
         ordered = ordered.limit(size)

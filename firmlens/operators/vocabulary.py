@@ -21,7 +21,9 @@ def document_words(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame
     documents in the same pass over the texts.
     """
     long = F.filter(F.split(F.lower(text), NOT_WORD), lambda w: F.char_length(w) >= 2)
-    return docs.select(*keep, F.explode(F.array_append(F.array_distinct(long), DOCUMENT)).alias("word"))
+    # Outer: for a plain explode Spark adds a filter that takes the words apart a second time.
+    every = F.explode_outer(F.array_append(F.array_distinct(long), DOCUMENT)).alias("word")
+    return docs.select(*keep, every).filter("word is not null")
 
 
 def document_frequencies(docs: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
