@@ -238,6 +238,27 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return found.filter("b is not null").unionByName(near.join(hubs.drop("most"), "between").filter("a != b").select("a", "b"))
 
 
+def _named_fingerprints(own: DataFrame, key: str) -> DataFrame:
+    """``(fingerprint, first, component)`` of ``own(key, fingerprint)``: the smallest key of each
+    different fingerprint and the fingerprint that names its component."""
+    firsts = stored(own.groupBy("fingerprint").agg(F.min(key).alias("first")), "distinct")
+    named = components(fingerprint_links(firsts)).withColumnRenamed("node", "fingerprint")
+    return stored(firsts.join(named, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")), "named")
+
+
+def without_simhash_copies(docs: DataFrame, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of :func:`simhash_components`: the one with the
+    smallest key (null before all), of rows with one key that with the smaller hash of its
+    text. Rows equal in key and text count as one; all columns stay."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    one, two = F.xxhash64(F.col(key), whole), F.xxhash64(F.lit("row"), F.col(key), whole)
+    rows = docs.select(F.struct(F.col(key).alias("k"), one.alias("one"), two.alias("two")).alias("id"), whole.alias("text"))
+    own = stored(fingerprints(rows, words, "id", "text"), "fingerprints")
+    kept = stored(_named_fingerprints(own, "id").groupBy("component").agg(F.min("first").alias("id")).select("id.one", "id.two"), "kept")
+    numbered = docs.select(F.struct("*").alias("document"), one.alias("one"), two.alias("two"))
+    return numbered.join(kept, ["one", "two"]).dropDuplicates(["one", "two"]).select("document.*")
+
+
 def simhash_components(docs: DataFrame, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, fingerprint, component_id)``: one row for each row of ``docs``.
 
@@ -247,11 +268,7 @@ def simhash_components(docs: DataFrame, words: int = 3, key: str = "doc_id", tex
     component; repeated rows are in one component. Other columns are not read.
     """
     own = stored(fingerprints(docs, words, key, text), "fingerprints")
-    firsts = stored(own.groupBy("fingerprint").agg(F.min(key).alias("first")), "distinct")
-    named = components(fingerprint_links(firsts)).withColumnRenamed("node", "fingerprint")
-    joined = stored(
-        firsts.join(named, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")), "named"
-    )
+    joined = _named_fingerprints(own, key)
     least = stored(joined.groupBy("component").agg(F.min("first").alias("component_id")), "least")
     ids = joined.join(least, "component").select("fingerprint", "component_id")
     return own.join(ids, "fingerprint").select(

@@ -405,3 +405,19 @@ def test_texts_of_one_key_with_equal_short_hashes(spark):
     assert rows == {(None, len(pair.a)): len(pair.a), (None, len(pair.b)): 0, (1, len(pair.a)): len(pair.a)}
     kept = sorted((r.doc_id or 0, r.text) for r in repeats.without_repeats(docs, 400).collect())
     assert kept == sorted([(0, pair.a), (0, pair.b), (1, "")])
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_one_document_of_each_simhash_component_stays(request, name):
+    table = request.getfixturevalue(name)
+    kept = near_dups.without_simhash_copies(table)
+    assert kept.columns == table.columns
+    rows = kept.select("doc_id", "text").collect()
+    prints = {(k, t): naive_simhash(t or "") for k, t in texts_of(table)}
+    group = grouped(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= 2)
+    least: dict = {}
+    for (k, t), bits in prints.items():
+        place = (k is not None, k or 0)
+        least[group[bits]] = min(least.get(group[bits], place), place)
+    got = {group[prints[r.doc_id, r.text]]: (r.doc_id is not None, r.doc_id or 0) for r in rows}
+    assert len(rows) == len(got) and got == least
