@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from firmlens.llm import near_dups, packing, quality, repeats, secrets
 from firmlens.llm.storage import stored
 
-#: Words of a shingle and least similarity of near copies.
-COPY_WORDS, COPY_SIMILARITY = 5, 0.8
+#: Words of a shingle of the fingerprints of near copies.
+COPY_WORDS = 3
 #: Bytes of a repeated string: fewer than a passage of 50 words has.
 REPEATED_BYTES = 200
 SEQUENCE_TOKENS, END_ID = 1024, 2
@@ -38,8 +38,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return near_dups.without_copies(docs, COPY_WORDS, COPY_SIMILARITY)
+    """One document of each component of fingerprints that differ in two bits or fewer stays."""
+    return near_dups.without_simhash_copies(docs, COPY_WORDS)
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
