@@ -147,7 +147,7 @@ def test_queries_run(spark, name):
 
 def test_entry_has_all_queries():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and names.keys() >= entry.oracle_sql().keys()
 
 
