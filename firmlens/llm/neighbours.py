@@ -2,8 +2,10 @@
 
 A vector is represented by the order of the pivots by their nearness to it. It is posted
 in the inverted files of its nearest pivots. A query reads the files of its own nearest
-pivots, ranks what they hold by the footrule distance of the two orders, and compares
-the best share of each file by the original vectors.
+pivots, ranks what they hold by the footrule distance of the two orders, first of places
+rounded to fifths and then of the places, and compares the first of that ranking by the
+original vectors. The index is dealt by vectors: a part holds all files of some thousand
+vectors, so that a ranking goes over all files that a query reads, and no file is hot.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ from firmlens.llm.storage import stored
 #: Pivots, a sample of the vectors (at most 256: an order is one byte for each).
 PIVOTS = 256
 #: Files that a vector is posted in, and files that a query reads.
-POSTED, READ = 8, 32
-#: Share of a file that is compared by the vectors, and how many of it at least.
-COMPARED_SHARE, COMPARED_LEAST = 0.2, 256
-#: Vectors of a part of a file, and queries that meet a part at once.
-PART, QUERIES_AT_ONCE = 8192, 4096
-#: Numbers of a block of the footrule computation.
-BLOCK_CELLS = 1 << 23
+POSTED, READ = 8, 48
+#: Vectors compared for a query: this many times the root of all vectors, and at least.
+COMPARED_ROOT, COMPARED_LEAST = 10, 256
+#: Vectors ranked by their places, for each that is compared.
+RANKED = 4
+#: Vectors of a part of the index, and queries that meet a part at once.
+PART, QUERIES_AT_ONCE = 8192, 2048
+#: Bits of a rounded place.
+STEPS = 4
 
 
 def valid(vector: Column) -> Column:
@@ -41,57 +45,87 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
-def _orders(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pivots from the nearest on, and the place of each pivot in that order."""
+def _places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The place of each pivot in the order of the pivots from the nearest on."""
     order = np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")
-    place = np.empty_like(order)
-    np.put_along_axis(place, order, np.arange(len(pivots))[None, :].repeat(len(vectors), 0), 1)
-    return order, place.astype(np.uint8)
+    place = np.empty(order.shape, np.uint8)
+    np.put_along_axis(place, order, np.arange(len(pivots), dtype=np.uint8)[None, :].repeat(len(vectors), 0), 1)
+    return place
 
 
 def _indexed(distinct: DataFrame, pivots: np.ndarray, kind: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                order, place = _orders(_matrix(batch.column(1), pivots.shape[1]), pivots)
-                near = order[:, :READ].astype(np.int32)
-                lists = pa.ListArray.from_arrays(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32), pa.array(near.ravel()))
+                place = _places(_matrix(batch.column(1), pivots.shape[1]), pivots)
                 places = pa.array([row.tobytes() for row in place], pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists, places], ["node", "vector", "ids", "near", "place"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, places], ["node", "vector", "ids", "place"])
 
-    return distinct.mapInArrow(work, f"node long, vector {kind}, ids array<long>, near array<int>, place binary")
+    return distinct.mapInArrow(work, f"node long, vector {kind}, ids array<long>, place binary")
 
 
-def _search(size: int, most: int):  # noqa: ANN202
-    """A function of a part of a file and the queries that read it: the best of each query.
+def _rounded(place: np.ndarray) -> np.ndarray:
+    """Places rounded to steps, one bit for each step reached: differing bits of two rows
+    add up to the footrule distance of the rounded places, in steps."""
+    pivots = place.shape[1]
+    bits = np.concatenate([place >= pivots * k / (STEPS + 1) for k in range(1, STEPS + 1)], axis=1)
+    packed = np.packbits(bits, axis=1)
+    return np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
+
+
+def _estimate(distance: np.ndarray, unrelated: float, norm: np.ndarray) -> np.ndarray:
+    """What an inner product is about by a footrule distance: the norm for 0, 0 for that of
+    unrelated orders. For equal norms this is the ranking by distance."""
+    return norm * (1 - distance / unrelated)
+
+
+def _first(value: np.ndarray, count: int) -> np.ndarray:
+    """Places of the ``count`` largest values."""
+    return np.arange(len(value)) if count >= len(value) else np.argpartition(-value, count - 1)[:count]
+
+
+def _search(size: int, most: int, compared: int):  # noqa: ANN202
+    """A function of a part of the index and queries: the best of each query in that part.
 
     Vectors with no key but the query's own are out before anything is cut. Ties go to the
     smallest other key."""
     schema = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
 
-    def work(posted: pa.Table, asked: pa.Table) -> pa.Table:
-        if not posted.num_rows or not asked.num_rows:
+    def work(indexed: pa.Table, asked: pa.Table) -> pa.Table:
+        if not indexed.num_rows or not asked.num_rows:
             return schema.empty_table()
-        vectors, queries = (_matrix(t["v"].combine_chunks(), size) for t in (posted, asked))
-        node, query = posted["node"].to_numpy(), asked["query"].to_numpy()
-        least, second, asks = posted["least"].to_numpy(), posted["second"].to_numpy(), asked["query_id"].to_numpy()
-        place, own = (
-            np.frombuffer(b"".join(t["p"].to_pylist()), np.uint8).reshape(t.num_rows, -1).astype(np.int16) for t in (posted, asked)
-        )
+        vectors, queries = (_matrix(t["v"].combine_chunks(), size) for t in (indexed, asked))
+        node, query = indexed["node"].to_numpy(), asked["query"].to_numpy()
+        least, second, asks = indexed["least"].to_numpy(), indexed["second"].to_numpy(), asked["query_id"].to_numpy()
+        place, own = (np.frombuffer(b"".join(t["p"].to_pylist()), np.uint8).reshape(t.num_rows, -1) for t in (indexed, asked))
+        rounded, own_rounded = _rounded(place), _rounded(own)
+        largest = np.abs(vectors).max(1)
+        norm = largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(1))
+        pivots = place.shape[1]
+        share = np.arange(1, STEPS + 1) / (STEPS + 1)
+        unrelated, unrelated_bits = max(1.0, (pivots**2 - 1) / 3), pivots * 2 * (share * (1 - share)).sum()
+        # The inverted files of this part, one after the other.
+        file, row = np.nonzero((place < POSTED).T)
+        begin = np.searchsorted(file, np.arange(pivots + 1))
         out = []
-        step = max(1, BLOCK_CELLS // place.size)
-        for first in range(0, len(query), step):
-            part = slice(first, first + step)
-            footrule = np.abs(place[None, :, :] - own[part][:, None, :]).sum(2, dtype=np.int32)
-            for i, distance in enumerate(footrule, first):
-                near = np.flatnonzero((least != asks[i]) | (second != asks[i]))
-                compared = max(COMPARED_LEAST, math.ceil(COMPARED_SHARE * len(near)))
-                if compared < len(near):
-                    near = near[np.argpartition(distance[near], compared - 1)[:compared]]
-                score = vectors[near] @ queries[i]
-                other = np.where(least[near] == asks[i], second[near], least[near])
-                best = near[np.lexsort((other, -score))[:most]]
-                out.append((np.full(len(best), query[i]), node[best], vectors[best] @ queries[i]))
+        for i in range(len(query)):
+            held = np.zeros(len(node), bool)
+            for pivot in np.flatnonzero(own[i] < READ).tolist():
+                held[row[begin[pivot] : begin[pivot + 1]]] = True
+            others = (least != asks[i]) | (second != asks[i])
+            near = np.flatnonzero(held & others)
+            if len(near) < most:  # the files hold too few: all of the part
+                near = np.flatnonzero(others)
+            if compared < len(near):
+                steps = np.bitwise_count(rounded[near] ^ own_rounded[i]).sum(1, dtype=np.int64)
+                near = near[_first(_estimate(steps, unrelated_bits, norm[near]), RANKED * compared)]
+                there = place[near]
+                footrule = (np.maximum(there, own[i]) - np.minimum(there, own[i])).sum(1, dtype=np.int64)
+                near = near[_first(_estimate(footrule, unrelated, norm[near]), compared)]
+            score = vectors[near] @ queries[i]
+            other = np.where(least[near] == asks[i], second[near], least[near])
+            best = near[np.lexsort((other, -score))[:most]]
+            out.append((np.full(len(best), query[i]), node[best], vectors[best] @ queries[i]))
         return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], schema=schema)
 
     return work
@@ -104,25 +138,26 @@ def nearest(
     with the largest inner products that the index finds, in double precision, ties to the
     smaller key; rows with the query's own key are not among them.
 
-    Null and zero vectors, those with null or non-finite components, those of another
-    length than most, and rows without a key take no part. Rows equal in key and vector are
-    one row. Equal vectors are indexed once and all found; a key with several vectors asks
-    with each of them and ranks what each finds. All vectors are indexed; only the pivots are a sample, the ``pivots``
-    different vectors with the smallest hashes. Other columns are not read. An empty table
-    gives an empty result.
+    Null and zero vectors, those with null or non-finite components, and rows without a key
+    take no part. Vectors of one length are compared with each other only. Rows equal in key
+    and vector are one row. Equal vectors are indexed once and all found; a key with several
+    vectors of one length asks with each of them and ranks what each finds. All vectors are
+    indexed; only the pivots are a sample, the ``pivots`` different vectors with the smallest
+    hashes. Other columns are not read. An empty table gives an empty result.
     """
-    spark = table.sparkSession
-    kind = table.schema[vector].dataType.simpleString()
     rows = table.select(
         F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")
     ).filter(F.col("id").isNotNull() & valid(F.col(vector)))
-    usual = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if usual is None:
-        return empty
-    size = usual["size"]
-    rows = rows.filter(F.size("vector") == size)
+    kind = table.schema[vector].dataType.simpleString()
+    found = None
+    for own in rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").collect():
+        of_size = _nearest_of_size(rows.filter(F.size("vector") == own["size"]), own["size"], kind, count, min(pivots, 256))
+        found = of_size if found is None else found.unionByName(of_size)
+    return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double") if found is None else found
+
 
+def _nearest_of_size(rows: DataFrame, size: int, kind: str, count: int, pivots: int) -> DataFrame:
+    """The result for ``rows(id, vector, asks)``, all of whose vectors have ``size`` numbers."""
     # Of equal vectors the smallest keys are enough: one more than are asked for.
     by_vector = Window.partitionBy("vector").orderBy("id")
     firsts = rows.select("vector", "id").distinct().withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= count + 1)
@@ -132,41 +167,37 @@ def nearest(
     numbered = stored(
         numbered.withColumn("node", F.xxhash64("node", "vector")), "vectors"
     )
-    sample = numbered.orderBy(F.xxhash64("vector"), "vector").limit(min(pivots, 256)).select("vector").collect()
-    chosen = np.array([r.vector for r in sample], np.float64)
-    index = stored(_indexed(numbered, chosen, kind), "index")
+    sample = numbered.orderBy(F.xxhash64("vector"), "vector").limit(pivots).select("vector").collect()
+    index = stored(_indexed(numbered, np.array([r.vector for r in sample], np.float64), kind), "index")
 
     asking = rows.filter("asks").select(F.col("id").alias("query_id"), "vector").distinct()
     # Each key of a vector asks by itself, since the rows that are its own differ.
     asking = stored(
-        asking.join(index.select("node", "vector"), "vector").select("query_id", "node", F.xxhash64("query_id", "node").alias("query")), "queries"
+        asking.join(index, "vector").select("query_id", "vector", "place", "node", F.xxhash64("query_id", "node").alias("query")), "queries"
     )
-    # At most one row for each pivot comes to the driver: how long its file is, and its queries.
-    files = index.select("node", F.explode(F.slice("near", 1, POSTED)).alias("pivot")).groupBy("pivot").count()
-    readers = index.join(asking, "node").select(F.explode("near").alias("pivot")).groupBy("pivot").count()
-    sizes = {r.pivot: r["count"] for r in files.collect()}
-    reads = {r.pivot: r["count"] for r in readers.collect()}
-    parts = F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // PART))) for p in range(len(chosen))])
-    groups = F.array(*[F.lit(max(1, -(-reads.get(p, 0) // QUERIES_AT_ONCE))) for p in range(len(chosen))])
-
-    def dealt(table: DataFrame, as_node: str, keys: list, files: Column, own: Column, other: Column, names: tuple[str, str]) -> DataFrame:
-        """Each row in its own part of a file, once for each part of the other side."""
-        return (
-            table.select(as_node, *keys, F.col("vector").alias("v"), F.col("place").alias("p"), F.explode(files).alias("pivot"))
-            .withColumn(names[0], F.pmod(F.xxhash64(as_node), F.element_at(own, F.col("pivot") + 1)).cast("int"))
-            .withColumn(names[1], F.explode(F.sequence(F.lit(0), F.element_at(other, F.col("pivot") + 1) - 1)))
+    vectors = index.count()
+    parts, groups = max(1, -(-vectors // PART)), max(1, -(-asking.count() // QUERIES_AT_ONCE))
+    # Parts are dealt by a hash: each holds about its share of the vectors to be compared.
+    share = max(COMPARED_LEAST, COMPARED_ROOT * math.sqrt(vectors)) / parts
+    compared = max(count, math.ceil(share + 3 * math.sqrt(share)))
+
+    def dealt(table: DataFrame, own: str, keys: list, names: tuple[str, str], numbers: tuple[int, int]) -> DataFrame:
+        """Each row in its own part or group, once for each of the other side."""
+        return table.select(
+            own, *keys, F.col("vector").alias("v"), F.col("place").alias("p"),
+            F.pmod(F.xxhash64(own), F.lit(numbers[0])).cast("int").alias(names[0]),
+            F.explode(F.sequence(F.lit(0), F.lit(numbers[1] - 1))).alias(names[1]),
         )
 
     two = [F.col("ids")[0].alias("least"), F.coalesce(F.get("ids", F.lit(1)), F.col("ids")[0]).alias("second")]
-    posted = dealt(index, "node", two, F.slice("near", 1, POSTED), parts, groups, ("part", "group"))
-    queries = dealt(index.join(asking, "node"), "query", ["query_id"], F.col("near"), groups, parts, ("group", "part"))
-    found = posted.groupBy("pivot", "part", "group").cogroup(queries.groupBy("pivot", "part", "group")).applyInArrow(
-        _search(size, count), "query long, node long, score double"
+    indexed = dealt(index, "node", two, ("part", "group"), (parts, groups))
+    queries = dealt(asking, "query", ["query_id"], ("group", "part"), (groups, parts))
+    found = indexed.groupBy("part", "group").cogroup(queries.groupBy("part", "group")).applyInArrow(
+        _search(size, count, compared), "query long, node long, score double"
     )
-    # A query's finds of all files without its own key: the best different vectors, then the
-    # best rows of these.
-    unique = found.groupBy("query", "node").agg(F.max("score").alias("score"))
-    with_ids = unique.join(index.select("node", "ids"), "node").join(asking.select("query", "query_id"), "query")
+    # A query's finds of all parts, none twice and none only its own: the best different
+    # vectors, then the best rows of these.
+    with_ids = found.join(index.select("node", "ids"), "node").join(asking.select("query", "query_id"), "query")
     others = with_ids.withColumn("ids", F.array_remove("ids", F.col("query_id")))
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0])
     nodes = others.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= count)

@@ -136,6 +136,37 @@ def test_recall(spark, part, monkeypatch):
     assert sum((q, v) in found for q, own in expected.items() for v, _ in own) >= 0.95 * len(rows)
 
 
+def test_recall_of_unequal_norms(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART", 500)
+    rng = np.random.default_rng(6)
+    unit = rng.normal(size=(3000, 32))
+    unit *= (rng.uniform(0.4, 1.6, 3000) / np.linalg.norm(unit, axis=1))[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(unit)]
+    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()}
+    expected = best(rows, 20)
+    assert len(found) == 20 * len(expected)
+    assert sum((q, v) in found for q, own in expected.items() for v, _ in own) >= 0.95 * len(found)
+
+
+def test_neighbours_of_two_lengths(spark):
+    rng = np.random.default_rng(7)
+    long, short = ([(i, rng.normal(size=size).tolist()) for i in range(first, first + 90)] for first, size in ((0, 6), (1000, 3)))
+    found: dict = {}
+    table = spark.createDataFrame(long + short, "vec_id long, embedding array<double>")
+    for r in sorted(neighbours.nearest(table, F.col("vec_id") % 20 == 0, 5).collect(), key=lambda r: (r.query_id, r["rank"])):
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert found == {q: [v for v, _ in own] for rows in (long, short) for q, own in best(rows, 5).items()}
+
+
+def test_rounded_places_give_the_footrule_of_steps():
+    rng = np.random.default_rng(8)
+    for pivots in (3, 17, 256):
+        place = np.stack([rng.permutation(pivots) for _ in range(20)]).astype(np.uint8)
+        steps = sum((place >= pivots * k / (neighbours.STEPS + 1)).astype(int) for k in range(1, neighbours.STEPS + 1))
+        rounded = neighbours._rounded(place)
+        assert np.array_equal(np.bitwise_count(rounded ^ rounded[0]).sum(1), np.abs(steps - steps[0]).sum(1))
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, name):
     frame = queries.QUERIES[name](spark, SF)
