@@ -27,7 +27,7 @@ POSTED, READ = 8, 48
 #: Vectors compared for a query: this many times the root of all vectors, and at least.
 COMPARED_ROOT, COMPARED_LEAST = 10, 256
 #: Vectors ranked by their places, for each that is compared.
-RANKED = 4
+RANKED = 2
 #: Vectors of a part of the index, and queries that meet a part at once.
 PART, QUERIES_AT_ONCE = 8192, 2048
 #: Bits of a rounded place.
