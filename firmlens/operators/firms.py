@@ -115,15 +115,15 @@ def panel_long(
 def collect_parts(rows: DataFrame, key: str, value: str, max_items: int = 100_000) -> DataFrame:
     """Sorted list of ``value`` per ``key``, in parts of about ``max_items``.
 
-    A key within the limit is one row, part 0. A larger one becomes several rows that
-    together hold every value, so no task ever builds an unbounded list.
+    A key within the limit is one row, part 0. A larger one, the null key too, becomes
+    several rows that together hold every value. Equal values of a key are in one part.
     """
     sizes = rows.groupBy(key).agg(F.count(value).alias("n"))
     parts = F.ceil(F.col("n") / max_items)
-    large = sizes.filter(F.col("n") > max_items).select(key, parts.alias("parts"))
+    large = sizes.filter(F.col("n") > max_items).select(F.col(key).alias("large_key"), parts.alias("parts"))
     part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(value), F.col("parts")))
     return (
-        rows.join(large, key, "left").withColumn("part", part.cast("long"))
+        rows.join(large, F.col(key).eqNullSafe(F.col("large_key")), "left").withColumn("part", part.cast("long"))
         .groupBy(key, "part").agg(F.sort_array(F.collect_list(value)).alias(value))
     )
 

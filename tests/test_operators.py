@@ -61,8 +61,10 @@ def test_panel_keeps_web_firms_only_and_null_rows(spark, hits):
 
 
 def test_collect_parts_keeps_everything(spark):
-    rows = made(spark, "id long, publication long", *[(1, i) for i in range(500)], (2, 7))
+    rows = made(spark, "id long, publication long", *[(k, i) for k in (1, None) for i in range(500)], (2, 7))
     parts = fo.collect_parts(rows, "id", "publication", 100).collect()
+    assert sorted(v for r in parts if r.id is None for v in r.publication) == list(range(500))
+    assert sum(r.id is None for r in parts) == 5
     assert sorted(v for r in parts if r.id == 1 for v in r.publication) == list(range(500))
     assert sum(r.id == 1 for r in parts) == 5
     assert [(r.part, r.publication) for r in parts if r.id == 2] == [(0, [7])]
