@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from firmlens.llm.pretokens import Remembered, classes_without, grouped, looked_up_parts
+from firmlens.llm.pretokens import Remembered, classes_without, grouped, looked_up_bytes, looked_up_parts
 from firmlens.llm.token_counts import unknown_to
 from firmlens.llm.storage import stored
 
@@ -27,6 +27,8 @@ NEARLY_FULL = 8
 TASK_ITEMS = 100_000
 #: Partitions of one round whose open sequences meet in one partition of the next.
 FAN_IN = 8
+#: Words that the library encodes in one call.
+TOGETHER = 16_384
 #: A round that leaves more than this share of the items open is the last.
 STALLED = 0.9
 
@@ -50,15 +52,16 @@ class WordIds:
         self.special_id = next(iter(special), None)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # The fast call leaves out the places in the text, which nobody asks for.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def __call__(self, words: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(words)
         blank = [i for i, w in enumerate(words) if w[0] == " " and not w.isspace()]
         plain = [i for i, w in enumerate(words) if not w[0].isspace()]
         for chosen, mark in ((blank, ""), (plain, "\n")):
-            for first in range(0, len(chosen), 4096):
-                self._together(words, chosen[first : first + 4096], mark, out)
+            for first in range(0, len(chosen), TOGETHER):
+                self._together(words, chosen[first : first + TOGETHER], mark, out)
         for i in set(range(len(words))).difference(blank, plain):
             out[i] = self.encode(words[i]).tobytes()
         return out
@@ -87,8 +90,8 @@ def document_ids(texts: list[str], path: str, unknown: bytes) -> Iterator[bytes]
     remembered, ids = encoder(path, unknown)
     between = np.array([ids.special_id or 0], "<u4").tobytes()
     for group in grouped(texts):
-        for parts in looked_up_parts(group, remembered, ids.special):
-            yield between.join(b"".join(part) for part in parts)
+        for parts in looked_up_parts(group, remembered, ids.special, looked_up_bytes):
+            yield between.join(parts)
 
 
 PIECE = pa.schema([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])

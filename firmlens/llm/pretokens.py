@@ -11,6 +11,7 @@ from functools import cache
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 Continues = Callable[[str, str], np.ndarray]
@@ -83,21 +84,45 @@ def starts(code: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
-def pretokens(texts: list[str], classes: np.ndarray | None = None) -> tuple[list[str], np.ndarray]:
-    """The pre-tokens of all texts in one list, and for each text the place of its first
-    one, with the number of all at the end."""
+def _begins(texts: list[str], classes: np.ndarray | None) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts with a mark between them, its code points, the places where pre-tokens begin,
+    which of these are no marks, and the places of the marks."""
     joined = "\0".join(texts)
     code = np.frombuffer(joined.encode("utf-32-le"), "<u4").copy()
     marks = np.cumsum([len(text) + 1 for text in texts])[:-1] - 1
     code[marks] = BETWEEN
     begin = starts(code, char_classes() if classes is None else classes)
+    return joined, code, begin, code[begin] != BETWEEN, marks
+
+
+def pretokens(texts: list[str], classes: np.ndarray | None = None) -> tuple[list[str], np.ndarray]:
+    """The pre-tokens of all texts in one list, and for each text the place of its first
+    one, with the number of all at the end."""
+    joined, code, begin, own, marks = _begins(texts, classes)
     end = np.append(begin[1:], len(code))
-    own = code[begin] != BETWEEN
     begin, end = begin[own], end[own]
     first = np.concatenate([[0], np.searchsorted(begin, marks), [len(begin)]])
     return [joined[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], first
 
 
+def different_pretokens(texts: list[str], classes: np.ndarray | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different pre-tokens of all texts, the index of every pre-token among them, and for
+    each text the place of its first one, with the number of all at the end."""
+    joined, code, begin, own, marks = _begins(texts, classes)
+    data = joined.encode()
+    at = np.append(begin, len(code))
+    if len(data) > len(code):
+        width = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
+        width[marks] = 1
+        at = np.append(0, np.cumsum(width))[at]
+    found = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
+    if len(marks):
+        found, begin = found.filter(pa.array(own)), begin[own]
+    first = np.concatenate([[0], np.searchsorted(begin, marks), [len(begin)]])
+    coded = found.dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), first
+
+
 class Remembered:
     """Results of a function of single pre-tokens.
 
@@ -140,18 +165,30 @@ def grouped(texts: Iterable[str], most: int = GROUP_CHARS) -> Iterator[list[str]
 
 def looked_up(texts: list[str], remembered: Remembered) -> Iterator[list[Any]]:
     """For each text the results of its pre-tokens."""
-    words, first = pretokens(texts, remembered.classes)
-    found = remembered(words)
+    words, place, first = different_pretokens(texts, remembered.classes)
+    found = list(map(remembered(words).__getitem__, place.tolist()))
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         yield found[a:b]
 
 
-def looked_up_parts(texts: list[str], remembered: Remembered, special: str | None) -> Iterator[list[list[Any]]]:
-    """For each text the results in each of the parts that the ``special`` string separates."""
+def looked_up_bytes(texts: list[str], remembered: Remembered) -> Iterator[bytes]:
+    """For each text the results of its pre-tokens, which are bytes, after each other."""
+    words, place, first = different_pretokens(texts, remembered.classes)
+    found = pa.array(remembered(words), pa.large_binary()).take(pa.array(place))
+    _, offsets, data = found.buffers()
+    ends = np.frombuffer(offsets, np.int64)[found.offset : found.offset + len(found) + 1][first].tolist() if len(found) else [0] * len(first)
+    for a, b in zip(ends, ends[1:], strict=False):
+        yield data[a:b].to_pybytes() if b > a else b""
+
+
+def looked_up_parts(
+    texts: list[str], remembered: Remembered, special: str | None, look: Callable[[list[str], Remembered], Iterator[Any]] = looked_up
+) -> Iterator[list[Any]]:
+    """For each text what ``look`` gives for each of the parts that the ``special`` string separates."""
     if special is None or not any(special in text for text in texts):
-        yield from ([own] for own in looked_up(texts, remembered))
+        yield from ([own] for own in look(texts, remembered))
         return
     parts = [text.split(special) for text in texts]
-    found = looked_up([part for own in parts for part in own], remembered)
+    found = look([part for own in parts for part in own], remembered)
     for own in parts:
         yield [next(found) for _ in own]

@@ -41,6 +41,30 @@ def test_pretokens(texts):
     assert [words[a:b] for a, b in zip(first, first[1:], strict=False)] == [SPLIT.findall(t) for t in texts]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(SOME | st.text(max_size=20), min_size=1, max_size=4))
+def test_different_pretokens(texts):
+    words, place, first = pretokens.different_pretokens(texts)
+    assert len(set(words)) == len(words) and set(place.tolist()) == set(range(len(words)))
+    expected = [SPLIT.findall(t) for t in texts]
+    assert [[words[i] for i in place[a:b]] for a, b in zip(first, first[1:], strict=False)] == expected
+    table = pretokens.Remembered(lambda own: [w.encode() for w in own])
+    assert list(pretokens.looked_up_bytes(texts, table)) == [t.encode() for t in texts]
+
+
+def test_a_word_is_looked_up_once_for_a_group_of_texts():
+    asked = []
+
+    class Table(pretokens.Remembered):
+        def __call__(self, words):
+            asked.extend(words)
+            return super().__call__(words)
+
+    table = Table(lambda words: [len(w) for w in words])
+    assert list(pretokens.looked_up(["one one one", "one two" * 50], table)) == [[3, 4, 4], [3, *[7] * 49, 4]]
+    assert len(asked) == len(set(asked)) == 4
+
+
 def test_every_character_is_split_as_the_library_does(library):
     classes = pretokens.classes_without(token_counts.unknown_to(JSON))
     chars = [chr(i) for i in [*range(1, 0xD800, 5), *range(0xE000, 0x33000, 11), 0x3AAAA, 0x10FFFF]]
