@@ -14,11 +14,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from firmlens.functions.joins import broadcast_if_small
-from firmlens.operators.text import BROADCAST_WORDS, fixed_windows
+from firmlens.operators.text import BROADCAST_WORDS, fixed_windows, ids_of_words
 from firmlens.sources.files import stored
 
 # Fixed value: the pieces of tokenizers that drop white space and lower-case their input.
@@ -38,9 +39,17 @@ def different_pieces(pages: DataFrame, text: str = "text") -> DataFrame:
     return pages.select(F.explode(F.array_distinct(pieces(text))).alias("piece")).distinct()
 
 
+def counted_pieces(pages: DataFrame, text: str = "text") -> DataFrame:
+    """``(piece, n)``: each once, with the number of texts that have it."""
+    return pages.select(F.explode(F.array_distinct(pieces(text))).alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
+
+
 def piece_ids(found: DataFrame, tokenizer: str) -> DataFrame:
-    """``(piece, ids)`` for a table of pieces. ``tokenizer`` is the path of a vocabulary file,
-    read by Spark and sent to the tasks; special strings count as ordinary text."""
+    """``(piece, ids)`` for a table of pieces, with its other columns behind. ``tokenizer`` is the
+    path of a vocabulary file, read by Spark and sent to the tasks; special strings count as
+    ordinary text."""
+    found = found.select("piece", *[c for c in found.columns if c != "piece"])
+    others = found.columns[1:]
     spec = found.sparkSession.read.text(tokenizer, wholetext=True).first()[0]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,11 +57,12 @@ def piece_ids(found: DataFrame, tokenizer: str) -> DataFrame:
         own.encode_special_tokens = True
         for batch in batches:
             for begin in range(0, batch.num_rows, TOGETHER):
-                part = batch.column(0).slice(begin, TOGETHER)
+                part, *more = batch.slice(begin, TOGETHER).columns
                 ids = [e.ids for e in own.encode_batch(part.to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.list_(pa.int32()))], ["piece", "ids"])
+                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.list_(pa.int32())), *more], ["piece", "ids", *others])
 
-    return found.select("piece").mapInArrow(work, "piece string, ids array<int>")
+    kinds = "".join(f", `{c}` {found.schema[c].dataType.simpleString()}" for c in others)
+    return found.mapInArrow(work, "piece string, ids array<int>" + kinds)
 
 
 def _lookup(table: DataFrame) -> Callable[[Column], Column]:
@@ -72,14 +82,13 @@ def _lookup(table: DataFrame) -> Callable[[Column], Column]:
     return found.asNondeterministic()
 
 
-def _joined(pages: DataFrame, table: DataFrame, key: str, text: str) -> DataFrame:
-    row = F.monotonically_increasing_id().alias("__row")
-    numbered = pages.select(row, key, pieces(text).alias("__pieces"))
-    placed = numbered.select("__row", key, F.posexplode_outer("__pieces").alias("__place", "piece"))
-    known = placed.join(table, "piece", "left")
-    own = F.when(F.col("ids").isNotNull(), F.struct("__place", "ids"))
-    lists = known.groupBy("__row", key).agg(F.sort_array(F.collect_list(own)).alias("__found"))
-    return lists.select(key, F.flatten(F.col("__found.ids")).alias("__ids"))
+def _frequent(table: DataFrame, most: int) -> DataFrame:
+    """The rows of ``table`` with the highest ``n``, at most ``most``; of equal ones all or none."""
+    # A row for each different number: as many as the root of all occurrences, at most.
+    sizes = table.groupBy("n").agg(F.count("*").alias("rows"))
+    total = sizes.select("n", F.sum("rows").over(W.orderBy(F.desc("n"))).alias("total"))
+    least = total.filter(F.col("total") <= most).agg(F.min("n")).first()[0]
+    return table.filter(F.col("n") >= least if least is not None else F.lit(False))
 
 
 def subword_ids(
@@ -89,14 +98,16 @@ def subword_ids(
 
     They are those of the tokenizer for the whole text if that is in Unicode's composed form.
     A null or empty text has none. Different pieces are written with their ids; up to
-    ``broadcast_pieces`` of them go to the tasks, and no text is shuffled. More are joined
-    to the pieces of the texts; both give the same rows.
+    ``broadcast_pieces`` of them go to the tasks, and no text is shuffled. Of more pieces the
+    most frequent go there, and the others are joined; both give the same rows.
     """
-    table = stored(piece_ids(different_pieces(pages, text), tokenizer), "pieces")
-    known, small = broadcast_if_small(table, broadcast_pieces)
+    table = stored(piece_ids(counted_pieces(pages, text), tokenizer), "pieces")
+    known, small = broadcast_if_small(table.select("piece", "ids"), broadcast_pieces)
     if small:
         return pages.select(key, _lookup(known)(pieces(text)).alias("__ids"))
-    return _joined(pages, known, key, text)
+    named = table.withColumnRenamed("piece", "word")
+    frequent = _frequent(named, broadcast_pieces).select("word", "ids")
+    return ids_of_words(pages.select(key, pieces(text).alias("__words")), named.select("word", "ids"), frequent, key, [])
 
 
 def subword_encode(

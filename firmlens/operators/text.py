@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,14 +125,16 @@ def token_encode(
 
     Words outside the vocabulary share one id; a page without words has one window of
     padding. A vocabulary of up to ``broadcast_words`` words goes to the tasks, and no text
-    is shuffled; the words of the texts are joined to a larger one.
+    is shuffled. Of a larger one those with the smallest ids do, and the other words of the
+    texts are joined to it.
     """
     known, small = broadcast_if_small(vocab.select("word", "token"), broadcast_words)
+    own = words(F.coalesce(F.col(text), F.lit("")))
     if small:
-        ids = pages.select(key, _token_ids(known)(words(F.coalesce(F.col(text), F.lit("")))).alias("__ids"))
-    else:
-        ids = _joined_ids(pages, known, key, text)
-    return fixed_windows(ids, key, length)
+        return fixed_windows(pages.select(key, _token_ids(known)(own).alias("__ids")), key, length)
+    table = known.select("word", F.array("token").alias("ids"))
+    frequent = table.filter(known["token"] < FIRST_ID + broadcast_words).limit(broadcast_words)
+    return fixed_windows(ids_of_words(pages.select(key, own.alias("__words")), table, frequent, key, [UNKNOWN_ID]), key, length)
 
 
 def fixed_windows(
@@ -170,12 +172,69 @@ def _token_ids(vocab: DataFrame) -> Callable[[Column], Column]:
     return ids.asNondeterministic()
 
 
-def _joined_ids(pages: DataFrame, vocab: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, __ids)`` by a join of every word of the texts."""
-    row = F.monotonically_increasing_id().alias("__row")
-    found = pages.select(row, key, words(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
-    placed = found.select("__row", key, F.posexplode_outer("__words").alias("pos", "word"))
-    known = placed.join(vocab, "word", "left")
-    token = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("token", F.lit(UNKNOWN_ID)).alias("token")))
-    ids = known.groupBy("__row", key).agg(F.sort_array(F.collect_list(token)).alias("__ids"))
-    return ids.select(key, F.col("__ids.token").alias("__ids"))
+def ids_of_words(texts: DataFrame, table: DataFrame, frequent: DataFrame, key: str, unknown: list[int]) -> DataFrame:
+    """``(key, __ids)`` of ``texts(key, __words)`` by a table ``(word, ids)`` of any size, a row for
+    each text; a word outside the table has the ids ``unknown``.
+
+    ``frequent`` are rows of the table that go to the tasks; which ones they are has no
+    influence on the result. What the tasks don't find is joined, each different word of a
+    text once, and put in the place kept for it: a negative number among the text's ids.
+    """
+    rows = sorted(map(tuple, frequent.collect()))
+    listed, lists = pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, ends = batch.column(1).flatten(), _ends(batch.column(1))
+            place = pc.index_in(flat, value_set=listed)
+            missing = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+            coded = flat.take(pa.array(missing)).dictionary_encode()
+            row, many = np.searchsorted(ends, missing, "right") - 1, max(1, len(coded.dictionary))
+            pairs, at = np.unique(row * many + coded.indices.to_numpy(), return_inverse=True)
+            first = np.searchsorted(pairs, np.arange(len(ends)) * many)
+            index = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            index[missing] = len(lists) + np.arange(len(missing))
+            known = _taken([lists, _singles(first[row] - at - 1)], index, ends)
+            rare = pa.ListArray.from_arrays(pa.array(first, pa.int32()), coded.dictionary.take(pa.array(pairs % many)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), known, rare], [key, "known", "rare"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value, ends = batch.column(1).flatten().to_numpy(zero_copy_only=False), _ends(batch.column(1))
+            missing = np.flatnonzero(value < 0)
+            found, limits = batch.column(2).flatten(), _ends(batch.column(2))
+            span = 1 + int(max(found.field("place").to_numpy().max(initial=0), -value.min(initial=0)))
+            have = np.repeat(np.arange(batch.num_rows), np.diff(limits)) * span + found.field("place").to_numpy()
+            wanted = (np.searchsorted(ends, missing, "right") - 1) * span - value[missing] - 1
+            at = np.searchsorted(have, wanted)
+            there = np.append(have, -1)[at] == wanted
+            index = np.arange(len(value))
+            index[missing] = len(value) + np.where(there, at, len(have))
+            parts = [_singles(value), found.field("ids"), pa.array([unknown], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _taken(parts, index, ends)], [key, "__ids"])
+
+    kind = texts.schema[key].dataType.simpleString()
+    looked = texts.select(key, "__words").mapInArrow(look, f"`{key}` {kind}, known array<int>, rare array<string>")
+    # Written once, because the numbers of the rows depend on the partitions.
+    rows = stored(looked.withColumn("__row", F.monotonically_increasing_id()), "rare-words")
+    wanted = rows.select("__row", F.posexplode("rare").alias("place", "word"))
+    met = wanted.join(table, "word").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("found"))
+    none = F.array().cast("array<struct<place:int,ids:array<int>>>")
+    some = rows.filter(F.size("rare") > 0).join(met, "__row", "left").select(key, "known", F.coalesce("found", none).alias("found"))
+    filled = some.mapInArrow(fill, f"`{key}` {kind}, __ids array<int>")
+    return rows.filter(F.size("rare") == 0).select(key, F.col("known").alias("__ids")).unionByName(filled)
+
+
+def _ends(lists: pa.Array) -> np.ndarray:
+    """Where each list begins among all entries, and where the last one ends."""
+    return np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+
+
+def _singles(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1), pa.int32()), pa.array(values, pa.int32()))
+
+
+def _taken(parts: list[pa.Array], index: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The lists at ``index`` in the parts behind each other, one list for each range of ``ends``."""
+    own = pa.concat_arrays([part.cast(pa.list_(pa.int32())) for part in parts]).take(pa.array(index))
+    return pa.ListArray.from_arrays(pa.array(_ends(own)[ends], pa.int32()), own.flatten())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from firmlens import sources as src
 from firmlens.functions import sets
 from firmlens.functions import text as tx
+from firmlens.sources.files import stored
 from firmlens.operators import (
     agreement as ag, crawl, distribution as di, firms as fo, labelling as lb, links, regional as rg,
     sampling, text as to, vectors as ve, vocabulary as vo,
@@ -281,6 +282,17 @@ def test_token_encode(spark):
         (4, 0, [0, 0, 0], [0, 0, 0])]
 
 
+@pytest.mark.parametrize("most", [0, 1, 3])
+def test_frequent_words_are_not_joined(spark, monkeypatch, most):
+    written = {}
+    monkeypatch.setattr(to, "stored", lambda table, name: written.setdefault(name, stored(table, name)))
+    pages = made(spark, "url long, text string", (1, "a a a b a z c a"), (2, ""), (1, "a a a b a z c a"), (None, None), (4, "e z e a b b"), (5, "a a"))
+    vocab = made(spark, "word string, token int", ("a", 2), ("b", 3), ("c", 4), ("e", 5), ("f", 6))
+    assert found(to.token_encode(pages, vocab, 8, broadcast_words=most)) == found(to.token_encode(pages, vocab, 8))
+    assert {w for r in written["rare-words"].collect() for w in r.rare} == {*"abce"[most:], "z"}
+    assert max(len(r.rare) for r in written["rare-words"].collect()) <= 4
+
+
 def test_windows_hold_every_word(spark):
     words = [f"w{i * i % 37}" for i in range(500)]
     pages = made(spark, "url long, text string", (1, " ".join(words)), (2, "w1 w2"))

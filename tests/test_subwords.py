@@ -9,7 +9,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from firmlens.operators import subwords
+from firmlens.operators import text as to
 from firmlens.plans import QUERIES
+from firmlens.sources.files import stored
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
@@ -37,6 +39,21 @@ def test_ids_are_the_library_s(spark, most):
     assert sorted(map(repr, found)) == sorted(repr((k, tuple(expected(t)))) for k, t in texts + docs)
 
 
+@pytest.mark.parametrize("most", [40, 300])
+def test_frequent_pieces_are_not_joined(spark, monkeypatch, most):
+    written = {}
+    monkeypatch.setattr(to, "stored", lambda table, name: written.setdefault(name, stored(table, name)))
+    docs = [(i, t) for i, t in enumerate(ODD)] + [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    pages = spark.createDataFrame(docs, "url long, text string").repartition(3)
+    found = [(r.url, tuple(r["__ids"])) for r in subwords.subword_ids(pages, PATH, broadcast_pieces=most).collect()]
+    assert sorted(found) == sorted((k, tuple(expected(t))) for k, t in docs)
+    counts = sorted((r.n, r.piece) for r in subwords.counted_pieces(pages).collect())
+    joined = {w for r in written["rare-words"].collect() for w in r.rare}
+    assert len(counts) > most and 0 < len(counts) - len(joined) <= most
+    rarest = max(n for n, p in counts if p in joined)
+    assert joined == {p for n, p in counts if n <= rarest}
+
+
 def test_windows(spark):
     pages = spark.createDataFrame([(1, "one two three four five"), (2, None)], "url long, text string")
     ids = expected("one two three four five")
