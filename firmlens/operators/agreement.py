@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from firmlens.functions.sets import jaccard, n_common, n_items, same_set, share
 from firmlens.operators.firms import firm_flags, unique_keywords
+from firmlens.sources.files import stored
 
 
 def label_flags(a: DataFrame, b: DataFrame, key: str = "id") -> DataFrame:
@@ -139,10 +140,16 @@ def word_frequencies(hits: DataFrame, lookup: DataFrame, page: str = "page") ->
     """Pages with a keyword over all rows of the source, for both sources, with the
     categories of the keyword."""
     web, pat = F.col("source") == "web", F.col("source") == "pat"
-    rows = hits.agg(F.struct(F.count_if(web).alias("web"), F.count_if(pat).alias("pat"))).scalar()
-    pages = hits.select("keyword", "source", page).distinct().groupBy("keyword").agg(
-        F.count_if(web).alias("n_web"), F.count_if(pat).alias("n_pat")
+    # A number of its own keeps adaptive execution from joining the parts to large ones, whose pages make large tables.
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = hits.select("keyword", "source", page).repartition(parts, "keyword", page)
+    pages = dealt.groupBy("keyword", page).agg(F.count_if(web).alias("web"), F.count_if(pat).alias("pat"))
+    counted = pages.groupBy("keyword").agg(
+        F.count_if(F.col("web") > 0).alias("n_web"), F.count_if(F.col("pat") > 0).alias("n_pat"),
+        F.sum("web").alias("web"), F.sum("pat").alias("pat"),
     )
+    pages = stored(counted, "word-pages")  # a row for each keyword, from one pass; the totals are its sums
+    rows = pages.agg(F.struct(F.sum("web").alias("web"), F.sum("pat").alias("pat"))).scalar()
     frequencies = pages.select(
         "keyword",
         F.coalesce(share(F.col("n_web"), rows.getField("web")), F.lit(0.0)).alias("freq_web"),

@@ -172,3 +172,28 @@ def test_idf_of_a_hot_word(spark):
     docs = spark.range(200).select(F.when(F.col("id") % 3 == 0, "hot hot hot").otherwise(F.concat(F.lit("w"), F.col("id") % 5)).alias("text"))
     got = {r.word: r.df for r in vo.idf_words(docs).collect()}
     assert got["hot"] == 67 and sum(got.values()) == 200
+
+
+def test_words_of_sources_are_counted_in_one_pass_over_small_parts(spark, monkeypatch):
+    """Input is read once, and adaptive execution does not put its pages together to one large part."""
+    read, made = spark.sparkContext.accumulator(0), []
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    n = 3000
+    i = F.col("id")
+    rows = spark.range(n).select(F.when(i % 3 == 0, "k0").otherwise(F.concat(F.lit("k"), i % 31)).alias("keyword"),
+                                 F.when(i % 2 == 0, "web").otherwise("pat").alias("source"), (i % 500).alias("page"))
+    expected = {}
+    for r in rows.collect():
+        expected.setdefault(r.keyword, {"web": set(), "pat": set()})[r.source].add(r.page)
+    lookup = rows.select("keyword", F.lit("a").alias("category")).distinct()
+    store = getattr(ag, "stored", None)
+    monkeypatch.setattr(ag, "stored", lambda t, name: made.append(t._jdf.queryExecution().executedPlan().toString()) or store(t, name), raising=False)
+    got = ag.word_frequencies(rows.mapInArrow(counted, rows.schema), lookup).collect()
+    assert {r.keyword: (round(r.freq_web * n / 2), round(r.freq_pat * n / 2)) for r in got} == {k: (len(v["web"]), len(v["pat"])) for k, v in expected.items()}
+    assert read.value == n
+    assert "REPARTITION_BY_NUM" in "".join(made)
