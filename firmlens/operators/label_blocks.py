@@ -13,14 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.operators.vectors import UNKNOWN, unit_rows
-from firmlens.sources.files import stored
+from firmlens.sources.files import spread, stored
 
 #: Labels in a block, rows in a block, and pivots that labels are grouped around, at most.
 BLOCK_LABELS, BLOCK_ROWS, PIVOTS = 1_024, 1_024, 256
+#: Blocks of labels that each task goes through for whole lists, and rows whose lists leave it at once, at most.
+TASK_BLOCKS, LIST_ROWS = 1_024, 128
 #: Room for the last bits of a bound.
 SLACK = 1e-9
 
@@ -97,6 +100,26 @@ def _row_blocks(rows: DataFrame, key: str, vector: str, kind: str, block: int) -
     return known.mapInArrow(pack, f"keys array<{kind}>, rows binary")
 
 
+def _reached(batch: pa.RecordBatch, i: int, threshold: float) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The keys and names of the blocks that meet in row ``i``, and by rows the places of the pairs
+    at or above the threshold, with their cosines."""
+    keys, names = batch.column(0)[i].values, batch.column(2)[i].values
+    own = np.frombuffer(batch.column(1)[i].as_buffer(), "f8").reshape(len(keys), -1)
+    labels = np.frombuffer(batch.column(3)[i].as_buffer(), "f8").reshape(len(names), -1)
+    if own.shape[1] != labels.shape[1]:
+        raise ValueError(f"vectors must have {labels.shape[1]} entries")
+    centre, width = np.frombuffer(batch.column(4)[i].as_buffer(), "f8"), batch.column(5)[i].as_py()
+    angle = np.arccos(np.clip(own @ centre, -1, 1)) - np.arccos(np.clip(width, -1, 1))
+    near = np.flatnonzero(np.cos(np.maximum(angle, 0)) >= threshold - SLACK)
+    if threshold > 0:  # a zero vector is at a right angle to all
+        near = near[own[near].any(1)]
+    else:
+        near = np.union1d(near, np.flatnonzero(~own.any(1)))
+    cosine = own[near] @ labels.T
+    row, label = np.nonzero(cosine >= threshold)
+    return keys, names, near[row], label, cosine[row, label]
+
+
 def similar_labels(
     rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str = "embedding", block: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -106,28 +129,20 @@ def similar_labels(
     labels, as each row needs each label looked at; rows beyond a block's bound are left out
     of the product. Rows without a vector give nothing; a zero vector has the cosine 0.
     """
+    return _pairs(rows, stored(blocks, "label-blocks"), threshold, key, vector, block)
+
+
+def _pairs(rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str, block: int = BLOCK_ROWS) -> DataFrame:
+    """:func:`similar_labels` with blocks that are written already."""
     kind = rows.schema[key].dataType.simpleString()
-    met = _row_blocks(rows, key, vector, kind, block).crossJoin(stored(blocks, "label-blocks"))
+    met = _row_blocks(rows, key, vector, kind, block).crossJoin(blocks)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, names = batch.column(0)[i].values, batch.column(2)[i].values
-                own = np.frombuffer(batch.column(1)[i].as_buffer(), "f8").reshape(len(keys), -1)
-                labels = np.frombuffer(batch.column(3)[i].as_buffer(), "f8").reshape(len(names), -1)
-                if own.shape[1] != labels.shape[1]:
-                    raise ValueError(f"vectors must have {labels.shape[1]} entries")
-                centre, width = np.frombuffer(batch.column(4)[i].as_buffer(), "f8"), batch.column(5)[i].as_py()
-                angle = np.arccos(np.clip(own @ centre, -1, 1)) - np.arccos(np.clip(width, -1, 1))
-                near = np.flatnonzero(np.cos(np.maximum(angle, 0)) >= threshold - SLACK)
-                if threshold > 0:  # a zero vector is at a right angle to all
-                    near = near[own[near].any(1)]
-                else:
-                    near = np.union1d(near, np.flatnonzero(~own.any(1)))
-                cosine = own[near] @ labels.T
-                row, label = np.nonzero(cosine >= threshold)
+                keys, names, row, label, cosine = _reached(batch, i, threshold)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(near[row])), names.take(pa.array(label)), pa.array(cosine[row, label])], [key, "category", "similarity"]
+                    [keys.take(pa.array(row)), names.take(pa.array(label)), pa.array(cosine)], [key, "category", "similarity"]
                 )
 
     return met.select("keys", "rows", "names", "vectors", "centre", "width").mapInArrow(
@@ -135,14 +150,82 @@ def similar_labels(
     )
 
 
+def _whole_lists(rows: DataFrame, blocks: DataFrame, n_blocks: int, threshold: float, key: str, vector: str) -> DataFrame:
+    """``(key, predicted)`` for each row with a vector: all its labels, sorted and without repeats.
+
+    All labels are one side of the product in every task, block after block, so a row's list is
+    made where its block is and nothing is shuffled. A task holds the label blocks, and the
+    places of one block of rows; lists leave it in slices.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+    own = _row_blocks(rows, key, vector, kind, BLOCK_ROWS).withColumn("own", F.monotonically_increasing_id())
+    labels = blocks.coalesce(1).withColumn("part", F.monotonically_increasing_id())
+    met = own.crossJoin(labels.hint("shuffle_replicate_nl"))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, tuple[pa.Array, list]] = {}
+        order, place, different = None, np.zeros(0, "i8"), pa.array([], pa.string())
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, names, row, label, _ = _reached(batch, i, threshold)
+                block = batch.column(6)[i].as_py()
+                found = waiting.setdefault(block, (pa.concat_arrays([keys]), []))[1]
+                found.append((batch.column(7)[i].as_py(), names, row.astype("i4"), label.astype("i4")))
+                if len(found) < n_blocks:
+                    continue
+                keys, found = waiting.pop(block)
+                if order != (seen := [f[0] for f in found]):  # labels come in the same order for all blocks of rows
+                    order, coded = seen, pa.concat_arrays([f[1] for f in found]).dictionary_encode()
+                    by_name = pc.sort_indices(coded.dictionary).to_numpy()
+                    different, rank = coded.dictionary.take(pa.array(by_name)), np.empty(len(by_name) + 1, "i8")
+                    rank[by_name], rank[-1] = np.arange(len(by_name)), -1
+                    place = rank[coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)]
+                starts = np.cumsum([0] + [len(f[1]) for f in found])
+                for begin in range(0, len(keys), LIST_ROWS):
+                    end, pairs = min(begin + LIST_ROWS, len(keys)), []
+                    for start, (_, _, row, label) in zip(starts, found, strict=False):
+                        of = slice(*np.searchsorted(row, [begin, end]))
+                        named = place[start + label[of]]
+                        pairs.append((row[of].astype("i8") * len(different) + named)[named >= 0])
+                    pairs = np.unique(np.concatenate(pairs))
+                    offsets = np.searchsorted(pairs, np.arange(begin, end + 1) * len(different))
+                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), different.take(pa.array(pairs % max(1, len(different)))))
+                    yield pa.RecordBatch.from_arrays([keys.slice(begin, end - begin), lists], [key, "predicted"])
+        if waiting:
+            raise RuntimeError("a block of rows has not met all labels")
+
+    columns = ["keys", "rows", "names", "vectors", "centre", "width", "own", "part"]
+    return met.select(*columns).mapInArrow(gather, f"`{key}` {kind}, predicted array<string>")
+
+
+def _gathered_lists(rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str) -> DataFrame:
+    """``(key, predicted)`` for each different key, its labels brought together by a shuffle."""
+    found = _pairs(rows, blocks, threshold, key, vector).select(key, "category")
+    both = found.unionByName(rows.select(key, F.lit(None).cast("string").alias("category")))
+    return both.groupBy(key).agg(F.sort_array(F.collect_set("category")).alias("predicted"))
+
+
 def predicted_labels(
     rows: DataFrame, blocks: DataFrame, key: str, vector: str = "embedding", threshold: float = 0.3
 ) -> DataFrame:
     """``(key, predicted)``: the sorted labels at or above the threshold for each different key,
-    ``["unknown"]`` for keys that have none."""
-    found = similar_labels(rows, blocks, threshold, key, vector).select(key, "category")
-    both = found.unionByName(rows.select(key, F.lit(None).cast("string").alias("category")))
-    labels = both.groupBy(key).agg(F.sort_array(F.collect_set("category")).alias("predicted"))
+    ``["unknown"]`` for keys that have none.
+
+    The lists of keys with one row are made without a shuffle, for up to ``TASK_BLOCKS`` blocks of
+    labels; keys with several rows, and all keys if there are more blocks, are gathered by one.
+    """
+    blocks = stored(blocks, "label-blocks")
+    n_blocks = blocks.count()
+    if 0 < n_blocks <= TASK_BLOCKS:
+        rows = spread(rows.select(key, vector))
+        several = stored(rows.groupBy(key).count().filter("count > 1").select(F.col(key).alias("__several")), "several")
+        again = F.col(key).eqNullSafe(F.col("__several"))
+        once = rows.join(several, again, "left_anti")
+        bare = once.filter(F.col(vector).isNull()).select(key, F.array().cast("array<string>").alias("predicted"))
+        repeated = _gathered_lists(rows.join(several, again, "left_semi"), blocks, threshold, key, vector)
+        labels = _whole_lists(once, blocks, n_blocks, threshold, key, vector).unionByName(bare).unionByName(repeated)
+    else:
+        labels = _gathered_lists(rows, blocks, threshold, key, vector)
     return labels.select(key, F.when(F.size("predicted") > 0, F.col("predicted")).otherwise(F.array(F.lit(UNKNOWN))).alias("predicted"))
 
 

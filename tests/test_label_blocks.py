@@ -75,3 +75,29 @@ def test_ties_nulls_and_empty_tables(spark):
     assert bl.similar_labels(pages, bl.label_blocks(table.limit(0)), 0.5, "id").count() == 0
     with pytest.raises(Exception, match="must have 2 entries"):
         bl.similar_labels(spark.createDataFrame([(1, [1.0])], pages.schema), blocks, 0.5, "id").collect()
+
+
+@pytest.mark.parametrize("most", [1024, 0])
+def test_lists_of_single_and_repeated_keys(spark, monkeypatch, most):
+    monkeypatch.setattr(bl, "TASK_BLOCKS", most)
+    monkeypatch.setattr(bl, "LIST_ROWS", 7)
+    rng = np.random.default_rng(4)
+    labels, rows = rng.normal(size=(400, 5)), np.concatenate([rng.normal(size=(90, 5)), np.zeros((1, 5))])
+    names = [None if i == 3 else f"l{i % 300}" for i in range(400)]  # repeated names, and none
+    table = spark.createDataFrame([(n, v.tolist()) for n, v in zip(names, labels, strict=True)], SCHEMA)
+    keys = [None if i in (5, 6) else i // 2 if i < 20 else i for i in range(91)]
+    given = [(k, v.tolist()) for k, v in zip(keys, rows, strict=True)] + [(900, None), (20, None)]
+    pages = spark.createDataFrame(given, "id long, embedding array<double>")
+    expected = {k: set() for k, _ in given}
+    for k, c in zip(keys, unit(rows) @ unit(labels).T, strict=True):
+        expected[k] |= {names[j] for j in np.flatnonzero(c >= 0.6)} - {None}
+    got = bl.predicted_labels(pages, bl.label_blocks(table, block=30), "id", threshold=0.6).collect()
+    assert len(got) == len(expected)
+    assert {r.id: r.predicted for r in got} == {k: sorted(v) or ["unknown"] for k, v in expected.items()}
+
+
+def test_lists_of_single_keys_are_not_shuffled(spark):
+    rng = np.random.default_rng(5)
+    _, table, pages = tables(spark, rng.normal(size=(200, 4)), rng.normal(size=(40, 4)))
+    plan = bl.predicted_labels(pages, bl.label_blocks(table, block=30), "id", threshold=0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("LeftAnti") < plan.index("collect_set")  # only keys with several rows are gathered
