@@ -163,27 +163,33 @@ def _whole_lists(rows: DataFrame, blocks: DataFrame, n_blocks: int, threshold: f
     met = own.crossJoin(labels.hint("shuffle_replicate_nl"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Keys and names are copied, as a view would hold the whole batch that it came in.
         waiting: dict[int, tuple[pa.Array, list]] = {}
+        names_of: dict[int, pa.Array] = {}
         order, place, different = None, np.zeros(0, "i8"), pa.array([], pa.string())
         for batch in batches:
             for i in range(batch.num_rows):
                 keys, names, row, label, _ = _reached(batch, i, threshold)
-                block = batch.column(6)[i].as_py()
-                found = waiting.setdefault(block, (pa.concat_arrays([keys]), []))[1]
-                found.append((batch.column(7)[i].as_py(), names, row.astype("i4"), label.astype("i4")))
+                block, part = batch.column(6)[i].as_py(), batch.column(7)[i].as_py()
+                if part not in names_of:
+                    names_of[part] = names.take(pa.array(np.arange(len(names))))
+                if block not in waiting:
+                    waiting[block] = keys.take(pa.array(np.arange(len(keys)))), []
+                found = waiting[block][1]
+                found.append((part, row.astype("i4"), label.astype("i4")))
                 if len(found) < n_blocks:
                     continue
                 keys, found = waiting.pop(block)
                 if order != (seen := [f[0] for f in found]):  # labels come in the same order for all blocks of rows
-                    order, coded = seen, pa.concat_arrays([f[1] for f in found]).dictionary_encode()
+                    order, coded = seen, pa.concat_arrays([names_of[part] for part in seen]).dictionary_encode()
                     by_name = pc.sort_indices(coded.dictionary).to_numpy()
                     different, rank = coded.dictionary.take(pa.array(by_name)), np.empty(len(by_name) + 1, "i8")
                     rank[by_name], rank[-1] = np.arange(len(by_name)), -1
                     place = rank[coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)]
-                starts = np.cumsum([0] + [len(f[1]) for f in found])
+                starts = np.cumsum([0] + [len(names_of[part]) for part in seen])
                 for begin in range(0, len(keys), LIST_ROWS):
                     end, pairs = min(begin + LIST_ROWS, len(keys)), []
-                    for start, (_, _, row, label) in zip(starts, found, strict=False):
+                    for start, (_, row, label) in zip(starts, found, strict=False):
                         of = slice(*np.searchsorted(row, [begin, end]))
                         named = place[start + label[of]]
                         pairs.append((row[of].astype("i8") * len(different) + named)[named >= 0])
