@@ -4,12 +4,14 @@ Labels are grouped around pivots and packed in blocks, one row each: names, unit
 block's centre and the cosine of its widest label with it. Rows are packed in blocks too.
 A block of rows meets a block of labels in one matrix product, but only with the rows that
 can reach the wanted similarity: the angle to the centre less the block's width bounds it.
-What passes is small and is put together by an aggregate.
+For pairs, blocks of labels travel in bundles and rows in larger blocks, so that little is moved
+for each product. What passes is small and is put together by an aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,8 @@ from firmlens.sources.files import spread, stored
 
 #: Labels in a block, rows in a block, and pivots that labels are grouped around, at most.
 BLOCK_LABELS, BLOCK_ROWS, PIVOTS = 1_024, 1_024, 256
+#: Rows in a block and labels in a bundle of blocks where pairs are made, and pairs in one product, at most.
+PAIR_ROWS, BUNDLE_LABELS, PRODUCT_PAIRS = 4_096, 4_096, 1 << 20
 #: Blocks of labels that each task goes through for whole lists, and rows whose lists leave it at once, at most.
 TASK_BLOCKS, LIST_ROWS = 1_024, 128
 #: Room for the last bits of a bound.
@@ -100,52 +104,95 @@ def _row_blocks(rows: DataFrame, key: str, vector: str, kind: str, block: int) -
     return known.mapInArrow(pack, f"keys array<{kind}>, rows binary")
 
 
-def _reached(batch: pa.RecordBatch, i: int, threshold: float) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The keys and names of the blocks that meet in row ``i``, and by rows the places of the pairs
-    at or above the threshold, with their cosines."""
-    keys, names = batch.column(0)[i].values, batch.column(2)[i].values
-    own = np.frombuffer(batch.column(1)[i].as_buffer(), "f8").reshape(len(keys), -1)
-    labels = np.frombuffer(batch.column(3)[i].as_buffer(), "f8").reshape(len(names), -1)
+def _bundles(blocks: DataFrame) -> DataFrame:
+    """``(names, vectors, sizes, centres, widths)``: blocks put together up to ``BUNDLE_LABELS`` labels,
+    or a single larger block."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, begin = pc.list_value_length(batch.column(0)).to_numpy(), 0
+            while begin < len(sizes):
+                fit = int(np.searchsorted(np.cumsum(sizes[begin:]), BUNDLE_LABELS, "right"))
+                of = batch.slice(begin, max(1, fit))
+                names = of.column(0).flatten()
+                joined = [pa.array([b"".join(of.column(k).to_pylist())], pa.binary()) for k in (1, 2)]
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (names, pa.array(sizes[begin : begin + of.num_rows], pa.int32()), of.column(3))]
+                yield pa.RecordBatch.from_arrays([lists[0], joined[0], lists[1], joined[1], lists[2]], ["names", "vectors", "sizes", "centres", "widths"])
+                begin += of.num_rows
+
+    return blocks.mapInArrow(pack, "names array<string>, vectors binary, sizes array<int>, centres binary, widths array<double>")
+
+
+def _matrix(cell: pa.Scalar, rows: int) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), "f8").reshape(rows, -1)
+
+
+def _reached(own: np.ndarray, labels: np.ndarray, centre: np.ndarray, width: float, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By rows the places of the pairs of a block of rows and a block of labels at or above the
+    threshold, with their cosines."""
     if own.shape[1] != labels.shape[1]:
         raise ValueError(f"vectors must have {labels.shape[1]} entries")
-    centre, width = np.frombuffer(batch.column(4)[i].as_buffer(), "f8"), batch.column(5)[i].as_py()
     angle = np.arccos(np.clip(own @ centre, -1, 1)) - np.arccos(np.clip(width, -1, 1))
     near = np.flatnonzero(np.cos(np.maximum(angle, 0)) >= threshold - SLACK)
     if threshold > 0:  # a zero vector is at a right angle to all
         near = near[own[near].any(1)]
     else:
         near = np.union1d(near, np.flatnonzero(~own.any(1)))
-    cosine = own[near] @ labels.T
-    row, label = np.nonzero(cosine >= threshold)
-    return keys, names, near[row], label, cosine[row, label]
+    cosine = (own if len(near) == len(own) else own[near]) @ labels.T
+    place = np.flatnonzero(cosine >= threshold)
+    row, label = np.divmod(place, max(1, len(labels)))
+    return near[row], label, cosine.ravel()[place]
+
+
+def _half_up(values: np.ndarray, digits: int) -> np.ndarray:
+    """Cosines as Spark's ``round`` gives them: half up, by the digits that a double is written with."""
+    scale = 10.0**digits
+    whole = np.floor(np.abs(values) * scale + 0.5)
+    part = np.abs(values) * scale % 1
+    for i in np.flatnonzero(np.abs(part - 0.5) <= 1e-9 + 1e-15 * scale):  # near a half digits decide
+        whole[i] = int(Decimal(repr(abs(float(values[i])))).scaleb(digits).to_integral_value(ROUND_HALF_UP))
+    return np.copysign(whole / scale, values) + 0.0
 
 
 def similar_labels(
-    rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str = "embedding", block: int = BLOCK_ROWS
+    rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str = "embedding", block: int = PAIR_ROWS,
+    digits: int | None = None,
 ) -> DataFrame:
     """``(key, category, similarity)``: the labels with a cosine of ``threshold`` or more.
 
     ``blocks`` comes from :func:`label_blocks`. Every block of rows meets every block of
     labels, as each row needs each label looked at; rows beyond a block's bound are left out
     of the product. Rows without a vector give nothing; a zero vector has the cosine 0.
+    With ``digits``, what is returned is rounded, in whole batches, as ``round`` would.
     """
-    return _pairs(rows, stored(blocks, "label-blocks"), threshold, key, vector, block)
+    kind = rows.schema[key].dataType.simpleString()
+    # Both are written, as each part of one side meets all parts of the other.
+    own = stored(_row_blocks(spread(rows.select(key, vector)), key, vector, kind, block), "row-blocks")
+    return _pairs(own, stored(_bundles(blocks), "label-bundles"), threshold, key, kind, digits)
 
 
-def _pairs(rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str, block: int = BLOCK_ROWS) -> DataFrame:
-    """:func:`similar_labels` with blocks that are written already."""
-    kind = rows.schema[key].dataType.simpleString()
-    met = _row_blocks(rows, key, vector, kind, block).crossJoin(blocks)
+def _pairs(own_blocks: DataFrame, bundles: DataFrame, threshold: float, key: str, kind: str, digits: int | None = None) -> DataFrame:
+    """:func:`similar_labels` of blocks of rows and bundles of labels."""
+    met = own_blocks.crossJoin(bundles)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, names, row, label, cosine = _reached(batch, i, threshold)
-                yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(row)), names.take(pa.array(label)), pa.array(cosine)], [key, "category", "similarity"]
-                )
-
-    return met.select("keys", "rows", "names", "vectors", "centre", "width").mapInArrow(
+                keys, names, sizes, widths = (batch.column(k)[i].values for k in (0, 2, 4, 6))
+                own, labels, centres = _matrix(batch.column(1)[i], len(keys)), _matrix(batch.column(3)[i], len(names)), _matrix(batch.column(5)[i], len(sizes))
+                start = 0
+                for size, centre, width in zip(sizes.to_pylist(), centres, widths.to_pylist(), strict=True):
+                    step, named = max(1, PRODUCT_PAIRS // max(1, size)), names.slice(start, size)
+                    for begin in range(0, len(keys), step):
+                        row, label, cosine = _reached(own[begin : begin + step], labels[start : start + size], centre, width, threshold)
+                        if len(row):
+                            found = cosine if digits is None else _half_up(cosine, digits)
+                            yield pa.RecordBatch.from_arrays(
+                                [keys.take(pa.array(row + begin)), named.take(pa.array(label)), pa.array(found)], [key, "category", "similarity"]
+                            )
+                    start += size
+
+    return met.select("keys", "rows", "names", "vectors", "sizes", "centres", "widths").mapInArrow(
         multiply, f"`{key}` {kind}, category string, similarity double"
     )
 
@@ -169,7 +216,9 @@ def _whole_lists(rows: DataFrame, blocks: DataFrame, n_blocks: int, threshold: f
         order, place, different = None, np.zeros(0, "i8"), pa.array([], pa.string())
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, names, row, label, _ = _reached(batch, i, threshold)
+                keys, names = batch.column(0)[i].values, batch.column(2)[i].values
+                own, labels, centre = _matrix(batch.column(1)[i], len(keys)), _matrix(batch.column(3)[i], len(names)), _matrix(batch.column(4)[i], 1)[0]
+                row, label, _ = _reached(own, labels, centre, batch.column(5)[i].as_py(), threshold)
                 block, part = batch.column(6)[i].as_py(), batch.column(7)[i].as_py()
                 if part not in names_of:
                     names_of[part] = names.take(pa.array(np.arange(len(names))))
@@ -204,9 +253,10 @@ def _whole_lists(rows: DataFrame, blocks: DataFrame, n_blocks: int, threshold: f
     return met.select(*columns).mapInArrow(gather, f"`{key}` {kind}, predicted array<string>")
 
 
-def _gathered_lists(rows: DataFrame, blocks: DataFrame, threshold: float, key: str, vector: str) -> DataFrame:
+def _gathered_lists(rows: DataFrame, bundles: DataFrame, threshold: float, key: str, vector: str) -> DataFrame:
     """``(key, predicted)`` for each different key, its labels brought together by a shuffle."""
-    found = _pairs(rows, blocks, threshold, key, vector).select(key, "category")
+    kind = rows.schema[key].dataType.simpleString()
+    found = _pairs(_row_blocks(rows, key, vector, kind, BLOCK_ROWS), bundles, threshold, key, kind).select(key, "category")
     both = found.unionByName(rows.select(key, F.lit(None).cast("string").alias("category")))
     return both.groupBy(key).agg(F.sort_array(F.collect_set("category")).alias("predicted"))
 
@@ -228,10 +278,10 @@ def predicted_labels(
         again = F.col(key).eqNullSafe(F.col("__several"))
         once = rows.join(several, again, "left_anti")
         bare = once.filter(F.col(vector).isNull()).select(key, F.array().cast("array<string>").alias("predicted"))
-        repeated = _gathered_lists(rows.join(several, again, "left_semi"), blocks, threshold, key, vector)
+        repeated = _gathered_lists(rows.join(several, again, "left_semi"), _bundles(blocks), threshold, key, vector)
         labels = _whole_lists(once, blocks, n_blocks, threshold, key, vector).unionByName(bare).unionByName(repeated)
     else:
-        labels = _gathered_lists(rows, blocks, threshold, key, vector)
+        labels = _gathered_lists(rows, stored(_bundles(blocks), "label-bundles"), threshold, key, vector)
     return labels.select(key, F.when(F.size("predicted") > 0, F.col("predicted")).otherwise(F.array(F.lit(UNKNOWN))).alias("predicted"))
 
 

@@ -255,7 +255,7 @@ def own_blocks(spark, sf):
 
 @query("similar_labels", NEAR + " SELECT vec_id, category, round(similarity, 6) AS similarity FROM near")
 def similar_labels(spark, sf):
-    return rounded(bl.similar_labels(b.vectors(spark, sf), own_blocks(spark, sf), 0.25, "vec_id"))
+    return bl.similar_labels(b.vectors(spark, sf), own_blocks(spark, sf), 0.25, "vec_id", digits=6)
 
 
 @query("predicted_labels", NEAR + """

@@ -65,6 +65,43 @@ def test_far_blocks_are_left_out(spark):
     assert met < 0.2 * 40 * len(blocks)
 
 
+def test_blocks_travel_in_bundles(spark):
+    rng = np.random.default_rng(6)
+    _, table, _ = tables(spark, rng.normal(size=(3_000, 8)), np.zeros((0, 8)))
+    blocks = bl.label_blocks(table, block=40).coalesce(1)
+    bundles = bl._bundles(blocks).collect()
+    assert len(blocks.collect()) > 100 and len(bundles) == 1
+    assert sum(bundles[0].sizes) == len(bundles[0].names) == 3_000 and len(bundles[0].widths) == len(bundles[0].sizes)
+    largest = bl._bundles(bl.label_blocks(table, block=3_000).coalesce(1))
+    assert sum(len(b.names) for b in largest.collect()) == 3_000
+
+
+def test_small_bundles_and_products(spark, monkeypatch):
+    monkeypatch.setattr(bl, "BUNDLE_LABELS", 25)
+    monkeypatch.setattr(bl, "PRODUCT_PAIRS", 60)
+    rng = np.random.default_rng(7)
+    labels, rows = rng.normal(size=(130, 4)), rng.normal(size=(45, 4))
+    names, table, pages = tables(spark, labels, rows)
+    cosine = unit(rows) @ unit(labels).T
+    found = bl.similar_labels(pages, bl.label_blocks(table, block=9), 0.4, "id", block=20).collect()
+    assert len(found) == (cosine >= 0.4).sum()
+    assert {(r.id, r.category) for r in found} == {(i, names[j]) for i, j in zip(*np.nonzero(cosine >= 0.4), strict=True)}
+
+
+def test_digits_round_as_spark_does(spark):
+    rng = np.random.default_rng(8)
+    halves = (rng.integers(-(10**6), 10**6, 3_000) + 0.5) / 10**6  # six digits and a half
+    values = np.concatenate([halves, np.nextafter(halves, 1), np.nextafter(halves, -1), rng.uniform(-1, 1, 3_000), [0.0, -0.0, -4e-7, 5e-7, -5e-7, 1.0, -1.0, 1e-300]])
+    table = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for digits in (0, 3, 6):
+        expected = np.array([r.v for r in table.selectExpr(f"round(v, {digits}) AS v").collect()])
+        got = bl._half_up(values, digits)
+        assert (got == expected).all() and not np.signbit(got[got == 0]).any()
+    pages = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embedding array<double>")
+    blocks = bl.label_blocks(spark.createDataFrame([("a", [1.0, 1.0])], SCHEMA))
+    assert bl.similar_labels(pages, blocks, 0.5, "id", digits=6).collect()[0].similarity == 0.707107
+
+
 def test_ties_nulls_and_empty_tables(spark):
     table = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("c", None), ("z", [0.0, 1.0])], SCHEMA)
     pages = spark.createDataFrame([(1, [3.0, 0.0]), (2, None), (None, [0.0, 2.0]), (1, [3.0, 0.0])], "id long, embedding array<double>")
