@@ -5,13 +5,15 @@ block's centre and the cosine of its widest label with it. Rows are packed in bl
 A block of rows meets a block of labels in one matrix product, but only with the rows that
 can reach the wanted similarity: the angle to the centre less the block's width bounds it.
 For pairs, blocks of labels travel in bundles and rows in larger blocks, so that little is moved
-for each product. What passes is small and is put together by an aggregate.
+for each product. Rounded pairs leave by the million in order of their cosine: equal ones side by
+side take little room in columnar files. What passes is small and is put together by an aggregate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from decimal import ROUND_HALF_UP, Decimal
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ from firmlens.sources.files import spread, stored
 BLOCK_LABELS, BLOCK_ROWS, PIVOTS = 1_024, 1_024, 256
 #: Rows in a block and labels in a bundle of blocks where pairs are made, and pairs in one product, at most.
 PAIR_ROWS, BUNDLE_LABELS, PRODUCT_PAIRS = 4_096, 4_096, 1 << 20
+#: Found pairs from which on they are put in order and leave, and pairs that leave at once, at most.
+ORDERED_PAIRS, LEAVING_PAIRS = 1 << 21, 1 << 16
 #: Blocks of labels that each task goes through for whole lists, and rows whose lists leave it at once, at most.
 TASK_BLOCKS, LIST_ROWS = 1_024, 128
 #: Room for the last bits of a bound.
@@ -147,8 +151,8 @@ def _reached(own: np.ndarray, labels: np.ndarray, centre: np.ndarray, width: flo
 def _half_up(values: np.ndarray, digits: int) -> np.ndarray:
     """Cosines as Spark's ``round`` gives them: half up, by the digits that a double is written with."""
     scale = 10.0**digits
-    whole = np.floor(np.abs(values) * scale + 0.5)
-    part = np.abs(values) * scale % 1
+    scaled = np.abs(values) * scale
+    whole, part = np.floor(scaled + 0.5), scaled - np.floor(scaled)
     for i in np.flatnonzero(np.abs(part - 0.5) <= 1e-9 + 1e-15 * scale):  # near a half digits decide
         whole[i] = int(Decimal(repr(abs(float(values[i])))).scaleb(digits).to_integral_value(ROUND_HALF_UP))
     return np.copysign(whole / scale, values) + 0.0
@@ -171,26 +175,68 @@ def similar_labels(
     return _pairs(own, stored(_bundles(blocks), "label-bundles"), threshold, key, kind, digits)
 
 
+def _products(batch: pa.RecordBatch, threshold: float, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs at or above the threshold of bundles and blocks of rows that meet, found in products
+    of ``most`` pairs: their places among all keys and all names of the batch, and their cosines."""
+    n_keys, n_names = (pc.list_value_length(batch.column(k)).to_pylist() for k in (0, 2))
+    first_key = first_name = 0
+    for i in range(batch.num_rows):
+        sizes, widths = batch.column(4)[i].values, batch.column(6)[i].values
+        own, labels, centres = _matrix(batch.column(1)[i], n_keys[i]), _matrix(batch.column(3)[i], n_names[i]), _matrix(batch.column(5)[i], len(sizes))
+        start = 0
+        for size, centre, width in zip(sizes.to_pylist(), centres, widths.to_pylist(), strict=True):
+            step = max(1, most // max(1, size))
+            for begin in range(0, n_keys[i], step):
+                row, label, cosine = _reached(own[begin : begin + step], labels[start : start + size], centre, width, threshold)
+                if len(row):
+                    yield (row + (first_key + begin)).astype("i4"), (label + (first_name + start)).astype("i4"), cosine
+            start += size
+        first_key, first_name = first_key + n_keys[i], first_name + n_names[i]
+
+
+def _in_order(found: list[tuple], keys: pa.Array, names: pa.Array, columns: list[str], digits: int | None, most: int) -> Iterator[pa.RecordBatch]:
+    """Pairs as they leave: with ``digits`` rounded, in order of their cosine, ``most`` at once."""
+    lot: Iterable[tuple] = found
+    if digits is not None:
+        row, label, cosine = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
+        cosine = _half_up(cosine, digits)
+        # One number of the cosine and the place is sorted several times faster than places by cosine.
+        place = np.rint(cosine * 10.0 ** min(digits, 9)).astype("i8") << 32 | np.arange(len(cosine))
+        place.sort()
+        place &= (1 << 32) - 1
+        lot = ((row[of], label[of], cosine[of]) for of in np.split(place, range(most, len(place), most)))
+    for rows, labels, values in lot:
+        yield pa.RecordBatch.from_arrays([keys.take(pa.array(rows)), names.take(pa.array(labels)), pa.array(values)], columns)
+
+
 def _pairs(own_blocks: DataFrame, bundles: DataFrame, threshold: float, key: str, kind: str, digits: int | None = None) -> DataFrame:
-    """:func:`similar_labels` of blocks of rows and bundles of labels."""
-    met = own_blocks.crossJoin(bundles)
+    """:func:`similar_labels` of blocks of rows and bundles of labels.
+
+    A bundle meets one block of rows after the other, so that a task writes few different names
+    in a row. The pairs of one lot leave while those of the next are found.
+    """
+    met = bundles.crossJoin(own_blocks)
+    columns = [key, "category", "similarity"]
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaving: Iterator[pa.RecordBatch] = iter(())
         for batch in batches:
-            for i in range(batch.num_rows):
-                keys, names, sizes, widths = (batch.column(k)[i].values for k in (0, 2, 4, 6))
-                own, labels, centres = _matrix(batch.column(1)[i], len(keys)), _matrix(batch.column(3)[i], len(names)), _matrix(batch.column(5)[i], len(sizes))
-                start = 0
-                for size, centre, width in zip(sizes.to_pylist(), centres, widths.to_pylist(), strict=True):
-                    step, named = max(1, PRODUCT_PAIRS // max(1, size)), names.slice(start, size)
-                    for begin in range(0, len(keys), step):
-                        row, label, cosine = _reached(own[begin : begin + step], labels[start : start + size], centre, width, threshold)
-                        if len(row):
-                            found = cosine if digits is None else _half_up(cosine, digits)
-                            yield pa.RecordBatch.from_arrays(
-                                [keys.take(pa.array(row + begin)), named.take(pa.array(label)), pa.array(found)], [key, "category", "similarity"]
-                            )
-                    start += size
+            # Copied, as a view would hold the whole batch until its last pairs have left.
+            keys, names = (v.take(pa.array(np.arange(len(v)))) for v in (batch.column(0).flatten(), batch.column(2).flatten()))
+            found, waiting, sent = [], 0, 0
+            for pairs in _products(batch, threshold, PRODUCT_PAIRS):
+                found.append(pairs)
+                waiting += len(pairs[0])
+                yield from islice(leaving, waiting // LEAVING_PAIRS - sent)
+                sent = waiting // LEAVING_PAIRS
+                if waiting >= ORDERED_PAIRS:
+                    yield from leaving
+                    leaving, found, waiting, sent = _in_order(found, keys, names, columns, digits, LEAVING_PAIRS), [], 0, 0
+            if found:
+                yield from leaving
+                leaving = _in_order(found, keys, names, columns, digits, LEAVING_PAIRS)
+        yield from leaving
 
     return met.select("keys", "rows", "names", "vectors", "sizes", "centres", "widths").mapInArrow(
         multiply, f"`{key}` {kind}, category string, similarity double"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from firmlens.operators import label_blocks as bl
 
@@ -102,6 +105,48 @@ def test_digits_round_as_spark_does(spark):
     assert bl.similar_labels(pages, blocks, 0.5, "id", digits=6).collect()[0].similarity == 0.707107
 
 
+def test_equal_cosines_leave_side_by_side(spark):
+    rng = np.random.default_rng(9)
+    labels, rows = rng.normal(size=(900, 4)), rng.normal(size=(700, 4))
+    names, table, pages = tables(spark, labels, rows)
+    blocks = bl.label_blocks(table, block=50).coalesce(1)
+    made = bl.similar_labels(pages.coalesce(1), blocks, 0.2, "id", block=60, digits=2)
+    by_part: dict[int, list] = {}
+    for r in made.select("*", F.spark_partition_id().alias("part")).collect():
+        by_part.setdefault(r.part, []).append(r)
+    for found in by_part.values():  # fewer pairs than a lot: one run for each value
+        values = [r.similarity for r in found]
+        assert sum(a != b for a, b in zip(values, values[1:], strict=False)) == len(set(values)) - 1 < 81
+    cosine = unit(rows) @ unit(labels).T
+    expected = {(i, names[j]): cosine[i, j] for i, j in zip(*np.nonzero(cosine >= 0.2), strict=True)}
+    got = {(r.id, r.category): r.similarity for found in by_part.values() for r in found}
+    assert sum(map(len, by_part.values())) == len(got) and got.keys() == expected.keys()
+    assert all(abs(got[k] - v) <= 0.005 + 1e-12 for k, v in expected.items())
+
+
+@pytest.mark.parametrize("digits", [None, 3, 12])
+def test_lots_leave_whole(spark, monkeypatch, digits):
+    for name, value in (("ORDERED_PAIRS", 70), ("LEAVING_PAIRS", 9), ("PRODUCT_PAIRS", 200), ("BUNDLE_LABELS", 25)):
+        monkeypatch.setattr(bl, name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)  # lots end with their batches, and leave while the next are found
+    try:
+        rng = np.random.default_rng(10)
+        labels, rows = rng.normal(size=(130, 4)), np.concatenate([rng.normal(size=(60, 4)), np.zeros((1, 4))])
+        names = [None if i == 3 else f"l{i % 100}" for i in range(130)]  # repeated names, and none
+        table = spark.createDataFrame([(n, v.tolist()) for n, v in zip(names, labels, strict=True)], SCHEMA)
+        keys = [None if i in (5, 6) else f"k{i // 2}" for i in range(61)]
+        pages = spark.createDataFrame([(k, v.tolist()) for k, v in zip(keys, rows, strict=True)], "id string, embedding array<double>")
+        found = bl.similar_labels(pages, bl.label_blocks(table, block=9), -0.1, "id", block=20, digits=digits).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    cosine = unit(rows) @ unit(labels).T
+    expected = sorted((keys[i] or "", names[j] or "", cosine[i, j]) for i, j in zip(*np.nonzero(cosine >= -0.1), strict=True))
+    got = sorted((r.id or "", r.category or "", r.similarity) for r in found)
+    assert Counter(x[:2] for x in got) == Counter(x[:2] for x in expected)
+    room = 1e-12 if digits is None else 0.5001 * 10.0**-digits
+    assert all(abs(a[2] - b[2]) <= room for a, b in zip(got, expected, strict=True))
+
+
 def test_ties_nulls_and_empty_tables(spark):
     table = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("c", None), ("z", [0.0, 1.0])], SCHEMA)
     pages = spark.createDataFrame([(1, [3.0, 0.0]), (2, None), (None, [0.0, 2.0]), (1, [3.0, 0.0])], "id long, embedding array<double>")
